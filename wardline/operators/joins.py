@@ -34,6 +34,19 @@ def left_join_filtered(
     return df.join(dim.filter(condition), list(on), "left")
 
 
+def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join to a side where one key may hold very many rows.
+
+    Adaptive execution can split such a key on either side of an inner join, but
+    not on the right of a left join. So matches come from an inner join, and the
+    rows without one from an anti join against the distinct keys.
+    """
+    keys = list(on)
+    matched = left.join(right, keys)
+    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
 def with_name(
     df: DataFrame, code: Column, names: DataFrame, spread_by: str, alias: str = "name"
 ) -> DataFrame:
