@@ -423,6 +423,11 @@ def _named_lines(s):
     )
 
 
+def _line_chunk():
+    """Grows with (l_linenumber, l_partkey), in steps that cut a very long order into pieces."""
+    return F.struct("l_linenumber", F.floor(F.col("l_partkey") / 65536).alias("_step"))
+
+
 @query(
     "agg_concat_ordered_desc",
     """
@@ -437,7 +442,7 @@ def _(s):
         ["l_orderkey"],
         "p_name",
         ["l_linenumber", "l_partkey"],
-        chunk=F.col("l_linenumber"),
+        chunk=_line_chunk(),
         alias="names",
         descending=True,
     )
@@ -457,7 +462,7 @@ def _(s):
         ["l_orderkey"],
         "l_partkey",
         ["l_linenumber", "l_partkey"],
-        chunk=F.col("l_linenumber"),
+        chunk=_line_chunk(),
         alias="codes",
         separator="|",
     )

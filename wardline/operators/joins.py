@@ -23,8 +23,13 @@ def semi_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str) ->
 
 
 def within(df: DataFrame, key: str, ids: DataFrame | None) -> DataFrame:
-    """Restrict a table to the keys another step kept; no-op without one."""
-    return df if ids is None else df.join(ids.select(key), key, "left_semi")
+    """Restrict a table to the keys another step kept; no-op without one.
+
+    The keys must be unique. An inner join then keeps the same rows as a semi
+    join, but may build its hash table from either side, and is not copied into
+    every branch where the table is a union.
+    """
+    return df if ids is None else df.join(ids.select(key), key)
 
 
 def left_join_filtered(

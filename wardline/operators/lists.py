@@ -26,8 +26,10 @@ def list_ends(
     come from a row-number filter, which Spark applies on the map side before
     the shuffle as well as after it; the last one and the count from plain
     partial aggregates. Both halves are hashed by the same keys, so putting
-    them together needs no further shuffle. `order` must be total, but for
-    ties between equal values.
+    them together needs no further shuffle; and both read the same rows, nulls
+    sorted last instead of filtered, so that shuffles below them are reused.
+    Keys must not be null, and `order` must be total, but for ties between equal
+    values.
     """
     names = [order] if isinstance(order, str) else list(order)
     by = F.col(names[0]) if len(names) == 1 else F.struct(*names)
@@ -35,12 +37,11 @@ def list_ends(
 
     rank = F.row_number().over(
         Window.partitionBy(*keys).orderBy(
-            *(F.desc(n) if descending else F.asc(n) for n in names)
+            F.desc(member), *(F.desc(n) if descending else F.asc(n) for n in names)
         )
     )
     front = (
-        df.filter(member)
-        .withColumn("_rank", rank)
+        df.withColumn("_rank", rank)
         .filter(F.col("_rank") <= 2)
         .groupBy(*keys)
         .agg(
@@ -53,7 +54,7 @@ def list_ends(
         final(F.col(value), F.when(member, by)).alias("_last"),
         F.count(value).alias("_members"),
     )
-    return back.join(front, list(keys), "left").select(
+    return back.join(front, list(keys)).select(
         *keys,
         "first",
         "second",

@@ -124,6 +124,6 @@ def operation_statistic(
         .filter(age_years(F.lit(as_of), "birthdate") < max_age)
         .select("patient_id")
     )
-    counted = encounters.join(counts, "encounter_id").join(young, "patient_id", "left_semi")
+    counted = encounters.join(counts, "encounter_id").join(young, "patient_id")
     quarters = half_year_counts(counted, F.quarter("encounter_datetime"), F.col("_n"))
     return one_row_statistic(quarters, combine)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import codes
 from wardline.functions.columns import between_days
-from wardline.operators.joins import interval_join
+from wardline.operators.joins import interval_join, within
 from wardline.plans import parts
 from wardline.sources.schemas import COST_COLUMNS
 from wardline.sources.tables import Tables
@@ -79,7 +79,7 @@ def _slotted_admissions(t: Tables, charged: DataFrame | None) -> DataFrame:
 
 def _located(t: Tables, admitted: DataFrame, charged: DataFrame | None, slots: bool) -> DataFrame:
     if charged is not None:
-        admitted = admitted.join(charged.select("visit_id"), "visit_id", "left_semi")
+        admitted = within(admitted, "visit_id", charged.select("visit_id").distinct())
     chosen = admitted if charged is not None else None
     if slots:
         found = parts.diagnosis_slots(t, chosen).select(

@@ -13,8 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from wardline.functions import codes
 from wardline.sources import lookups
@@ -33,7 +32,7 @@ DX_CODES = codes.HYDROCEPHALUS_DX[:16] + codes.SPINA_BIFIDA_DX[:6]
 UNNAMED_DX = DX_CODES[-2:]
 OP_CODES = codes.HYDROCEPHALUS_OPERATIONS
 
-ADMITTED = ("2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED")
+ADMITTED = "o_orderpriority IN ('2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')"
 
 
 def code_names() -> list[tuple[int, str]]:
@@ -44,38 +43,46 @@ def code_names() -> list[tuple[int, str]]:
     return rows + [(c, name) for name, c in RANK_CODES.items()]
 
 
-def _shape(df: DataFrame, table: str, **columns: Column | str | int) -> DataFrame:
-    """Select a table's columns, typed; the ones not given are null."""
-    out = []
-    for field in SCHEMAS[table].fields:
-        value = columns.get(field.name)
-        if isinstance(value, str):
-            value = F.col(value)
-        elif not isinstance(value, Column):
-            value = F.lit(value)
-        out.append(value.cast(field.dataType).alias(field.name))
-    return df.select(*out)
+def _shape(df: DataFrame, table: str, condition: str = "", **columns: str | int) -> DataFrame:
+    """Select a table's columns from SQL expressions, typed; the ones not given are null."""
+    if condition:
+        df = df.filter(condition)
+    return df.selectExpr(
+        *(
+            f"CAST({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}"
+            for f in SCHEMAS[table].fields
+        )
+    )
 
 
 def _union(branches: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, branches)
+    return reduce(DataFrame.union, branches)
 
 
-def _days(n: int) -> Column:
-    return F.expr(f"INTERVAL '{n}' DAY")
+def _coded(code_list: tuple[int, ...], quantity: str, otherwise: str) -> str:
+    """The n-th code of a list for quantity n, another code beyond the list."""
+    n = len(code_list)
+    array = f"array({', '.join(str(c) for c in code_list)})"
+    return (
+        f"CASE WHEN {quantity} <= {n} THEN element_at({array}, int(least({quantity}, {n})))"
+        f" ELSE {otherwise} END"
+    )
 
 
-def _pick_code(code_list: tuple[int, ...], index: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(c) for c in code_list)), index)
+def _same(*names: str) -> dict[str, str]:
+    return {name: name for name in names}
 
 
 class _Maker:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark = spark
         self._dir = sf_dir
+        self._given: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        if name not in self._given:
+            self._given[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._given[name]
 
     def _values(self, rows: str, columns: str) -> DataFrame:
         return self._spark.sql(f"SELECT * FROM VALUES {rows} AS v({columns})")
@@ -83,28 +90,23 @@ class _Maker:
     # -- people ---------------------------------------------------------------
 
     def person(self) -> DataFrame:
-        years = F.pmod("c_custkey", F.lit(20)).cast("int")
-        female = F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD")
         return _shape(
             self._read("customer"),
             "person",
             person_id="c_custkey",
-            birthdate=F.date_add(F.lit("1981-01-01").cast("date"), years * 365),
-            gender=F.when(female, "F").otherwise("M"),
-            dead=(F.col("c_acctbal") < -900).cast("int"),
-            voided=(F.col("c_acctbal") > 9900).cast("int"),
+            birthdate="date_add(DATE '1981-01-01', int(c_custkey % 20) * 365)",
+            gender="if(c_mktsegment IN ('BUILDING', 'HOUSEHOLD'), 'F', 'M')",
+            dead="c_acctbal < -900",
+            voided="c_acctbal > 9900",
         )
 
     def person_name(self) -> DataFrame:
-        middle = F.when(
-            F.col("c_nationkey") >= 5, F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))
-        )
         own = _shape(
             self._read("customer"),
             "person_name",
             person_id="c_custkey",
             given_name="c_mktsegment",
-            middle_name=middle,
+            middle_name="if(c_nationkey >= 5, concat('N', c_nationkey), NULL)",
             family_name="c_name",
             voided=0,
         )
@@ -112,19 +114,20 @@ class _Maker:
             self._read("supplier"),
             "person_name",
             person_id="s_suppkey",
-            given_name=F.lit("Alias"),
+            given_name="'Alias'",
             family_name="s_name",
-            voided=(F.col("s_acctbal") < 0).cast("int"),
+            voided="s_acctbal < 0",
         )
-        return own.unionByName(second)
+        return own.union(second)
 
     def patient_identifier(self) -> DataFrame:
         customer = self._read("customer")
         own = _shape(
-            customer.filter(F.col("c_acctbal") >= 0),
+            customer,
             "patient_identifier",
+            "c_acctbal >= 0",
             patient_id="c_custkey",
-            identifier=F.concat(F.lit("KH-"), F.col("c_custkey").cast("string")),
+            identifier="concat('KH-', c_custkey)",
             identifier_type=4,
             voided=0,
         )
@@ -132,9 +135,9 @@ class _Maker:
             self._read("supplier"),
             "patient_identifier",
             patient_id="s_suppkey",
-            identifier=F.concat(F.lit("KH-B"), F.col("s_suppkey").cast("string")),
+            identifier="concat('KH-B', s_suppkey)",
             identifier_type=4,
-            voided=(F.col("s_acctbal") < 0).cast("int"),
+            voided="s_acctbal < 0",
         )
         other = _shape(
             customer,
@@ -150,43 +153,37 @@ class _Maker:
 
     def encounter_type(self) -> DataFrame:
         rows = self._values(lookups.ENCOUNTER_TYPE_ROWS, "encounter_type_id, name, uuid")
-        return _shape(
-            rows, "encounter_type", **{c: c for c in ("encounter_type_id", "name", "uuid")}
-        )
+        return _shape(rows, "encounter_type", **_same(*rows.columns))
 
     def form(self) -> DataFrame:
         rows = self._values(lookups.FORM_ROWS, "form_id, name, uuid, encounter_type")
-        return _shape(rows, "form", **{c: c for c in rows.columns})
+        return _shape(rows, "form", **_same(*rows.columns))
 
     def mode_of_payment(self) -> DataFrame:
         rows = self._values(lookups.MODE_ROWS, "mode_of_payment_id, mode_of_payment")
-        return _shape(rows, "mode_of_payment", **{c: c for c in rows.columns})
+        return _shape(rows, "mode_of_payment", **_same(*rows.columns))
 
     def location(self) -> DataFrame:
-        return _shape(
-            self._read("nation"), "location", location_id="n_nationkey", name="n_name"
-        )
+        nation = self._read("nation")
+        return _shape(nation, "location", location_id="n_nationkey", name="n_name")
 
     def charge_account(self) -> DataFrame:
+        nation = self._read("nation")
         return _shape(
-            self._read("nation"),
-            "charge_account",
-            charge_account_id="n_nationkey",
-            account_name="n_name",
+            nation, "charge_account", charge_account_id="n_nationkey", account_name="n_name"
         )
 
     def concept_name(self) -> DataFrame:
         part = self._read("part")
-        part_code = F.col("p_partkey") + PART_CONCEPT
 
         def parts(name: str, kind: str, locale: str) -> DataFrame:
             return _shape(
                 part,
                 "concept_name",
-                concept_id=part_code,
+                concept_id=f"p_partkey + {PART_CONCEPT}",
                 name=name,
-                concept_name_type=F.lit(kind),
-                locale=F.lit(locale),
+                concept_name_type=f"'{kind}'",
+                locale=f"'{locale}'",
                 voided=0,
             )
 
@@ -203,8 +200,8 @@ class _Maker:
                     "concept_name",
                     concept_id="concept_id",
                     name="name",
-                    concept_name_type=F.lit("FULLY_SPECIFIED"),
-                    locale=F.lit("en"),
+                    concept_name_type="'FULLY_SPECIFIED'",
+                    locale="'en'",
                     voided=0,
                 ),
             ]
@@ -213,198 +210,188 @@ class _Maker:
     # -- encounters and visits ------------------------------------------------
 
     def visit(self) -> DataFrame:
-        stopped = F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate") + _days(10))
         return _shape(
             self._read("orders"),
             "visit",
             visit_id="o_orderkey",
-            date_stopped=stopped,
-            voided=(F.col("o_totalprice") < 5000).cast("int"),
+            date_stopped="if(o_orderstatus <> 'O', o_orderdate + INTERVAL '10' DAY, NULL)",
+            voided="o_totalprice < 5000",
         )
 
     def encounter(self) -> DataFrame:
         orders = self._read("orders")
-        priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-        visit = F.when(~((status == "P") & (priority == "4-NOT SPECIFIED")), F.col("o_orderkey"))
 
-        def branch(kind: int | Column, step: int, shift: int, condition: Column | None = None):
-            rows = orders if condition is None else orders.filter(condition)
-            at = F.col("o_orderdate")
+        def branch(kind: int | str, step: int, shift: int, condition: str = "") -> DataFrame:
+            at = "o_orderdate"
             return _shape(
-                rows,
+                orders,
                 "encounter",
-                encounter_id=F.col("o_orderkey") + step * ID_STEP if step else "o_orderkey",
-                patient_id=F.floor(F.col("o_orderkey") / 10),
-                visit_id=visit,
-                encounter_datetime=at + _days(shift) if shift else at,
+                condition,
+                encounter_id=f"o_orderkey + {step * ID_STEP}L" if step else "o_orderkey",
+                patient_id="o_orderkey div 10",
+                visit_id=(
+                    "if(o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED',"
+                    " NULL, o_orderkey)"
+                ),
+                encounter_datetime=f"{at} + INTERVAL '{shift}' DAY" if shift else at,
                 encounter_type=kind,
-                location_id=F.dayofmonth("o_orderdate"),
+                location_id="day(o_orderdate)",
                 creator="o_custkey",
-                voided=(F.col("o_totalprice") > 490000).cast("int"),
+                voided="o_totalprice > 490000",
             )
 
-        main = F.when(priority == "1-URGENT", 11).when(priority == "5-LOW", 16).otherwise(15)
+        main = "CASE o_orderpriority WHEN '1-URGENT' THEN 11 WHEN '5-LOW' THEN 16 ELSE 15 END"
         return _union(
             [
                 branch(main, 0, 0),
-                branch(14, 1, -1, priority.isin(*ADMITTED)),
-                branch(14, 2, 0, (priority == "3-MEDIUM") & (status == "O")),
-                branch(9, 3, 6, priority.isin("2-HIGH", "3-MEDIUM")),
-                branch(9, 4, 8, (priority == "3-MEDIUM") & (status == "F")),
-                branch(15, 5, 1, (priority == "2-HIGH") & (status == "O")),
+                branch(14, 1, -1, ADMITTED),
+                branch(14, 2, 0, "o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'O'"),
+                branch(9, 3, 6, "o_orderpriority IN ('2-HIGH', '3-MEDIUM')"),
+                branch(9, 4, 8, "o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'F'"),
+                branch(15, 5, 1, "o_orderpriority = '2-HIGH' AND o_orderstatus = 'O'"),
             ]
         )
 
     # -- observations ---------------------------------------------------------
 
-    def obs(self) -> DataFrame:
+    def _line_obs(self) -> list[DataFrame]:
         lines = self._read("lineitem")
-        orders = self._read("orders")
-        customer = self._read("customer")
+        part_code = f"l_partkey + {PART_CONCEPT}"
+        dx = _coded(DX_CODES, "l_quantity", part_code)
+        op = _coded(OP_CODES, "l_quantity", part_code)
+        group = "l_orderkey * 8 + l_linenumber"
 
-        line, part = F.col("l_linenumber"), F.col("l_partkey")
-        quantity = F.col("l_quantity").cast("int")
-        part_code = part + PART_CONCEPT
-        dx = F.when(
-            quantity <= len(DX_CODES),
-            _pick_code(DX_CODES, F.least(quantity, F.lit(len(DX_CODES)))).cast("bigint"),
-        ).otherwise(part_code)
-        op = F.when(
-            quantity <= len(OP_CODES),
-            _pick_code(OP_CODES, F.least(quantity, F.lit(len(OP_CODES)))).cast("bigint"),
-        ).otherwise(part_code)
-        order_in_line = line.cast("bigint") * 10**12 + part * 4
-
-        def from_line(concept: int | Column, slot: int | Column, rows: DataFrame = lines, **values):
+        def branch(concept: int | str, slot: int | str, condition: str = "", **values):
             return _shape(
-                rows,
+                lines,
                 "obs",
-                obs_id=order_in_line + slot,
-                person_id=F.floor(F.col("l_orderkey") / 10),
+                condition,
+                obs_id=f"l_linenumber * {10**12}L + l_partkey * 4 + {slot}",
+                person_id="l_orderkey div 10",
                 concept_id=concept,
                 encounter_id="l_orderkey",
-                voided=values.pop("voided", 0),
-                **values,
+                **{"voided": 0, **values},
             )
 
-        group = F.col("l_orderkey") * 8 + line
-        rank = F.when(line == 1, RANK_CODES["Primary"]).otherwise(RANK_CODES["Secondary"])
-        before_or_after = F.when(F.pmod(part, F.lit(2)) == 0, 2).otherwise(0)
+        rank = f"if(l_linenumber = 1, {RANK_CODES['Primary']}, {RANK_CODES['Secondary']})"
         surgical = (
-            F.when(line == 3, codes.PREOPERATIVE_DX)
-            .when(line == 4, codes.POSTOPERATIVE_DX)
-            .when(line == 5, codes.FINDINGS)
-            .when(line == 6, codes.WEIGHT)
-            .when(F.col("l_linestatus") == "F", codes.BLOOD_LOSS)
-            .otherwise(codes.URINE_OUTPUT)
-        )
-        written = F.when(F.col("l_returnflag") == "A", codes.SURGEON).otherwise(
-            codes.OPERATIVE_DETAILS
+            f"CASE l_linenumber WHEN 3 THEN {codes.PREOPERATIVE_DX}"
+            f" WHEN 4 THEN {codes.POSTOPERATIVE_DX} WHEN 5 THEN {codes.FINDINGS}"
+            f" WHEN 6 THEN {codes.WEIGHT}"
+            f" ELSE if(l_linestatus = 'F', {codes.BLOOD_LOSS}, {codes.URINE_OUTPUT}) END"
         )
-        from_lines = [
-            from_line(codes.DIAGNOSIS, 1, obs_group_id=group, value_coded=dx),
-            from_line(RANK_CONCEPT, before_or_after, obs_group_id=group, value_coded=rank),
-            from_line(
+        written = f"if(l_returnflag = 'A', {codes.SURGEON}, {codes.OPERATIVE_DETAILS})"
+        return [
+            branch(codes.DIAGNOSIS, 1, obs_group_id=group, value_coded=dx),
+            branch(
+                RANK_CONCEPT, "if(l_partkey % 2 = 0, 2, 0)", obs_group_id=group, value_coded=rank
+            ),
+            branch(
                 codes.GROUP_EXCLUDED,
                 3,
-                lines.filter(F.col("l_returnflag") == "R"),
+                "l_returnflag = 'R'",
                 obs_group_id=group,
                 value_coded=part_code,
             ),
-            from_line(
+            branch(
                 codes.NOTES,
                 1,
-                lines.filter(F.col("l_linestatus") == "F"),
-                value_text=F.concat_ws(" ", F.lit("note"), line, part),
-                voided=(F.col("l_returnflag") == "R").cast("int"),
+                "l_linestatus = 'F'",
+                value_text="concat_ws(' ', 'note', l_linenumber, l_partkey)",
+                voided="l_returnflag = 'R'",
             ),
-            from_line(codes.OPERATION, 1, lines.filter(line <= 2), value_coded=op),
-            from_line(
+            branch(codes.OPERATION, 1, "l_linenumber <= 2", value_coded=op),
+            branch(
                 surgical,
                 1,
-                lines.filter(line >= 3),
-                value_coded=F.when(line <= 5, dx),
-                value_numeric=F.when(line == 6, F.col("l_quantity")).when(
-                    line == 7, F.col("l_extendedprice")
+                "l_linenumber >= 3",
+                value_coded=f"if(l_linenumber <= 5, {dx}, NULL)",
+                value_numeric=(
+                    "CASE l_linenumber WHEN 6 THEN l_quantity WHEN 7 THEN l_extendedprice END"
                 ),
             ),
-            from_line(
+            branch(
                 written,
                 2,
-                lines.filter(F.col("l_returnflag").isin("A", "N")),
-                value_text=F.concat_ws(" ", F.lit("text"), F.col("l_suppkey")),
+                "l_returnflag IN ('A', 'N')",
+                value_text="concat_ws(' ', 'text', l_suppkey)",
             ),
         ]
 
-        priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
-        order_date = F.col("o_orderdate")
+    def _order_obs(self) -> list[DataFrame]:
+        orders = self._read("orders")
 
-        def from_order(concept: int, slot: int, step: int, condition: Column | None, **values):
-            rows = orders if condition is None else orders.filter(condition)
+        def branch(concept: int, slot: int, step: int, condition: str = "", **values):
             return _shape(
-                rows,
+                orders,
                 "obs",
-                obs_id=F.col("o_orderkey") * 8 + slot,
-                person_id=F.floor(F.col("o_orderkey") / 10),
+                condition,
+                obs_id=f"o_orderkey * 8 + {slot}",
+                person_id="o_orderkey div 10",
                 concept_id=concept,
-                encounter_id=F.col("o_orderkey") + step * ID_STEP if step else "o_orderkey",
+                encounter_id=f"o_orderkey + {step * ID_STEP}L" if step else "o_orderkey",
                 voided=0,
                 **values,
             )
 
-        offset = F.make_dt_interval(
-            days=(F.pmod("o_custkey", F.lit(9)) - 4).cast("int"),
-            mins=F.when(status == "F", 1).otherwise(0),
-        )
-        wait = F.make_dt_interval(days=F.pmod("o_custkey", F.lit(9)).cast("int"))
-        booked_op = _pick_code(
-            OP_CODES, (F.pmod("o_custkey", F.lit(len(OP_CODES))) + 1).cast("int")
-        )
-        second = (priority == "3-MEDIUM") & (status == "O")
-        answer = F.when(status == "F", 164180).when(status == "O", 160530).otherwise(1065)
-        from_orders = [
-            from_order(
-                codes.APPOINTMENT_DATE, 0, 1, priority.isin(*ADMITTED),
-                value_datetime=order_date + offset,
+        urgent = "o_orderpriority = '1-URGENT'"
+        n = len(OP_CODES)
+        return [
+            branch(
+                codes.APPOINTMENT_DATE, 0, 1, ADMITTED,
+                value_datetime=(
+                    "o_orderdate + make_dt_interval(int(o_custkey % 9 - 4), 0,"
+                    " if(o_orderstatus = 'F', 1, 0))"
+                ),
+            ),
+            branch(
+                codes.APPOINTMENT_DATE, 1, 2,
+                "o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'O'",
+                value_datetime="o_orderdate + INTERVAL '1' DAY",
             ),
-            from_order(
-                codes.APPOINTMENT_DATE, 1, 2, second, value_datetime=order_date + _days(1)
+            branch(
+                codes.OPERATION, 2, 1, ADMITTED,
+                value_coded=_coded(OP_CODES, f"int(o_custkey % {n} + 1)", "NULL"),
             ),
-            from_order(
-                codes.OPERATION, 2, 1, priority.isin(*ADMITTED), value_coded=booked_op
+            branch(
+                codes.OPERATION_DATE, 3, 0,
+                value_datetime="o_orderdate + make_dt_interval(int(o_custkey % 9))",
             ),
-            from_order(codes.OPERATION_DATE, 3, 0, None, value_datetime=order_date + wait),
-            from_order(codes.VISIT_TYPE, 4, 0, priority == "1-URGENT", value_coded=answer),
-            from_order(
-                codes.VISIT_TYPE, 5, 0,
-                (priority == "1-URGENT") & (F.col("o_totalprice") > 400000),
-                value_coded=160530,
+            branch(
+                codes.VISIT_TYPE, 4, 0, urgent,
+                value_coded=(
+                    "CASE o_orderstatus WHEN 'F' THEN 164180 WHEN 'O' THEN 160530 ELSE 1065 END"
+                ),
+            ),
+            branch(
+                codes.VISIT_TYPE, 5, 0, f"{urgent} AND o_totalprice > 400000", value_coded=160530
             ),
         ]
+
+    def obs(self) -> DataFrame:
         from_customers = _shape(
-            customer,
+            self._read("customer"),
             "obs",
             obs_id="c_custkey",
             person_id="c_custkey",
             concept_id=codes.HOSPITAL_NUMBER,
-            value_text=F.concat(F.lit("KH"), F.col("c_custkey").cast("string")),
-            voided=(F.col("c_acctbal") < 0).cast("int"),
+            value_text="concat('KH', c_custkey)",
+            voided="c_acctbal < 0",
         )
-        return _union([*from_lines, *from_orders, from_customers])
+        return _union([*self._line_obs(), *self._order_obs(), from_customers])
 
     # -- money ----------------------------------------------------------------
 
     def charges(self) -> DataFrame:
-        price = F.col("o_totalprice").cast("decimal(18,2)")
-        costs = {c: price + i for i, c in enumerate(COST_COLUMNS)}
+        price = "CAST(o_totalprice AS DECIMAL(18,2))"
         return _shape(
             self._read("orders"),
             "charges",
             charges_id="o_orderkey",
-            patient_id=F.floor(F.col("o_orderkey") / 10),
+            patient_id="o_orderkey div 10",
             visit_id="o_orderkey",
             date_created="o_orderdate",
-            **costs,
+            **{c: f"{price} + {i}" for i, c in enumerate(COST_COLUMNS)},
         )
 
     def payment(self) -> DataFrame:
@@ -413,7 +400,7 @@ class _Maker:
             "payment",
             charges_id="l_orderkey",
             payment_date="l_shipdate",
-            charge_account_id=F.pmod("l_suppkey", F.lit(25)),
+            charge_account_id="l_suppkey % 25",
             mode_of_payment_id="l_linenumber",
             amount_paid="l_extendedprice",
             nhif="l_returnflag",
