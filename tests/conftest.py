@@ -15,7 +15,9 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, shuffle_partitions=4)
+    session = local_session(8, shuffle_partitions=4)
+    session.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    return session
 
 
 @pytest.fixture(scope="session")

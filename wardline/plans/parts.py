@@ -99,11 +99,10 @@ def bookings(t: Tables, booking_encounters: DataFrame | None = None) -> DataFram
     Observations are pivoted before they meet the encounters. Of several names
     of a surgeon the smallest is taken.
     """
-    asked = F.col("concept_id").isin(codes.APPOINTMENT_DATE, codes.OPERATION)
-    operation_code = F.when(F.col("concept_id") == codes.OPERATION, F.col("value_coded"))
-    obs = with_name(
-        t.obs.filter(asked), operation_code, display_names(t), spread_by="encounter_id"
-    )
+    is_operation = F.col("concept_id") == codes.OPERATION
+    asked = t.obs.filter((F.col("concept_id") == codes.APPOINTMENT_DATE) | is_operation)
+    operation_code = F.when(is_operation, F.col("value_coded"))
+    obs = with_name(asked, operation_code, display_names(t), spread_by="encounter_id")
     wide = eav_pivot(
         obs,
         ["encounter_id"],
