@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clinic import ADMISSION, DISCHARGE, NEURO, SURGERY, Clinic, at, rows
+from wardline import without_deleted
 from wardline.functions import codes
 from wardline.functions import columns as C
 from wardline.operators import aggregates as A
@@ -65,6 +66,12 @@ def test_ranked_member_of_a_null_list(spark):
     assert _one(spark, C.ranked_member("Primary", F.lit(None).cast("string"))) is None
 
 
+def test_ranked_member_ignoring_case(spark):
+    text = F.lit("primary,X")
+    assert _one(spark, C.ranked_member("Primary", text)) is None
+    assert _one(spark, C.ranked_member("Primary", text, ignore_case=True)) == "X"
+
+
 def test_concat_with_and_without_nulls(spark):
     values = [F.lit("a"), F.lit(None).cast("string"), F.lit("c")]
     assert _one(spark, F.concat(*values)) is None
@@ -358,6 +365,18 @@ def test_group_with_an_unnamed_diagnosis(clinic):
     assert rows(parts.diagnosis_ranks(clinic.tables()))[0]["Primary"] == "Primary"
 
 
+def test_ranks_by_membership(clinic):
+    _admission(clinic)
+    clinic.group(1, 1, 50, 1, 13)
+    clinic.group(1, 1, 51, 777, 11, 12, 2)
+    clinic.group(1, 1, 52, 1)
+    t = clinic.tables()
+    by_list = rows(parts.diagnosis_ranks(t))[0]
+    assert (by_list["Primary"], by_list["Secondary"]) == (" type 2, Primary", None)
+    by_member = rows(parts.diagnosis_ranks(t, parse="members"))[0]
+    assert (by_member["Primary"], by_member["Secondary"]) == ("X, type 2", "X")
+
+
 def test_encounter_with_several_groups(clinic):
     _admission(clinic)
     clinic.group(1, 1, 50, 2, 12)
@@ -463,6 +482,16 @@ def test_deleted_admission_still_counts_as_open_but_has_no_diagnosis(clinic):
     assert [(r["patient_id"], r["primary"]) for r in found] == [(1, None)]
 
 
+def test_without_deleted_rows_everywhere(clinic):
+    clinic.surgeon()
+    clinic.patient(1)
+    clinic.add("visit", visit_id=1)
+    _admission(clinic, voided=1)
+    t = clinic.tables()
+    assert daily.open_stays(t, DAY, AS_OF).count() == 1
+    assert daily.open_stays(without_deleted(t), DAY, AS_OF).count() == 0
+
+
 def test_bookings(clinic):
     clinic.surgeon()
     clinic.add("person_name", person_id=900, given_name="Al", family_name="Cutter", voided=1)

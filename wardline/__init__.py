@@ -5,6 +5,20 @@ the reusable DataFrame steps, `plans` the reports and `catalog` the queries
 that are checked against SQL.
 """
 
-from wardline.sources.tables import Tables, from_catalog, from_jdbc, from_parquet
+from wardline.sources.tables import (
+    Tables,
+    from_catalog,
+    from_frames,
+    from_jdbc,
+    from_parquet,
+    without_deleted,
+)
 
-__all__ = ["Tables", "from_catalog", "from_jdbc", "from_parquet"]
+__all__ = [
+    "Tables",
+    "from_catalog",
+    "from_frames",
+    "from_jdbc",
+    "from_parquet",
+    "without_deleted",
+]

@@ -425,7 +425,8 @@ def _named_lines(s):
 
 def _line_chunk():
     """Grows with (l_linenumber, l_partkey), in steps that cut a very long order into pieces."""
-    return F.struct("l_linenumber", F.floor(F.col("l_partkey") / 65536).alias("_step"))
+    step = F.floor(F.col("l_partkey") / 65536)
+    return F.col("l_linenumber").cast("bigint") * 10**9 + step
 
 
 @query(

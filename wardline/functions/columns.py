@@ -70,17 +70,18 @@ def nth_token(text: ColumnLike, delimiter: str, n: int) -> Column:
     ).otherwise(F.lit(""))
 
 
-def position_in_list(item: str, text: ColumnLike) -> Column:
+def position_in_list(item: str, text: ColumnLike, ignore_case: bool = False) -> Column:
     """Position (from 1) of an item in a comma list, 0 where absent, null for a null list."""
-    return F.find_in_set(F.lit(item), _c(text))
+    searched = F.collate(_c(text), "UTF8_LCASE") if ignore_case else _c(text)
+    return F.find_in_set(F.lit(item), searched)
 
 
-def ranked_member(rank: str, text: ColumnLike) -> Column:
+def ranked_member(rank: str, text: ColumnLike, ignore_case: bool = False) -> Column:
     """The other member of a two-item comma list that holds a rank word.
 
     Rank first: the last token. Rank second: the first token. Otherwise null.
     """
-    at = position_in_list(rank, text)
+    at = position_in_list(rank, text, ignore_case)
     return F.when(at == 1, F.substring_index(_c(text), ",", -1)).when(
         at == 2, F.substring_index(_c(text), ",", 1)
     )

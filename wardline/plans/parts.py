@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import codes
+from wardline.functions.columns import ranked_member
 from wardline.operators.aggregates import (
     distinct_concat,
     eav_pivot,
@@ -16,9 +17,10 @@ from wardline.operators.aggregates import (
 )
 from wardline.operators.joins import semi_lookup, with_name, within
 from wardline.operators.lists import comma_text, list_ends
-from wardline.functions.columns import ranked_member
 from wardline.sources.tables import Tables
 
+_GROUP = ("encounter_id", "obs_group_id", "person_id")
+
 
 def live(df: DataFrame) -> DataFrame:
     """Rows that are not soft-deleted."""
@@ -144,35 +146,59 @@ def booking_side(booked: DataFrame) -> DataFrame:
     )
 
 
+def _rank_groups(named: DataFrame) -> DataFrame:
+    """Ranks by parsing each group's comma list, as the reports define it.
+
+    The list runs from the latest observation to the earliest. A rank word
+    beyond its second place, or a comma in a name, is parsed as it stands.
+    """
+    groups = list_ends(
+        named, _GROUP, "name", ["obs_id", "name"], descending=True
+    ).withColumn("diag", comma_text())
+    return groups.select(
+        "encounter_id",
+        "person_id",
+        ranked_member("Primary", "diag").alias("_primary"),
+        ranked_member("Secondary", "diag").alias("_secondary"),
+    )
+
+
+def _rank_members(named: DataFrame) -> DataFrame:
+    """Ranks by membership: the rank word of a group, and its other member."""
+    other = F.min(F.when(~F.col("name").isin("Primary", "Secondary"), F.col("name")))
+    groups = named.groupBy(*_GROUP).agg(
+        other.alias("_other"),
+        *(F.bool_or(F.col("name") == rank).alias(rank) for rank in ("Primary", "Secondary")),
+    )
+    return groups.select(
+        "encounter_id",
+        "person_id",
+        F.when(F.col("Primary"), F.col("_other")).alias("_primary"),
+        F.when(F.col("Secondary"), F.col("_other")).alias("_secondary"),
+    )
+
+
 def diagnosis_ranks(
-    t: Tables, encounters: DataFrame | None = None, within_encounters: bool = True
+    t: Tables,
+    encounters: DataFrame | None = None,
+    within_encounters: bool = True,
+    parse: str = "list",
 ) -> DataFrame:
     """Per encounter, the distinct Primary and Secondary diagnoses of its groups.
 
-    A group holds a diagnosis and a rank word; its list runs from the latest
-    observation to the earliest. ``encounters`` limits the result; with
-    ``within_encounters`` it also limits what is read, which pays off when few
-    encounters are asked for.
+    A group holds a diagnosis and a rank word. ``parse`` reads the rank from the
+    group's comma ``list``, as the reports do, or from its ``members``, which
+    also copes with commas and longer groups. ``encounters`` limits the result;
+    with ``within_encounters`` it also limits what is read, which pays off when
+    few encounters are asked for.
     """
     members = t.obs.filter(
         F.col("obs_group_id").isNotNull() & (F.col("concept_id") != codes.GROUP_EXCLUDED)
-    ).select("encounter_id", "obs_group_id", "person_id", "obs_id", "value_coded")
+    ).select(*_GROUP, "obs_id", "value_coded")
     if within_encounters:
         members = within(members, "encounter_id", encounters)
     named = with_name(members, F.col("value_coded"), display_names(t), spread_by="obs_group_id")
-    groups = list_ends(
-        named,
-        ["encounter_id", "obs_group_id", "person_id"],
-        "name",
-        ["obs_id", "name"],
-        descending=True,
-    ).withColumn("diag", comma_text())
-    ranked = groups.select(
-        "encounter_id",
-        "person_id",
-        ranked_member("Primary", "diag").alias("_primary"),
-        ranked_member("Secondary", "diag").alias("_secondary"),
-    )
+    ranked = {"list": _rank_groups, "members": _rank_members}[parse](named)
     found = distinct_concat(
         ranked,
         ["encounter_id", "person_id"],

@@ -34,6 +34,20 @@ def from_frames(frames: Mapping[str, DataFrame]) -> Tables:
     return Tables(frames.__getitem__)
 
 
+def without_deleted(tables: Tables) -> Tables:
+    """The same tables without soft-deleted rows.
+
+    The reports leave deleted rows out of some tables and not of others; over
+    these tables they leave them out everywhere.
+    """
+
+    def load(name: str) -> DataFrame:
+        df = getattr(tables, name)
+        return df.filter(F.col("voided") == 0) if "voided" in SCHEMAS[name].names else df
+
+    return Tables(load)
+
+
 def _typed(df: DataFrame, name: str) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields))
 
