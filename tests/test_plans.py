@@ -107,7 +107,8 @@ def test_shuffles_below_list_ends_are_reused(no_broadcast, sf_dir):
     key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
     no_broadcast.conf.set(key, "-1")
     try:
-        df = parts.diagnosis_ranks(standin_tables(no_broadcast, sf_dir))
+        t = standin_tables(no_broadcast, sf_dir)
+        df = parts.diagnosis_ranks(t, t.encounter)
         df.collect()
         assert plan(df).split("Initial Plan")[0].count("ReusedExchange") >= 2
     finally:

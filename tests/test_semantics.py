@@ -313,6 +313,10 @@ def _admission(clinic, encounter=1, patient=1, when="2024-01-05 10:00", visit=1,
     clinic.encounter(encounter, patient, ADMISSION, when, visit=visit, **values)
 
 
+def _ranks(t, **options):
+    return parts.diagnosis_ranks(t, t.encounter, **options)
+
+
 def test_ranked_list_has_one_row_per_encounter(clinic):
     clinic.patient(1)
     clinic.add("patient_identifier", patient_id=1, identifier="KH0", identifier_type=4)
@@ -355,14 +359,14 @@ def test_group_members_that_do_not_count(clinic):
     clinic.concept(11, "sx", locale="fr")
     clinic.concept(11, "old", voided=1)
     clinic.concept(11, "short", kind="SHORT")
-    found = rows(parts.diagnosis_ranks(clinic.tables()))
+    found = rows(_ranks(clinic.tables()))
     assert [(r["Primary"], r["Secondary"]) for r in found] == [("X", None)]
 
 
 def test_group_with_an_unnamed_diagnosis(clinic):
     _admission(clinic)
     clinic.group(1, 1, 50, 1, 777)
-    assert rows(parts.diagnosis_ranks(clinic.tables()))[0]["Primary"] == "Primary"
+    assert rows(_ranks(clinic.tables()))[0]["Primary"] == "Primary"
 
 
 def test_ranks_by_membership(clinic):
@@ -371,9 +375,9 @@ def test_ranks_by_membership(clinic):
     clinic.group(1, 1, 51, 777, 11, 12, 2)
     clinic.group(1, 1, 52, 1)
     t = clinic.tables()
-    by_list = rows(parts.diagnosis_ranks(t))[0]
+    by_list = rows(_ranks(t))[0]
     assert (by_list["Primary"], by_list["Secondary"]) == (" type 2, Primary", None)
-    by_member = rows(parts.diagnosis_ranks(t, parse="members"))[0]
+    by_member = rows(_ranks(t, parse="members"))[0]
     assert (by_member["Primary"], by_member["Secondary"]) == ("X, type 2", "X")
 
 
@@ -382,7 +386,7 @@ def test_encounter_with_several_groups(clinic):
     clinic.group(1, 1, 50, 2, 12)
     clinic.group(1, 1, 51, 2, 11)
     clinic.group(1, 1, 52, 2, 12)
-    assert rows(parts.diagnosis_ranks(clinic.tables()))[0]["Secondary"] == "X, Y"
+    assert rows(_ranks(clinic.tables()))[0]["Secondary"] == "X, Y"
 
 
 def test_linked_list_needs_every_part(clinic):

@@ -8,7 +8,6 @@ from wardline.catalog.basics import AS_OF, CENSUS_DAY
 from wardline.catalog.registry import report
 from wardline.catalog.standin_sql import with_tables
 from wardline.functions import codes
-from wardline.operators.joins import within
 from wardline.plans import cohorts, daily, financial, operative, parts
 from wardline.sources.schemas import COST_COLUMNS
 
@@ -170,7 +169,7 @@ def _(t):
 )
 def _(t):
     admitted = parts.live(parts.encounters_by_type_key(t, codes.ADMISSION_TYPE_UUID))
-    return parts.diagnosis_ranks(t, admitted, within_encounters=False)
+    return parts.diagnosis_ranks(t, admitted)
 
 
 @report(
@@ -180,7 +179,8 @@ def _(t):
 )
 def _(t):
     admitted = parts.encounters_by_form_key(t, codes.ADMISSION_FORM_UUID)
-    return within(parts.diagnosis_slots(t), "encounter_id", admitted)
+    slots = parts.diagnosis_slots(t, admitted.select("encounter_id", "patient_id"))
+    return slots.withColumnRenamed("patient_id", "person_id")
 
 
 def _linked_sql(day: dt.date | None) -> str:

@@ -19,9 +19,12 @@ def list_ends(
     value: str,
     order: str | Sequence[str],
     descending: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per key: `first`, `second` and, where there are three or more, `last`.
 
+    ``carry`` names columns that depend on the keys, to be kept beside them.
+
     Nulls are not members, yet a group of nulls keeps its row. The first two
     come from a row-number filter, which Spark applies on the map side before
     the shuffle as well as after it; the last one and the count from plain
@@ -53,9 +56,11 @@ def list_ends(
     back = df.groupBy(*keys).agg(
         final(F.col(value), F.when(member, by)).alias("_last"),
         F.count(value).alias("_members"),
+        *(F.max(c).alias(c) for c in carry),
     )
     return back.join(front, list(keys)).select(
         *keys,
+        *carry,
         "first",
         "second",
         F.when(F.col("_members") >= 3, F.col("_last")).alias("last"),

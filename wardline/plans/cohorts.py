@@ -68,30 +68,33 @@ def visit_statistic(
     first recorded visit type. ``wrap`` gives one row, combining the quarters
     (see `one_row_statistic`). Age is that at the visit.
     """
-    keys = ["encounter_id", "person_id"]
-    visits = parts.diagnosis_slots(t, named=False)
-    if visit_type is not None:
-        asked = t.obs.filter(F.col("concept_id") == codes.VISIT_TYPE)
-        typed = pick_first(asked, keys, "obs_id", {"_answer": "value_coded"})
-        label = label_code("_answer", codes.VISIT_TYPE_LABELS, codes.VISIT_TYPE_DEFAULT)
-        visits = visits.join(typed.filter(label == visit_type).select(*keys), keys)
-
-    labelled = visits.select(
-        *keys, *(classify(slot, codes.DX_FAMILIES).alias(slot) for slot in _SLOTS)
-    ).filter(any_of(_SLOTS, seen_with))
-    if never_with is not None:
-        labelled = labelled.filter(none_of(_SLOTS, never_with))
-
     encounters = parts.encounters_by_type_key(t, codes.NEURO_TYPE_UUID).select(
-        "encounter_id", F.col("patient_id").alias("person_id"), "encounter_datetime"
+        "encounter_id", "patient_id", "encounter_datetime"
     )
     if year is not None:
         encounters = encounters.filter(F.year("encounter_datetime") == year)
-    people = parts.people(t).select(F.col("patient_id").alias("person_id"), "birthdate")
-    counted = (
-        labelled.join(encounters, keys)
-        .join(people, "person_id")
-        .filter(age_years("encounter_datetime", "birthdate") < max_age)
+    visits = parts.diagnosis_slots(t, encounters, named=False).select(
+        "encounter_id",
+        "patient_id",
+        "encounter_datetime",
+        *(classify(slot, codes.DX_FAMILIES).alias(slot) for slot in _SLOTS),
+    )
+    kept = visits.filter(any_of(_SLOTS, seen_with))
+    if never_with is not None:
+        kept = kept.filter(none_of(_SLOTS, never_with))
+
+    if visit_type is not None:
+        keys = ["encounter_id", "patient_id"]
+        asked = t.obs.filter(F.col("concept_id") == codes.VISIT_TYPE).withColumnRenamed(
+            "person_id", "patient_id"
+        )
+        typed = pick_first(asked, keys, "obs_id", {"_answer": "value_coded"})
+        label = label_code("_answer", codes.VISIT_TYPE_LABELS, codes.VISIT_TYPE_DEFAULT)
+        kept = kept.join(typed.filter(label == visit_type).select(*keys), keys)
+
+    people = parts.people(t).select("patient_id", "birthdate")
+    counted = kept.join(people, "patient_id").filter(
+        age_years("encounter_datetime", "birthdate") < max_age
     )
     quarters = half_year_counts(counted, F.quarter("encounter_datetime"), F.lit(1))
     return one_row_statistic(quarters, combine) if wrap else quarters

@@ -104,7 +104,7 @@ def daily_list_linked(t: Tables, effective_date: dt.date | None, as_of: dt.date)
     )
     appointment = F.to_date("_booking.Appointment_Date")
     return (
-        first_booking.join(parts.diagnosis_ranks(t, day, within_encounters=narrow), "encounter_id")
+        first_booking.join(parts.diagnosis_ranks(t, day), "encounter_id")
         .join(parts.notes(t, day if narrow else None), "encounter_id")
         .join(persons, "person_id")
         .join(names, "person_id")
@@ -142,11 +142,8 @@ def daily_list_slots(t: Tables, effective_date: dt.date | None, as_of: dt.date)
 
     booked = parts.bookings(t, parts.encounters_by_form_key(t, codes.BOOKING_FORM_UUID))
     booked = parts.booking_side(within(booked, "patient_id", patients))
-    slots = parts.diagnosis_slots(t, day if narrow else None).withColumnRenamed(
-        "person_id", "patient_id"
-    )
     linked = interval_join(
-        day.join(slots, ["encounter_id", "patient_id"]),
+        parts.diagnosis_slots(t, day),
         booked,
         [("patient_id", "booking_patient")],
         "encounter_datetime",
@@ -220,7 +217,7 @@ def open_stays(t: Tables, effective_date: dt.date, as_of: dt.date) -> DataFrame:
         )
     )
     admissions = _admissions(t, None)
-    diagnoses = parts.diagnosis_ranks(t, admissions, within_encounters=False).select(
+    diagnoses = parts.diagnosis_ranks(t, admissions).select(
         "encounter_id", "Primary", "Secondary"
     )
     appointment = F.to_date("_booking.Appointment_Date")

@@ -65,45 +65,37 @@ def payment_summary(t: Tables) -> DataFrame:
     )
 
 
+_ADMISSION = ("encounter_id", "patient_id", "visit_id", "encounter_datetime", "location_id")
+
+
 def _ranked_admissions(t: Tables, charged: DataFrame | None) -> DataFrame:
     """Admissions with ranked diagnoses; ``charged`` limits them to its visits."""
     admitted = parts.live(parts.encounters_by_type_key(t, codes.ADMISSION_TYPE_UUID))
-    return _located(t, admitted, charged, slots=False)
+    admitted = _of_charges(admitted, charged)
+    return _located(t, admitted.join(parts.diagnosis_ranks(t, admitted), "encounter_id"))
 
 
 def _slotted_admissions(t: Tables, charged: DataFrame | None) -> DataFrame:
     """Admissions by form with diagnosis slots. Deleted ones count too."""
     admitted = parts.encounters_by_form_key(t, codes.ADMISSION_FORM_UUID)
-    return _located(t, admitted, charged, slots=True)
-
-
-def _located(t: Tables, admitted: DataFrame, charged: DataFrame | None, slots: bool) -> DataFrame:
-    if charged is not None:
-        admitted = within(admitted, "visit_id", charged.select("visit_id").distinct())
-    chosen = admitted if charged is not None else None
-    if slots:
-        found = parts.diagnosis_slots(t, chosen).select(
-            "encounter_id",
-            F.col("person_id").alias("patient_id"),
-            F.col("dx1").alias("Primary"),
-            F.col("dx2").alias("Secondary"),
-        )
-        on = ["encounter_id", "patient_id"]
-    else:
-        found = parts.diagnosis_ranks(t, chosen).select("encounter_id", "Primary", "Secondary")
-        on = ["encounter_id"]
+    slots = parts.diagnosis_slots(t, _of_charges(admitted, charged))
+    return _located(t, slots.withColumnsRenamed({"dx1": "Primary", "dx2": "Secondary"}))
+
+
+def _of_charges(admitted: DataFrame, charged: DataFrame | None) -> DataFrame:
+    admitted = admitted.filter(F.col("visit_id").isNotNull()).select(*_ADMISSION)
+    visits = None if charged is None else charged.select("visit_id").distinct()
+    return within(admitted, "visit_id", visits)
+
+
+def _located(t: Tables, admitted: DataFrame) -> DataFrame:
     places = t.location.select("location_id", F.col("name").alias("location"))
-    return (
-        admitted.select("encounter_id", "patient_id", "visit_id", "encounter_datetime", "location_id")
-        .join(found, on)
-        .join(places, "location_id")
-        .select(
-            "visit_id",
-            "Primary",
-            "Secondary",
-            F.col("encounter_datetime").alias("DoA"),
-            "location",
-        )
+    return admitted.join(places, "location_id").select(
+        "visit_id",
+        "Primary",
+        "Secondary",
+        F.col("encounter_datetime").alias("DoA"),
+        "location",
     )
 
 

@@ -60,7 +60,7 @@ def operative_report(
     if hospital_number is not None:
         who = who.filter(F.col("identifier") == hospital_number)
 
-    obs = within(t.obs, "encounter_id", who if narrow else None)
+    obs = within(t.obs, "encounter_id", who)
     code = F.when(F.col("concept_id").isin(*_NAMED), F.col("value_coded"))
     named = with_name(obs, code, parts.display_names(t), spread_by="encounter_id")
     wide = eav_pivot(named, ["encounter_id"], _COLUMNS)

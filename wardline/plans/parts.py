@@ -178,65 +178,50 @@ def _rank_members(named: DataFrame) -> DataFrame:
     )
 
 
-def diagnosis_ranks(
-    t: Tables,
-    encounters: DataFrame | None = None,
-    within_encounters: bool = True,
-    parse: str = "list",
-) -> DataFrame:
+def diagnosis_ranks(t: Tables, encounters: DataFrame, parse: str = "list") -> DataFrame:
     """Per encounter, the distinct Primary and Secondary diagnoses of its groups.
 
     A group holds a diagnosis and a rank word. ``parse`` reads the rank from the
     group's comma ``list``, as the reports do, or from its ``members``, which
-    also copes with commas and longer groups. ``encounters`` limits the result;
-    with ``within_encounters`` it also limits what is read, which pays off when
-    few encounters are asked for.
+    also copes with commas and longer groups. Observations are restricted to
+    the encounters first; that one shuffle serves every step above it.
     """
     members = t.obs.filter(
         F.col("obs_group_id").isNotNull() & (F.col("concept_id") != codes.GROUP_EXCLUDED)
     ).select(*_GROUP, "obs_id", "value_coded")
-    if within_encounters:
-        members = within(members, "encounter_id", encounters)
+    members = within(members, "encounter_id", encounters)
     named = with_name(members, F.col("value_coded"), display_names(t), spread_by="obs_group_id")
     ranked = {"list": _rank_groups, "members": _rank_members}[parse](named)
-    found = distinct_concat(
+    return distinct_concat(
         ranked,
         ["encounter_id", "person_id"],
         {"Primary": "_primary", "Secondary": "_secondary"},
     )
-    if encounters is not None and not within_encounters:
-        found = within(found, "encounter_id", encounters)
-    return found
 
 
-def diagnosis_slots(
-    t: Tables, encounters: DataFrame | None = None, named: bool = True
-) -> DataFrame:
-    """Per encounter and person, the first, second and last recorded diagnosis.
+def diagnosis_slots(t: Tables, encounters: DataFrame, named: bool = True) -> DataFrame:
+    """The encounters with a diagnosis, and their first, second and last one.
 
-    Names by default, codes otherwise. An empty text, or a null code, stands for
-    a missing one.
+    ``encounters`` has `encounter_id` and `patient_id`, which both must agree
+    with the observation, and columns to keep. Diagnoses are names, empty where
+    missing; or codes, null where missing.
     """
-    found = t.obs.filter(F.col("concept_id") == codes.DIAGNOSIS).select(
-        "encounter_id", "person_id", "obs_id", "value_coded"
+    keys = ["encounter_id", "patient_id"]
+    carry = [c for c in encounters.columns if c not in keys]
+    found = (
+        t.obs.filter(F.col("concept_id") == codes.DIAGNOSIS)
+        .select("encounter_id", F.col("person_id").alias("patient_id"), "obs_id", "value_coded")
+        .join(encounters, keys)
     )
-    found = within(found, "encounter_id", encounters)
-    keys = ["encounter_id", "person_id"]
-    if not named:
-        ends = list_ends(found, keys, "value_coded", "obs_id")
-        return ends.select(
-            *keys,
-            F.col("first").alias("dx1"),
-            F.col("second").alias("dx2"),
-            F.col("last").alias("dx3"),
-        )
-    listed = with_name(found, F.col("value_coded"), display_names(t), spread_by="encounter_id")
-    ends = list_ends(listed, keys, "name", ["obs_id", "name"])
+    if named:
+        found = with_name(found, F.col("value_coded"), display_names(t), spread_by="encounter_id")
+        ends = list_ends(found, keys, "name", ["obs_id", "name"], carry=carry)
+        slots = [F.coalesce(end, F.lit("")) for end in ("first", "second", "last")]
+    else:
+        ends = list_ends(found, keys, "value_coded", "obs_id", carry=carry)
+        slots = [F.col(end) for end in ("first", "second", "last")]
     return ends.select(
-        *keys,
-        F.coalesce("first", F.lit("")).alias("dx1"),
-        F.coalesce("second", F.lit("")).alias("dx2"),
-        F.coalesce("last", F.lit("")).alias("dx3"),
+        *encounters.columns, *(s.alias(f"dx{i}") for i, s in enumerate(slots, 1))
     )
 
 
