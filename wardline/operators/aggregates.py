@@ -63,10 +63,16 @@ def pick_first(
 
 
 def distinct_concat(
-    df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], separator: str = ", "
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Mapping[str, str],
+    separator: str = ", ",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per key, the distinct non-null values of each column, sorted and joined.
 
+    ``carry`` names columns that depend on the keys, to be kept beside them.
+
     Values are made distinct first, in a shuffle spread over key and value, so
     what one group gathers is bounded by the vocabulary and not by its rows.
     """
@@ -87,8 +93,8 @@ def distinct_concat(
         )
     ).alias("_item")
     distinct = (
-        df.select(*keys, tagged)
-        .select(*keys, "_item._slot", "_item._value")
+        df.select(*keys, *carry, tagged)
+        .select(*keys, *carry, "_item._slot", "_item._value")
         .distinct()
     )
     lists = []
@@ -97,7 +103,7 @@ def distinct_concat(
         # array_sort + array_join gives null-free, ordered text; an empty list is null.
         items = F.array_sort(F.collect_list(value))
         lists.append(F.when(F.size(items) > 0, F.array_join(items, separator)).alias(alias))
-    return distinct.groupBy(*keys).agg(*lists)
+    return distinct.groupBy(*keys).agg(*(F.max(c).alias(c) for c in carry), *lists)
 
 
 def ordered_concat(

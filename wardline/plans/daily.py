@@ -90,7 +90,7 @@ def daily_list_linked(t: Tables, effective_date: dt.date | None, as_of: dt.date)
     day = _admissions(t, effective_date)
     narrow = effective_date is not None
     patients = day.select("patient_id").distinct() if narrow else None
-    booked = parts.booking_side(within(parts.bookings(t), "patient_id", patients))
+    booked = parts.booking_side(parts.bookings(t, patients=patients))
     first_booking = (
         interval_join(
             day, booked, [("patient_id", "booking_patient")], "encounter_datetime", "Appointment_Date"
@@ -140,8 +140,10 @@ def daily_list_slots(t: Tables, effective_date: dt.date | None, as_of: dt.date)
     narrow = effective_date is not None
     patients = day.select("patient_id").distinct() if narrow else None
 
-    booked = parts.bookings(t, parts.encounters_by_form_key(t, codes.BOOKING_FORM_UUID))
-    booked = parts.booking_side(within(booked, "patient_id", patients))
+    booked = parts.bookings(
+        t, parts.encounters_by_form_key(t, codes.BOOKING_FORM_UUID), patients=patients
+    )
+    booked = parts.booking_side(booked)
     linked = interval_join(
         parts.diagnosis_slots(t, day),
         booked,

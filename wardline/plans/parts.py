@@ -19,7 +19,8 @@ from wardline.operators.joins import semi_lookup, with_name, within
 from wardline.operators.lists import comma_text, list_ends
 from wardline.sources.tables import Tables
 
-_GROUP = ("encounter_id", "obs_group_id", "person_id")
+# A group lies within one encounter, and both belong to one person.
+_GROUP = ("encounter_id", "obs_group_id")
 
 
 def live(df: DataFrame) -> DataFrame:
@@ -95,14 +96,25 @@ def notes(t: Tables, encounters: DataFrame | None = None) -> DataFrame:
     return pick_first(found, ["encounter_id"], "obs_id", {"notes": "value_text"})
 
 
-def bookings(t: Tables, booking_encounters: DataFrame | None = None) -> DataFrame:
+def bookings(
+    t: Tables, booking_encounters: DataFrame | None = None, patients: DataFrame | None = None
+) -> DataFrame:
     """One row per booking encounter: surgeon, appointment and operation.
 
-    Observations are pivoted before they meet the encounters. Of several names
-    of a surgeon the smallest is taken.
+    Observations are pivoted before they meet the encounters; where only some
+    patients are asked for, just their bookings are read. Of several names of a
+    surgeon the smallest is taken.
     """
+    if booking_encounters is None:
+        booking_encounters = t.encounter.filter(F.col("encounter_type") == codes.BOOKING_TYPE)
+    booked = live(booking_encounters).select(
+        "encounter_id", "patient_id", "encounter_datetime", "creator"
+    )
+    booked = within(booked, "patient_id", patients)
+
     is_operation = F.col("concept_id") == codes.OPERATION
     asked = t.obs.filter((F.col("concept_id") == codes.APPOINTMENT_DATE) | is_operation)
+    asked = within(asked, "encounter_id", booked if patients is not None else None)
     operation_code = F.when(is_operation, F.col("value_coded"))
     obs = with_name(asked, operation_code, display_names(t), spread_by="encounter_id")
     wide = eav_pivot(
@@ -113,15 +125,11 @@ def bookings(t: Tables, booking_encounters: DataFrame | None = None) -> DataFram
             "Operation": (codes.OPERATION, "name"),
         },
     )
-    if booking_encounters is None:
-        booking_encounters = t.encounter.filter(F.col("encounter_type") == codes.BOOKING_TYPE)
     surgeons = t.person_name.groupBy(F.col("person_id").alias("creator")).agg(
         F.min(F.concat("given_name", F.lit(" "), "family_name")).alias("Surgeon")
     )
     return (
-        live(booking_encounters)
-        .select("encounter_id", "patient_id", "encounter_datetime", "creator")
-        .join(wide, "encounter_id")
+        booked.join(wide, "encounter_id")
         .join(surgeons, "creator")
         .select(
             "encounter_id",
@@ -153,7 +161,7 @@ def _rank_groups(named: DataFrame) -> DataFrame:
     beyond its second place, or a comma in a name, is parsed as it stands.
     """
     groups = list_ends(
-        named, _GROUP, "name", ["obs_id", "name"], descending=True
+        named, _GROUP, "name", ["obs_id", "name"], descending=True, carry=["person_id"]
     ).withColumn("diag", comma_text())
     return groups.select(
         "encounter_id",
@@ -167,6 +175,7 @@ def _rank_members(named: DataFrame) -> DataFrame:
     """Ranks by membership: the rank word of a group, and its other member."""
     other = F.min(F.when(~F.col("name").isin("Primary", "Secondary"), F.col("name")))
     groups = named.groupBy(*_GROUP).agg(
+        F.max("person_id").alias("person_id"),
         other.alias("_other"),
         *(F.bool_or(F.col("name") == rank).alias(rank) for rank in ("Primary", "Secondary")),
     )
@@ -188,14 +197,15 @@ def diagnosis_ranks(t: Tables, encounters: DataFrame, parse: str = "list") -> Da
     """
     members = t.obs.filter(
         F.col("obs_group_id").isNotNull() & (F.col("concept_id") != codes.GROUP_EXCLUDED)
-    ).select(*_GROUP, "obs_id", "value_coded")
+    ).select(*_GROUP, "person_id", "obs_id", "value_coded")
     members = within(members, "encounter_id", encounters)
     named = with_name(members, F.col("value_coded"), display_names(t), spread_by="obs_group_id")
     ranked = {"list": _rank_groups, "members": _rank_members}[parse](named)
     return distinct_concat(
         ranked,
-        ["encounter_id", "person_id"],
+        ["encounter_id"],
         {"Primary": "_primary", "Secondary": "_secondary"},
+        carry=["person_id"],
     )
 
 
