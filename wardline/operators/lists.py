@@ -50,6 +50,7 @@ def list_ends(
         .agg(
             F.max(F.when(F.col("_rank") == 1, F.col(value))).alias("first"),
             F.max(F.when(F.col("_rank") == 2, F.col(value))).alias("second"),
+            *(F.max(c).alias(f"_{c}") for c in carry),
         )
     )
     final = F.min_by if descending else F.max_by
@@ -60,7 +61,8 @@ def list_ends(
     )
     return back.join(front, list(keys)).select(
         *keys,
-        *carry,
+        # Read from both halves, so that both ask for the same columns below.
+        *(F.coalesce(c, f"_{c}").alias(c) for c in carry),
         "first",
         "second",
         F.when(F.col("_members") >= 3, F.col("_last")).alias("last"),
