@@ -76,25 +76,20 @@ def distinct_concat(
     Values are made distinct first, in a shuffle spread over key and value, so
     what one group gathers is bounded by the vocabulary and not by its rows.
     """
-    tagged = F.explode_outer(
-        F.array_compact(
-            F.array(
-                *(
-                    F.when(
-                        F.col(src).isNotNull(),
-                        F.struct(
-                            F.lit(alias).alias("_slot"),
-                            F.col(src).cast("string").alias("_value"),
-                        ),
-                    )
-                    for alias, src in columns.items()
-                )
+    tagged = F.explode(
+        F.array(
+            *(
+                F.struct(F.lit(alias).alias("_slot"), F.col(src).cast("string").alias("_value"))
+                for alias, src in columns.items()
             )
         )
     ).alias("_item")
+    # Nulls of the first column stay, so that a key without values keeps its row.
+    wanted = F.col("_value").isNotNull() | (F.col("_slot") == next(iter(columns)))
     distinct = (
         df.select(*keys, *carry, tagged)
         .select(*keys, *carry, "_item._slot", "_item._value")
+        .filter(wanted)
         .distinct()
     )
     lists = []
