@@ -40,14 +40,16 @@ CHUNK = 256
 TURNS = 40
 
 
-def fit(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Mean, and directions as columns: ``ROTATIONS`` rotations of the leading principal directions."""
+def fit(sample: np.ndarray) -> np.ndarray:
+    """Directions as columns: ``ROTATIONS`` rotations of the leading principal directions.
+
+    Vectors are not centred: signs then follow the angle between vectors whatever their mean, so a
+    corpus that is mostly one group of near copies still gets equal codes for them.
+    """
     unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-    mean = unit.mean(axis=0)
-    centred = unit - mean
-    _, vectors = np.linalg.eigh(centred.T @ centred)
+    _, vectors = np.linalg.eigh(unit.T @ unit)
     leading = vectors[:, ::-1][:, :BITS]
-    low = centred @ leading
+    low = unit @ leading
     found = []
     for seed in range(ROTATIONS):
         turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(low.shape[1],) * 2))[0]
@@ -56,23 +58,23 @@ def fit(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             left, _, right = np.linalg.svd(low.T @ signs)
             turn = left @ right
         found.append(leading @ turn)
-    return mean, np.concatenate(found, axis=1)
+    return np.concatenate(found, axis=1)
 
 
 def _codes(model):
     """``node, label, width, vector`` -> beside them one long per rotation."""
 
     def code(batches):
-        mean, directions = model.value
+        directions = model.value
         per = directions.shape[1] // ROTATIONS
         for batch in batches:
             vectors = batch.column("vector").to_pylist()
             words = np.zeros((len(vectors), ROTATIONS), np.int64)
-            fits = [i for i, v in enumerate(vectors) if len(v) == len(mean)]
+            fits = [i for i, v in enumerate(vectors) if len(v) == len(directions)]
             if fits:
                 unit = np.array([vectors[i] for i in fits])
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                signs = ((unit - mean) @ directions >= 0).reshape(len(fits), ROTATIONS, per)
+                signs = (unit @ directions >= 0).reshape(len(fits), ROTATIONS, per)
                 wide = np.zeros((len(fits), ROTATIONS, 64), np.uint8)
                 wide[:, :, :per] = signs
                 words[fits] = np.packbits(wide, axis=2, bitorder="little").view("<i8")[:, :, 0]
@@ -162,7 +164,7 @@ def near_vectors(
     shown = classes.filter(F.size("vector") == width).orderBy(F.xxhash64("node"), "node")
     sample = shown.select("vector").limit(max(1, SAMPLE_VALUES // width)).toArrow().column("vector")
     sample = np.array(sample.to_pylist(), np.float64).reshape(-1, width)
-    model = spark.sparkContext.broadcast(fit(sample) if len(sample) else (np.zeros(1), np.zeros((1, ROTATIONS))))
+    model = spark.sparkContext.broadcast(fit(sample) if len(sample) else np.zeros((1, ROTATIONS)))
 
     names = [f"code{r}" for r in range(ROTATIONS)]
     # width is part of the label from here on: unlike lengths never meet
