@@ -1,10 +1,10 @@
 """Token counts from pre-token frequencies (operator 3).
 
 Texts are read in blocks of some MB. A block leaves as one row: its distinct pre-tokens, and for each
-document which of them it has and how often. Over all blocks each distinct pre-token goes to the
-tokenizer library once; its number of tokens is joined back to the blocks that hold it, and a
-document's count is the sum of frequency times number. Token ids are never kept. What a common
-pre-token costs is one row per block, however many documents have it.
+document which of them it has and how often. Pre-tokens of all blocks are dealt out by value, and each
+distinct one goes to the tokenizer library once; its number of tokens is joined back to the blocks that
+hold it, and a document's count is the sum of frequency times number. Token ids are never kept. What a
+common pre-token costs is one row per block, however many documents have it.
 
 A pre-token is what lies between ASCII white space, cut once more between an ASCII letter and a mark
 after it (``llm/tokens.py`` says why counts add up over such pieces).
@@ -15,6 +15,8 @@ table gives no rows. Other columns are ignored. A very long text makes a block o
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -26,22 +28,56 @@ from wardline.llm.scan import slices
 from wardline.llm.tokens import encoder
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 32 << 20
+
+#: Pre-tokens handed to the library at a time.
+COUNT_ROWS = 8192
 
 LIMIT = 2048
 
 _BLOCK = pa.schema(
-    [("block", pa.int64()), ("words", pa.list_(pa.binary())), ("doc_ids", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64()))]
-    + [("n_words", pa.list_(pa.int64())), ("word", pa.binary()), ("times", pa.binary())]
-)
-_BLOCK_DDL = (
-    "block bigint, words array<binary>, doc_ids array<bigint>, n_bytes array<bigint>, n_words array<bigint>, "
-    "word binary, times binary"
+    [("block", pa.int64()), ("words", pa.list_(pa.binary())), ("doc_ids", pa.list_(pa.int64()))]
+    + [("n_bytes", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("times", pa.binary())]
 )
+_BLOCK_DDL = "block bigint, words array<binary>, doc_ids array<bigint>, n_bytes array<bigint>, n_words array<bigint>, times binary"
+
+_STEP, _MOST = 0xFFFF, 0xFF
+
+
+def pack_frequencies(doc: np.ndarray, word: np.ndarray, times: np.ndarray, n_docs: int) -> tuple[bytes, np.ndarray]:
+    """Compressed (step to the next word, times) pairs and how many each document has.
+
+    ``doc, word`` ascend. Steps take two bytes and times one: a longer step is made of steps with no
+    times, more times of pairs with no step.
+    """
+    first = np.concatenate([[True], doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, bool)
+    step = np.where(first, word, word - np.concatenate([[0], word[:-1]]) if len(word) else word)
+    hops, again = step // _STEP, (times - 1) // _MOST
+    each = hops + 1 + again
+    n_pairs = int(each.sum())
+    at = np.cumsum(each) - each + hops  # where the pair itself stands
+    steps, counts = np.zeros(n_pairs, np.int64), np.zeros(n_pairs, np.int64)
+    place = np.arange(n_pairs) - np.repeat(np.cumsum(each) - each, each)
+    steps[place < np.repeat(hops, each)] = _STEP
+    steps[at] = step - hops * _STEP
+    counts[place > np.repeat(hops, each)] = _MOST
+    counts[at] = times - again * _MOST
+    body = steps.astype("<u2").tobytes() + counts.astype(np.uint8).tobytes()
+    return zlib.compress(body, 1), np.bincount(doc, weights=each, minlength=n_docs).astype(np.int64)
+
+
+def unpack_frequencies(packed: bytes, n_pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word and the times of each pair, document by document."""
+    body, total = zlib.decompress(packed), int(n_pairs.sum())
+    steps = np.frombuffer(body, "<u2", total).astype(np.int64)
+    run = np.cumsum(steps)
+    ends = np.cumsum(n_pairs)
+    before = np.concatenate([[0], run])[ends - n_pairs]
+    return run - np.repeat(before, n_pairs), np.frombuffer(body, np.uint8, total, 2 * total).astype(np.int64)
 
 
 def _frequencies(definition):
-    """Blocks of documents -> rows of ``_BLOCK``; ``word`` and ``times`` are uint32 arrays, document by document."""
+    """Documents -> a row of ``_BLOCK`` per block."""
 
     def block_row(block: int, names: list, bodies: list[bytes]) -> pa.RecordBatch:
         tool = encoder(definition.value)
@@ -58,9 +94,9 @@ def _frequencies(definition):
         word = np.searchsorted(vocabulary, np.concatenate(hashes))
         pairs, times = np.unique(np.concatenate(docs) * max(1, len(vocabulary)) + word, return_counts=True)
         doc, word = np.divmod(pairs, max(1, len(vocabulary)))
+        packed, n_words = pack_frequencies(doc, word, times, len(bodies))
         row = {"block": block, "words": [firsts[h] for h in vocabulary.tolist()], "doc_ids": names}
-        row |= {"n_bytes": [len(b) for b in bodies], "n_words": np.bincount(doc, minlength=len(bodies)).tolist()}
-        row |= {"word": word.astype("<u4").tobytes(), "times": times.astype("<u4").tobytes()}
+        row |= {"n_bytes": [len(b) for b in bodies], "n_words": n_words, "times": packed}
         return pa.RecordBatch.from_pylist([row], _BLOCK)
 
     def blocks(batches):
@@ -81,30 +117,50 @@ def _frequencies(definition):
 
 
 def _pieces(definition):
-    """Distinct pre-tokens -> how many tokens the library makes of each."""
+    """Rows ``word, block, at`` in order of the word -> ``block, at, n``; the library sees each word once."""
 
     def count(batches):
+        rows: list[pa.RecordBatch] = []
+        last: tuple[bytes | None, int] = (None, 0)
+
+        def settle():
+            nonlocal last
+            table = pa.Table.from_batches(rows)
+            rows.clear()
+            words = table.column("word").to_pylist()
+            fresh = [w for w, before in zip(words, [last[0], *words], strict=False) if w != before]
+            sizes = iter([len(ids) for ids in encoder(definition.value).encode_pieces(fresh)])
+            n = []
+            for w in words:
+                if w != last[0]:
+                    last = (w, next(sizes))
+                n.append(last[1])
+            table = table.drop_columns("word").append_column("n", pa.array(n, pa.int32()))
+            yield from table.combine_chunks().to_batches()
+
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            n = [len(ids) for ids in encoder(definition.value).encode_pieces(words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32())], ["word", "n"])
+            rows.append(batch)
+            if sum(map(len, rows)) >= COUNT_ROWS:
+                yield from settle()
+        if rows:
+            yield from settle()
 
     return count
 
 
 def _sum(batches):
-    """Rows ``doc_ids, n_bytes, n_words, word, times, numbers`` -> the documents' counts."""
+    """Rows ``doc_ids, n_bytes, n_words, times, numbers`` -> the documents' counts."""
     names = ["doc_id", "n_bytes", "n_tokens"]
     for batch in batches:
         for i in range(batch.num_rows):
-            docs, n_bytes, n_words, word, times, numbers = (batch.column(k)[i] for k in range(6))
-            each = np.frombuffer(numbers.values.buffers()[1], np.int32)[numbers.values.offset :][: len(numbers)] if len(numbers) else np.zeros(0, np.int32)
-            each = each.astype(np.int64)[np.frombuffer(word.as_py(), "<u4")] * np.frombuffer(times.as_py(), "<u4")
-            ends = np.cumsum(np.array(n_words.as_py(), np.int64))
-            sums = np.concatenate([[0], np.cumsum(each)])
-            totals = sums[ends] - sums[np.concatenate([[0], ends[:-1]])]
-            arrays = [pa.array(docs.as_py(), pa.int64()), pa.array(n_bytes.as_py(), pa.int64()), pa.array(totals, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            docs, n_bytes, n_words, times, numbers = (batch.column(k)[i] for k in range(5))
+            pairs = np.array(n_words.as_py(), np.int64)
+            word, often = unpack_frequencies(times.as_py(), pairs)
+            each = numbers.values.to_numpy().astype(np.int64)
+            sums = np.concatenate([[0], np.cumsum(each[word] * often)])
+            ends = np.cumsum(pairs)
+            arrays = [pa.array(docs.as_py(), pa.int64()), pa.array(n_bytes.as_py(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(sums[ends] - sums[ends - pairs])], names)
 
 
 def count_tokens(
@@ -118,15 +174,15 @@ def count_tokens(
     """``doc_id, n_bytes, n_tokens, over_limit`` per document."""
     held = docs.sparkSession.sparkContext.broadcast(tokenizer)  # a fixed size
     blocks = scratch.table(texts(docs, id_col, text_col).mapInArrow(_frequencies(held), _BLOCK_DDL), "blocks")
-    words = blocks.select("block", F.posexplode("words").alias("at", "word"))
-    counted = words.select("word").distinct().mapInArrow(_pieces(held), "word binary, n int")
+    words = blocks.select(F.posexplode("words").alias("at", "word"), "block").select("word", "block", "at")
+    # Dealt out and sorted by word, so equal words follow each other in one task.
+    dealt = words.repartition("word").sortWithinPartitions("word")
+    counted = dealt.mapInArrow(_pieces(held), "block bigint, at int, n int")
     # Words of a block lie in one order, so its numbers are a dense array: at most a block's vocabulary.
-    numbers = (
-        words.join(counted, "word")
-        .groupBy("block")
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "n"))), lambda x: x["n"]).alias("numbers"))
-    )
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("at", "n"))), lambda x: x["n"])
+    numbers = counted.groupBy("block").agg(ordered.alias("numbers"))
     joined = blocks.drop("words").join(numbers, "block", "left")
-    rows = joined.select("doc_ids", "n_bytes", "n_words", "word", "times", F.coalesce("numbers", F.array().cast("array<int>")))
+    none = F.array().cast("array<int>")
+    rows = joined.select("doc_ids", "n_bytes", "n_words", "times", F.coalesce("numbers", none).alias("numbers"))
     out = rows.mapInArrow(_sum, "doc_id bigint, n_bytes bigint, n_tokens bigint")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
