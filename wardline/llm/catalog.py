@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import decontaminate, embeddings, jaccard, packing, suffixes, token_counts, url_rules, warc, wavelet
+from wardline.llm import decontaminate, embeddings, jaccard, packing, suffixes, token_counts, toxicity, url_rules, warc, wavelet
 from wardline.llm.common import Scratch, prepare
 from wardline.llm.tokens import default_path, definition
 
@@ -83,6 +83,11 @@ def op2(spark, docs, items):
     return decontaminate.contaminated(docs, items)
 
 
+@query("op4_weak_supervision", "documents", "labels")
+def op4(spark, docs, labels):
+    return toxicity.toxicity(docs, labels, Scratch(spark, "toxicity"))
+
+
 @query("op5_jaccard_tiles", "documents")
 def op5(spark, docs):
     return jaccard.near_duplicates(docs, Scratch(spark, "jaccard"))

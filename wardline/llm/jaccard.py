@@ -97,10 +97,10 @@ def prefix_size(n: int) -> int:
 
 
 _SET_ROW = pa.schema(
-    [("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bits", pa.list_(pa.int64()))]
+    [("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bits", pa.list_(pa.int64()))]
     + [("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]
 )
-_SET_DDL = "doc_id bigint, n bigint, node bigint, bits array<bigint>, keys array<bigint>, times array<bigint>"
+_SET_DDL = "doc_id bigint, mark bigint, n bigint, node bigint, bits array<bigint>, keys array<bigint>, times array<bigint>"
 
 
 def _sets(batches):
@@ -113,14 +113,15 @@ def _sets(batches):
         found, times = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, _U), np.zeros(0, int))
         found, times = found[times > 1], times[times > 1]
         for at in range(0, len(found), 100_000):
-            row = {"doc_id": None, "n": None, "node": None, "bits": None, "keys": found[at : at + 100_000].view(np.int64)}
-            yield pa.RecordBatch.from_pylist([row | {"times": times[at : at + 100_000]}], _SET_ROW)
+            row = {"keys": found[at : at + 100_000].view(np.int64), "times": times[at : at + 100_000]}
+            yield pa.RecordBatch.from_pylist([row], _SET_ROW)
 
     for batch in batches:
         rows = []
-        for doc, found in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist()), strict=True):
+        columns = batch.column(0).to_pylist(), batch.column(1).to_pylist(), shingle_sets(batch.column(2).to_pylist())
+        for doc, mark, found in zip(*columns, strict=True):
             node = identity(found)
-            rows.append({"doc_id": doc, "n": len(found), "node": node, "bits": signature(found), "keys": None, "times": None})
+            rows.append({"doc_id": doc, "mark": mark, "n": len(found), "node": node, "bits": signature(found)})
             if len(found) and node not in seen:
                 seen.add(node)
                 keys.append(found[: 3 * len(found) // 10 + 1])  # the prefix, and some beyond
@@ -238,11 +239,12 @@ def _verified(pairs: DataFrame, bodies: DataFrame, scratch: Scratch, name: str)
     return scratch.table(linked, f"{name}-links")
 
 
-def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per document."""
+def grouped(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, mark`` (a hash of the text)``, n, root, component_id`` per document; ``root`` numbers the component."""
     read = texts(docs, id_col, text_col)
-    found = scratch.table(read.mapInArrow(_sets, _SET_DDL), "sets")
-    listed = found.filter("n is not null").select("doc_id", "n", "node", "bits")
+    marked = read.select("doc_id", F.xxhash64("body").alias("mark"), "body")
+    found = scratch.table(marked.mapInArrow(_sets, _SET_DDL), "sets")
+    listed = found.filter("n is not null").select("doc_id", "mark", "n", "node", "bits")
     nodes = listed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.max("bits").alias("bits"))
     nodes = scratch.table(nodes, "nodes")
 
@@ -286,9 +288,31 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", t
 
     whole = nodes.select("node", "first_doc").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = whole.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    homes = whole.join(named, "root").select("node", "component_id")
+    homes = whole.join(named, "root").select("node", "root", "component_id")
     return listed.join(homes, "node", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "doc_id", "mark", "n", "root", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def near_duplicates(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` per document."""
+    return grouped(docs, scratch, id_col, text_col).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the smallest ``doc_id`` (none last, then by text) once; all blank texts."""
+    found = scratch.table(grouped(docs, scratch, id_col, text_col), "groups").filter("n > 0")
+    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    best = found.groupBy("root").agg(F.min(name).alias("k")).select("k.doc_id", "k.mark")
+    times = found.groupBy("doc_id", "mark").agg(F.count("*").alias("times"))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))
+    best = best.select(F.col("doc_id").alias("d"), F.col("mark").alias("m")).join(times, same).select("d", "m", "times")
+    best = scratch.table(best, "best")
+    rows = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn("__mark", F.xxhash64(F.col(text_col).cast("string").cast("binary")))
+    match = F.col("__id").eqNullSafe(F.col("d")) & (F.col("__mark") == F.col("m"))
+    blank = ~F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = rows.filter(~blank).join(best.filter("times = 1"), match, "left_semi")
+    again = best.filter("times > 1")
+    if not again.isEmpty():  # repeated rows: one of them
+        kept = kept.unionByName(rows.filter(~blank).join(again, match, "left_semi").dropDuplicates(["__id", "__mark"]))
+    return kept.unionByName(rows.filter(blank)).drop("__id", "__mark")

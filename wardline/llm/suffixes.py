@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.common import Scratch, small, texts
+from wardline.llm.common import Scratch, small
 from wardline.llm.scan import mix, stream
 
 LENGTH = 400
@@ -321,32 +321,66 @@ def _fingerprints(length: int):
     return rows
 
 
-def _cut(batches):
-    """Documents with repeated runs of starts -> their digest rows and what is kept."""
+def remove(body: bytes, runs: list[tuple[int, int]], align: bool) -> tuple[bytes, int, int]:
+    """What is left without the byte ranges, the bytes they cover and the stretches they form.
+
+    With ``align`` a character that a range cuts goes as a whole (the counts are of the ranges).
+    """
+    kept, at, removed, spans, reach = [], 0, 0, 0, -1
+    for a, b in sorted(runs):
+        if a > reach:
+            spans += 1
+            reach = a
+        removed += max(0, b - reach)
+        reach = max(reach, b)
+        if align:
+            while a < len(body) and a > at and body[a] & 0xC0 == 0x80:
+                a -= 1
+            while b < len(body) and body[b] & 0xC0 == 0x80:
+                b += 1
+        if a > at:
+            kept.append(body[at:a])
+        at = max(at, b)
+    kept.append(body[at:])
+    return b"".join(kept), removed, spans
+
+
+def _cut(align: bool):
+    """Documents with repeated runs of starts -> their digest rows and what is kept; further columns pass."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
-    for batch in batches:
-        out: list[list] = [[] for _ in names]
-        for doc, body, runs in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-            kept, at, removed, spans, reach = [], 0, 0, 0, -1
-            for a, b in sorted((r["a"], r["b"]) for r in runs or ()):
-                if a > reach:
-                    spans += 1
-                    kept.append(body[at:a])
-                    reach = a
-                removed += max(0, b - reach)
-                reach = at = max(reach, b)
-            kept.append(body[at:])
-            for values, value in zip(out, (doc, len(body), removed, spans, b"".join(kept)), strict=True):
-                values.append(value)
-        kinds = [pa.int64()] * 4 + [pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names)
+
+    def cut(batches):
+        for batch in batches:
+            out: list[list] = [[] for _ in names]
+            for doc, body, runs in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                kept, removed, spans = remove(body, [(r["a"], r["b"]) for r in runs or ()], align)
+                for values, value in zip(out, (doc, len(body), removed, spans, kept), strict=True):
+                    values.append(value)
+            kinds = [pa.int64()] * 4 + [pa.binary()]
+            arrays = [pa.array(v, k) for v, k in zip(out, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*arrays, *batch.columns[3:]], [*names, *batch.schema.names[3:]])
+
+    return cut
 
 
 def without_repeats(
-    docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, group_bytes: int = GROUP_BYTES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    scratch: Scratch,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    group_bytes: int = GROUP_BYTES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary: the remaining bytes) per document."""
-    read = texts(docs, id_col, text_col).withColumn("mark", F.xxhash64("body"))
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary: the remaining bytes) per document.
+
+    With ``carry`` the other columns of a row follow in the struct ``carried``, and cut characters go as a whole.
+    """
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    other = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("carried")] if carry else []
+    whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("body"), *other).withColumn("mark", F.xxhash64("body"))
+    read = whole.select("doc_id", "body", "mark")
     long = read.filter(F.octet_length("body") >= length)
     found = long.select("doc_id", "mark", "body").mapInArrow(_anchor_rows(length, gram), "doc_id bigint, mark bigint, key bigint, first bigint, last bigint")
     found = scratch.table(found, "anchors")
@@ -382,10 +416,24 @@ def without_repeats(
         F.col("doc_id").alias("d"), F.col("mark").alias("m"), F.struct((F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b") + length).alias("b")).alias("r")
     )
     spans = spans.groupBy("d", "m").agg(F.collect_set("r").alias("runs"))
-    back = read.join(spans, same_doc, "left").select("doc_id", "body", "runs")
-    return back.mapInArrow(_cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    carried = ["carried"] if carry else []
+    back = whole.join(spans, same_doc, "left").select("doc_id", "body", "runs", *carried)
+    kinds = "".join(f", carried {whole.schema['carried'].dataType.simpleString()}" for _ in carried)
+    return back.mapInArrow(_cut(carry), f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary{kinds}")
 
 
 def removal_digests(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
     return without_repeats(docs, scratch, **options).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def cleaned(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with repeated strings cut out of the text, and ``n_chars``, if there, counted anew.
+
+    A character that a cut would halve goes as a whole. Null text becomes empty.
+    """
+    found = without_repeats(docs, scratch, id_col=id_col, text_col=text_col, carry=True, **options)
+    out = found.select("carried.*", F.col("kept").cast("string").alias(text_col))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -81,19 +81,23 @@ def _frequencies(definition):
 
     def block_row(block: int, names: list, bodies: list[bytes]) -> pa.RecordBatch:
         tool = encoder(definition.value)
-        hashes, docs, firsts = [], [], {}
-        for start, stop in slices(bodies, 4 << 20):
+        hashes, docs, often, firsts = [], [], [], {}
+        for start, stop in slices(bodies, 2 << 20):
             words, counts = tool.pieces(bodies[start:stop])
-            distinct, first = np.unique(words.hashes, return_index=True)
+            distinct, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
             for h, i in zip(distinct.tolist(), first.tolist(), strict=True):
                 if h not in firsts:
                     firsts[h] = words.piece(i)
-            hashes.append(words.hashes)
-            docs.append(np.repeat(np.arange(start, stop), counts))
+            pairs = np.repeat(np.arange(stop - start), counts) * max(1, len(distinct)) + inverse
+            pairs, times = np.unique(pairs, return_counts=True)
+            doc, word = np.divmod(pairs, max(1, len(distinct)))
+            hashes.append(distinct[word])
+            docs.append((doc + start).astype(np.int32))
+            often.append(times.astype(np.int32))
+        # Pairs ascend by document and hash, and the block's words are numbered in the order of their hashes.
         vocabulary = np.array(sorted(firsts), np.uint64)
+        doc, times = np.concatenate(docs), np.concatenate(often).astype(np.int64)
         word = np.searchsorted(vocabulary, np.concatenate(hashes))
-        pairs, times = np.unique(np.concatenate(docs) * max(1, len(vocabulary)) + word, return_counts=True)
-        doc, word = np.divmod(pairs, max(1, len(vocabulary)))
         packed, n_words = pack_frequencies(doc, word, times, len(bodies))
         row = {"block": block, "words": [firsts[h] for h in vocabulary.tolist()], "doc_ids": names}
         row |= {"n_bytes": [len(b) for b in bodies], "n_words": n_words, "times": packed}
