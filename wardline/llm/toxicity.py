@@ -41,12 +41,12 @@ THRESHOLD = 0.3
 #: Entries of the vocabulary, entries a voter may hold, voters.
 VOCABULARY, VOTER_ENTRIES, VOTERS = 4000, 6, 64
 #: An entry is in so many toxic documents, and so many times likelier there.
-SUPPORT, RATIO, VOTER_RATIO = 4, 6.0, 20.0
+SUPPORT, RATIO, VOTER_RATIO = 4, 6.0, 60.0
 BEGINNINGS = (3, 4, 5, 6, 7)
 #: From so many occurrences in a document on, an entry counts as another one (``word-#2``).
 OFTEN = (2, 4)
 #: Documents' worth of weight that the labelled rates keep in the label model.
-TRUST = 50
+TRUST = 4000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -162,31 +162,36 @@ def _entries_of(vocabulary):
 
 @dataclass
 class LabelModel:
-    """P(vote | class) per voter, correlations between voters given the class, and the prior."""
+    """P(vote | class) per voter, positive correlations between voters given the class, and the class share.
+
+    Abstaining is no evidence by itself; where all voters abstain the class share is ``silent``.
+    """
 
     if_toxic: np.ndarray
     if_clean: np.ndarray
     correlation: np.ndarray
     prior: float
+    silent: float
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        share = 1 / np.maximum(1, np.abs(self.correlation).sum(axis=1))
-        odds = np.log(self.prior / (1 - self.prior)) + votes @ (np.log(self.if_toxic / self.if_clean) * share)
+        share = 1 / np.maximum(1, self.correlation.sum(axis=1))
+        base = np.where(votes.any(axis=1), self.prior, self.silent)
+        odds = np.log(base / (1 - base)) + votes @ (np.log(self.if_toxic / self.if_clean) * share)
         return 1 / (1 + np.exp(-np.clip(odds, -60, 60)))
 
 
 def fit_label_model(votes: np.ndarray, label: np.ndarray, weight: np.ndarray, turns: int = 40) -> LabelModel:
     """Expectation maximisation over a 0/1 matrix of votes (0: the voter abstains).
 
-    ``weight`` makes up for classes that are sampled unequally. The prior is the class share among
-    documents on which all voters abstain.
+    ``weight`` makes up for classes that are sampled unequally.
     """
     none = ~votes.any(axis=1)
-    prior = float(np.clip((weight[none & (label == 1)].sum() + 0.5) / (weight[none].sum() + 1), 1e-3, 0.5))
+    prior = float(np.clip(np.average(label, weights=weight), 1e-3, 0.9))
+    silent = float(np.clip((weight[none & (label == 1)].sum() + 0.5) / (weight[none].sum() + 1), 1e-3, 0.9))
     toxic, clean = weight * (label == 1), weight * (label == 0)
     given_toxic = (toxic @ votes + 0.1) / (toxic.sum() + 0.2)
     given_clean = (clean @ votes + 0.1) / (clean.sum() + 0.2)
-    model = LabelModel(given_toxic, given_clean, np.eye(votes.shape[1]), prior)
+    model = LabelModel(given_toxic, given_clean, np.eye(votes.shape[1]), prior, silent)
     for _ in range(turns):
         belief = model.posterior(votes)
         high, low = belief * weight, (1 - belief) * weight
@@ -194,7 +199,7 @@ def fit_label_model(votes: np.ndarray, label: np.ndarray, weight: np.ndarray, tu
         cover = (left * weight[:, None]).T @ left
         size = np.sqrt(np.maximum(np.diag(cover), 1e-9))
         found = cover / np.outer(size, size)
-        model.correlation = np.where(np.abs(found) >= 0.3, found, 0)
+        model.correlation = np.where(found >= 0.3, found, 0)
         np.fill_diagonal(model.correlation, 1)
         model.if_toxic = (high @ votes + TRUST * given_toxic) / (high.sum() + TRUST)
         model.if_clean = (low @ votes + TRUST * given_clean) / (low.sum() + TRUST)
