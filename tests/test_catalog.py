@@ -6,8 +6,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as contract
+from wardline.catalog.registry import ENTRIES
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES = {name: run for name, run in contract.queries().items() if name in ENTRIES}
+SQL = {name: sql for name, sql in contract.oracle_sql().items() if name in ENTRIES}
 
 # These ask for one patient or day that the smallest tables need not hold.
 MAY_BE_EMPTY = {

@@ -6,13 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from wardline.operators.joins import interval_join
+from wardline.catalog.registry import ENTRIES
+from wardline.operators.joins import interval_join, left_join_many
 from wardline.operators.lists import list_ends
 from wardline.plans import cohorts, financial, parts
 from wardline.functions import codes
 from wardline.sources.standins import standin_tables
 
-QUERIES = contract.queries()
+QUERIES = {name: run for name, run in contract.queries().items() if name in ENTRIES}
 
 
 def plan(df) -> str:
@@ -144,3 +145,51 @@ def test_family_is_a_set_lookup(spark, sf_dir):
         t, codes.NEURO_TYPE_UUID, codes.DIAGNOSIS, codes.HYDROCEPHALUS_DX
     )
     assert "INSET" in optimized(listed)
+
+
+def _final(df) -> str:
+    """The plan that ran."""
+    df.collect()
+    return plan(df).split("Initial Plan")[0]
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_ends_of_few_rows_read_their_table_once(spark, sf_dir, threshold):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for key in keys:
+        spark.conf.set(key, threshold)
+    try:
+        lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+        asked = spark.range(50).select(F.col("id").alias("l_orderkey"))
+        some = lines.join(asked, "l_orderkey")
+        df = list_ends(some, ["l_orderkey"], "l_partkey", ["l_linenumber", "l_partkey"], few=True)
+        assert _final(df).count("FileScan parquet") == 1
+    finally:
+        for key in keys:
+            spark.conf.unset(key)
+
+
+def test_a_hot_right_side_of_a_left_join_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        left = spark.range(200, numPartitions=4).select("id", F.lit("x").alias("a"))
+        hot = F.when(F.col("n") % 3 == 0, 7).otherwise(F.col("n") % 150)
+        right = spark.range(30_000, numPartitions=6).withColumnRenamed("id", "n")
+        right = right.select(hot.cast("bigint").alias("id"), F.col("n").alias("b"))
+        df = left_join_many(left, right, ["id"])
+        assert "skew=true" in _final(df)
+        assert df.filter("b is null").count() == left.join(right, "id", "left_anti").count() > 0
+        assert df.count() == left.join(right, "id", "left").count()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

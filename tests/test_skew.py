@@ -27,6 +27,9 @@ BY_PRIORITY = {
         "agg_concat_distinct",
         "agg_list_ends",
         "agg_pick_first",
+        "report_daily_list_ranked_every_day",
+        "report_financial",
+        "report_financial_slots",
         "diagnosis_ranks",
         "diagnosis_slots",
         "report_bookings",
@@ -42,6 +45,8 @@ BY_PRIORITY = {
         "stat_a_seen",
         "stat_a_new",
         "stat_b_seen",
+        "stat_b_new",
+        "stat_a_followup",
     ],
     "5-LOW": ["report_operative_every_day", "stat_shunt_total", "cohort_a_operations"],
 }

@@ -355,12 +355,14 @@ def _(s):
              AS jan_jun,
            CAST(sum(CASE WHEN quarter(o_orderdate) IN (3, 4) THEN 1 ELSE 0 END) AS BIGINT)
              AS jul_dec,
-           CAST(count(o_custkey) AS BIGINT) AS total
+           CAST(count(CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END) AS BIGINT) AS total
     FROM orders GROUP BY quarter(o_orderdate)
     """,
 )
 def _(s):
-    return A.half_year_counts(s.orders, F.quarter("o_orderdate"), F.lit(1))
+    # A counted column that really holds nulls.
+    known = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey"))
+    return A.half_year_counts(s.orders, F.quarter("o_orderdate"), F.lit(1), known)
 
 
 @query(
@@ -506,13 +508,17 @@ def _(s):
 @query(
     "agg_pick_first",
     """
-    SELECT user_id, arg_min(event_type, ts) AS event_type, arg_min(value, ts) AS value
+    SELECT user_id, arg_min(event_type, (ts, event_id)) AS event_type,
+           arg_min(value, (ts, event_id)) AS value
     FROM events GROUP BY user_id
     """,
 )
 def _(s):
     return A.pick_first(
-        s.events, ["user_id"], "ts", {"event_type": "event_type", "value": "value"}
+        s.events,
+        ["user_id"],
+        ["ts", "event_id"],
+        {"event_type": "event_type", "value": "value"},
     )
 
 

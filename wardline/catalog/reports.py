@@ -118,13 +118,12 @@ _PAID_COLUMNS = ", ".join(
 _PEOPLE = ("person", "person_name", "patient_identifier")
 
 
-@report(
-    "report_daily_list_ranked",
-    with_tables("encounter", "obs", "concept_name", *_PEOPLE)
-    + _CN
-    + _RANKS
-    + _ONE_PERSON
-    + f"""
+def _ranked_sql(day: dt.date | None) -> str:
+    on_day = f"AND CAST(e.encounter_datetime AS DATE) = DATE '{day}'" if day else ""
+    return (
+        with_tables("encounter", "obs", "concept_name", *_PEOPLE)
+        + _CN + _RANKS + _ONE_PERSON
+        + f"""
     SELECT e.patient_id, e.encounter_id, CAST(e.encounter_datetime AS DATE) AS "encounterDate",
            i.identifier AS "KH_Number", w.full_name AS patient_name,
            {_AGE.format(at="e.encounter_datetime")} AS age, a."Primary", a."Secondary",
@@ -136,16 +135,23 @@ _PEOPLE = ("person", "person_name", "patient_identifier")
     JOIN called w ON w.person_id = p.person_id
     LEFT JOIN khno i ON i.patient_id = e.patient_id
     LEFT JOIN obs op ON op.person_id = e.patient_id AND op.concept_id = 159619 AND op.voided = 0
-                    AND op.value_datetime >= TIMESTAMP '{DAY}'
-    WHERE e.voided = 0 AND e.encounter_type = 15
-      AND CAST(e.encounter_datetime AS DATE) = DATE '{DAY}'
+                    AND op.value_datetime >= date_trunc('day', e.encounter_datetime)
+    WHERE e.voided = 0 AND e.encounter_type = 15 {on_day}
     GROUP BY ALL
-    """,
-)
+    """
+    )
+
+
+@report("report_daily_list_ranked", _ranked_sql(DAY))
 def _(t):
     return daily.daily_list_ranked(t, DAY, AS_OF)
 
 
+@report("report_daily_list_ranked_every_day", _ranked_sql(None))
+def _(t):
+    return daily.daily_list_ranked(t, None, AS_OF)
+
+
 @report(
     "report_bookings",
     with_tables("encounter", "obs", "concept_name", "person_name") + _CN + _BOOKED
@@ -419,7 +425,10 @@ def _(t):
 # -- operative report ---------------------------------------------------------
 
 
-def _operative_sql(condition: str) -> str:
+def _operative_sql(condition: str, number: str | None = None) -> str:
+    asked = f"AND identifier = '{number}'" if number else ""
+    join = "JOIN" if number else "LEFT JOIN"
+
     def text(concept: int, column: str, alias: str) -> str:
         return f'max(CASE WHEN o.concept_id = {concept} THEN {column} ELSE \'\' END) AS "{alias}"'
 
@@ -443,7 +452,7 @@ def _operative_sql(condition: str) -> str:
         with_tables("encounter", "obs", "concept_name", *_PEOPLE) + _CN
         + f""",
 khno AS (SELECT patient_id, min(identifier) AS identifier FROM patient_identifier
-         WHERE identifier_type = 4 AND voided = 0 GROUP BY patient_id),
+         WHERE identifier_type = 4 AND voided = 0 {asked} GROUP BY patient_id),
 called AS (SELECT person_id, min(concat_ws(' ', family_name, given_name)) AS full_name
            FROM person_name WHERE voided = 0 GROUP BY person_id),
 written AS (
@@ -455,7 +464,7 @@ FROM obs o
 JOIN encounter e ON e.encounter_id = o.encounter_id AND e.voided = 0
 JOIN person p ON p.person_id = e.patient_id AND p.voided = 0
 JOIN called w ON w.person_id = p.person_id
-LEFT JOIN khno i ON i.patient_id = e.patient_id
+{join} khno i ON i.patient_id = e.patient_id
 LEFT JOIN names n ON n.concept_id = o.value_coded
 WHERE e.encounter_type = 16
 GROUP BY e.patient_id, i.identifier, w.full_name, p.birthdate, p.gender, e.encounter_datetime,
@@ -475,7 +484,7 @@ def _(t):
 
 @report(
     "report_operative_by_number",
-    _operative_sql(f"\"DoO\" = DATE '{SURGERY_DAY}' AND \"khNo\" = 'KH-{SURGERY_PATIENT}'"),
+    _operative_sql(f"\"DoO\" = DATE '{SURGERY_DAY}'", number=f"KH-{SURGERY_PATIENT}"),
 )
 def _(t):
     return operative.operative_report(
@@ -483,6 +492,11 @@ def _(t):
     )
 
 
+@report("report_operative_by_second_number", _operative_sql("true", number="KH-B0"))
+def _(t):
+    return operative.operative_report(t, hospital_number="KH-B0")
+
+
 @report("report_operative_every_day", _operative_sql("true"))
 def _(t):
     return operative.operative_report(t)
@@ -570,7 +584,7 @@ def _visits_sql(
         + f""",
 listed AS (
   SELECT e.encounter_id, e.patient_id, p.birthdate, e.encounter_datetime,
-         string_split(string_agg(CAST(o.value_coded AS VARCHAR), '|' ORDER BY o.obs_id), '|')
+         string_split(string_agg(CAST(o.value_coded AS VARCHAR), '|' ORDER BY o.obs_id, o.value_coded), '|')
            AS items
   FROM encounter e
   JOIN person p ON p.person_id = e.patient_id AND p.voided = 0
@@ -578,7 +592,7 @@ listed AS (
   WHERE o.concept_id = 6042 AND e.encounter_type = 11 GROUP BY ALL),
 vt AS (
   SELECT e.encounter_id,
-         CASE arg_min(o.value_coded, o.obs_id) WHEN 164180 THEN 'Initial'
+         CASE arg_min(o.value_coded, (o.obs_id, o.value_coded)) WHEN 164180 THEN 'Initial'
               WHEN 160530 THEN 'Followup' ELSE 'None' END AS visit_type
   FROM encounter e JOIN obs o ON o.person_id = e.patient_id AND o.encounter_id = e.encounter_id
   WHERE o.concept_id = 164181 AND e.encounter_type = 11 GROUP BY e.encounter_id),

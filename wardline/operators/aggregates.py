@@ -146,20 +146,31 @@ def ordered_concat(
     )
 
 
-def half_year_counts(df: DataFrame, quarter: Column, weight: Column) -> DataFrame:
-    """Per quarter, how much weight falls into either half-year, and in all."""
+def half_year_counts(
+    df: DataFrame, quarter: Column, weight: Column, counted: Column | None = None
+) -> DataFrame:
+    """Per quarter, how much weight falls into either half-year, and in all.
+
+    ``counted`` is the column whose nulls the total leaves out, as a count of it
+    would; the half-years count rows whatever it holds.
+    """
+    in_all = weight if counted is None else F.when(counted.isNotNull(), weight).otherwise(0)
 
     def count_in(*quarters: int) -> Column:
         inside = F.when(F.col("_quarter").isin(*quarters), F.col("_weight")).otherwise(F.lit(0))
         return F.sum(inside).cast("bigint")
 
     return (
-        df.select(quarter.alias("_quarter"), weight.cast("bigint").alias("_weight"))
+        df.select(
+            quarter.alias("_quarter"),
+            weight.cast("bigint").alias("_weight"),
+            in_all.cast("bigint").alias("_in_all"),
+        )
         .groupBy("_quarter")
         .agg(
             count_in(1, 2).alias("jan_jun"),
             count_in(3, 4).alias("jul_dec"),
-            F.sum("_weight").alias("total"),
+            F.sum("_in_all").alias("total"),
         )
         .drop("_quarter")
     )

@@ -39,17 +39,21 @@ def left_join_filtered(
     return df.join(dim.filter(condition), list(on), "left")
 
 
-def left_join_many(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def left_join_many(
+    left: DataFrame, right: DataFrame, on: Sequence[str], among: DataFrame | None = None
+) -> DataFrame:
     """Left join to a side where one key may hold very many rows.
 
     Adaptive execution can split such a key on either side of an inner join, but
-    not on the right of a left join. So matches come from an inner join, and the
-    rows without one from an anti join against the distinct keys.
+    not on the right of a left join. So the right side gets a row of nulls for
+    each key it lacks, and the join is an inner one, done once. Only distinct keys
+    are compared for that. ``among`` is any table that has all keys of the left
+    side, if one is cheaper to read. Keys must not be null.
     """
     keys = list(on)
-    matched = left.join(right, keys)
-    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    asked = (left if among is None else among).select(*keys).distinct()
+    lacking = asked.join(right.select(*keys).distinct(), keys, "left_anti")
+    return left.join(right.unionByName(lacking, allowMissingColumns=True), keys)
 
 
 def with_name(

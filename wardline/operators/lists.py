@@ -20,6 +20,7 @@ def list_ends(
     order: str | Sequence[str],
     descending: bool = False,
     carry: Sequence[str] = (),
+    few: bool = False,
 ) -> DataFrame:
     """Per key: `first`, `second` and, where there are three or more, `last`.
 
@@ -33,7 +34,14 @@ def list_ends(
     sorted last instead of filtered, so that shuffles below them are reused.
     Keys must not be null, and `order` must be total, but for ties between equal
     values.
+
+    ``few`` says that the rows were restricted to a small part of their table. They
+    are then dealt out by the first key here, so that the halves share one pass
+    over the table also where the restriction is a broadcast and no shuffle
+    lies below them. Otherwise the map-side limits save more than that.
     """
+    if few:
+        df = df.repartition(keys[0])
     names = [order] if isinstance(order, str) else list(order)
     by = F.col(names[0]) if len(names) == 1 else F.struct(*names)
     member = F.col(value).isNotNull()

@@ -88,7 +88,7 @@ def visit_statistic(
         asked = t.obs.filter(F.col("concept_id") == codes.VISIT_TYPE).withColumnRenamed(
             "person_id", "patient_id"
         )
-        typed = pick_first(asked, keys, "obs_id", {"_answer": "value_coded"})
+        typed = pick_first(asked, keys, ["obs_id", "value_coded"], {"_answer": "value_coded"})
         label = label_code("_answer", codes.VISIT_TYPE_LABELS, codes.VISIT_TYPE_DEFAULT)
         kept = kept.join(typed.filter(label == visit_type).select(*keys), keys)
 
@@ -96,7 +96,9 @@ def visit_statistic(
     counted = kept.join(people, "patient_id").filter(
         age_years("encounter_datetime", "birthdate") < max_age
     )
-    quarters = half_year_counts(counted, F.quarter("encounter_datetime"), F.lit(1))
+    quarters = half_year_counts(
+        counted, F.quarter("encounter_datetime"), F.lit(1), F.col("patient_id")
+    )
     return one_row_statistic(quarters, combine) if wrap else quarters
 
 
@@ -128,5 +130,7 @@ def operation_statistic(
         .select("patient_id")
     )
     counted = encounters.join(counts, "encounter_id").join(young, "patient_id")
-    quarters = half_year_counts(counted, F.quarter("encounter_datetime"), F.col("_n"))
+    quarters = half_year_counts(
+        counted, F.quarter("encounter_datetime"), F.col("_n"), F.col("patient_id")
+    )
     return one_row_statistic(quarters, combine)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.functions import codes
 from wardline.functions.columns import age_years, days_since, on_day, up_to_day
-from wardline.operators.joins import interval_join, within
+from wardline.operators.joins import interval_join, left_join_many, within
 from wardline.plans import parts
 from wardline.sources.tables import Tables
 
@@ -34,38 +34,55 @@ def _earliest_booking():
     ).alias("_booking")
 
 
-def daily_list_ranked(t: Tables, effective_date: dt.date, as_of: dt.date) -> DataFrame:
+def _next_operation(
+    t: Tables, day: DataFrame, patients: DataFrame | None, effective_date: dt.date | None
+) -> DataFrame:
+    """patient_id, _day, DoO: the first operation date on or after each day of admission.
+
+    Days of admission and of operation are made distinct and put on one line per
+    patient, so a patient costs at most two rows a day and no pairs are compared.
+    """
+    operations = parts.live(t.obs).filter(F.col("concept_id") == codes.OPERATION_DATE)
+    if effective_date is not None:
+        start = F.lit(dt.datetime.combine(effective_date, dt.time())).cast("timestamp_ntz")
+        operations = operations.filter(F.col("value_datetime") >= start)
+    operations = operations.select(
+        F.col("person_id").alias("patient_id"), F.to_date("value_datetime").alias("_day")
+    )
+    operated = within(operations, "patient_id", patients).distinct()
+    admitted = day.select("patient_id", F.to_date("encounter_datetime").alias("_day")).distinct()
+    line = operated.withColumn("_operated", F.col("_day")).unionByName(
+        admitted.withColumn("_operated", F.lit(None).cast("date"))
+    )
+    from_here = (
+        Window.partitionBy("patient_id")
+        .orderBy(F.desc("_day"))
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    dated = line.withColumn("DoO", F.min("_operated").over(from_here))
+    return dated.filter(F.col("_operated").isNull()).select("patient_id", "_day", "DoO")
+
+
+def daily_list_ranked(t: Tables, effective_date: dt.date | None, as_of: dt.date) -> DataFrame:
     """Admissions of a day with ranked diagnoses and the next date of operation.
 
     One row per patient and encounter; of several names or hospital numbers the
-    smallest is shown. The operation date is the earliest on or after the day.
+    smallest is shown. The operation date is the earliest on or after the day of
+    admission. Without a date, the admissions of every day.
     """
     day = _admissions(t, effective_date)
-    patients = day.select("patient_id").distinct()
-    start = F.lit(dt.datetime.combine(effective_date, dt.time())).cast("timestamp_ntz")
-    operations = (
-        parts.live(t.obs)
-        .filter(F.col("concept_id") == codes.OPERATION_DATE)
-        .filter(F.col("value_datetime") >= start)
-        .select(F.col("person_id").alias("patient_id"), "value_datetime")
-    )
-    next_operation = (
-        within(operations, "patient_id", patients)
-        .groupBy("patient_id")
-        .agg(F.min(F.to_date("value_datetime")).alias("DoO"))
-    )
+    narrow = effective_date is not None
+    patients = parts.patients_of(day) if narrow else None
     # The person shown is the one the diagnoses were recorded for.
-    diagnoses = parts.diagnosis_ranks(t, day)
-    persons = parts.people(t).withColumnRenamed("patient_id", "person_id")
-    names = parts.one_full_name(t, "patient_name", _NAME_PARTS).withColumnRenamed(
-        "patient_id", "person_id"
+    diagnoses = parts.diagnosis_ranks(
+        t, day, carry=["patient_id", "encounter_datetime"], few=narrow
     )
+    persons = parts.people(t).withColumnRenamed("patient_id", "person_id")
+    seen = diagnoses.join(persons, "person_id").withColumn("_day", F.to_date("encounter_datetime"))
     return (
-        day.join(diagnoses, "encounter_id")
-        .join(persons, "person_id")
-        .join(names, "person_id")
+        parts.with_full_name(t, seen, "person_id", "patient_name", _NAME_PARTS)
         .join(parts.one_hospital_number(t, patients), "patient_id", "left")
-        .join(next_operation, "patient_id", "left")
+        .join(_next_operation(t, day, patients, effective_date), ["patient_id", "_day"], "left")
         .select(
             "patient_id",
             "encounter_id",
@@ -89,7 +106,7 @@ def daily_list_linked(t: Tables, effective_date: dt.date | None, as_of: dt.date)
     """
     day = _admissions(t, effective_date)
     narrow = effective_date is not None
-    patients = day.select("patient_id").distinct() if narrow else None
+    patients = parts.patients_of(day) if narrow else None
     booked = parts.booking_side(parts.bookings(t, patients=patients))
     first_booking = (
         interval_join(
@@ -99,15 +116,14 @@ def daily_list_linked(t: Tables, effective_date: dt.date | None, as_of: dt.date)
         .agg(_earliest_booking())
     )
     persons = parts.people(t).withColumnRenamed("patient_id", "person_id")
-    names = parts.one_full_name(t, "patient_name", _NAME_PARTS).withColumnRenamed(
-        "patient_id", "person_id"
-    )
     appointment = F.to_date("_booking.Appointment_Date")
-    return (
-        first_booking.join(parts.diagnosis_ranks(t, day), "encounter_id")
+    seen = (
+        first_booking.join(parts.diagnosis_ranks(t, day, few=narrow), "encounter_id")
         .join(parts.notes(t, day if narrow else None), "encounter_id")
         .join(persons, "person_id")
-        .join(names, "person_id")
+    )
+    return (
+        parts.with_full_name(t, seen, "person_id", "patient_name", _NAME_PARTS)
         .join(parts.one_hospital_number(t, patients), "patient_id", "left")
         .select(
             "patient_id",
@@ -138,14 +154,14 @@ def daily_list_slots(t: Tables, effective_date: dt.date | None, as_of: dt.date)
         day = day.filter(on_day("encounter_datetime", effective_date))
     day = day.select("encounter_id", "patient_id", "encounter_datetime")
     narrow = effective_date is not None
-    patients = day.select("patient_id").distinct() if narrow else None
+    patients = parts.patients_of(day) if narrow else None
 
     booked = parts.bookings(
         t, parts.encounters_by_form_key(t, codes.BOOKING_FORM_UUID), patients=patients
     )
     booked = parts.booking_side(booked)
     linked = interval_join(
-        parts.diagnosis_slots(t, day),
+        parts.diagnosis_slots(t, day, few=narrow),
         booked,
         [("patient_id", "booking_patient")],
         "encounter_datetime",
@@ -153,10 +169,12 @@ def daily_list_slots(t: Tables, effective_date: dt.date | None, as_of: dt.date)
         how="left",
     )
     appointment = F.to_date("Appointment_Date")
+    called = linked.join(parts.people(t, patients), "patient_id").join(
+        parts.person_names(t, patients), "patient_id"
+    )
+    numbers = parts.hospital_numbers(t, patients)
     return (
-        linked.join(parts.people(t, patients), "patient_id")
-        .join(parts.person_names(t, patients), "patient_id")
-        .join(parts.hospital_numbers(t, patients), "patient_id", "left")
+        left_join_many(called, numbers, ["patient_id"], among=day)
         .join(parts.notes(t, day if narrow else None), "encounter_id", "left")
         .select(
             "patient_id",
@@ -187,7 +205,7 @@ def open_stays(t: Tables, effective_date: dt.date, as_of: dt.date) -> DataFrame:
         parts.encounters_by_type_key(t, codes.ADMISSION_TYPE_UUID)
         .filter(F.col("visit_id").isNotNull())
         .filter(up_to_day("encounter_datetime", effective_date))
-        .select("encounter_id", "patient_id", "visit_id", "encounter_datetime")
+        .select("encounter_id", "patient_id", "visit_id", "encounter_datetime", "voided")
     )
     visits = parts.live(t.visit).select("visit_id", "date_stopped")
     left = (
@@ -200,10 +218,16 @@ def open_stays(t: Tables, effective_date: dt.date, as_of: dt.date) -> DataFrame:
         .join(left, ["visit_id", "patient_id"], "left")
         .filter(F.col("date_stopped").isNull() | F.col("date_of_discharge").isNull())
     )
+    # What the stays do not need is not read: first which they are, then the rest for them.
+    shown = still_open.groupBy("patient_id", "visit_id").agg(
+        F.min("encounter_id").alias("encounter_id"),
+        F.min_by("voided", "encounter_id").alias("voided"),
+    )
+    patients = parts.patients_of(shown)
     stays = (
         interval_join(
-            still_open,
-            parts.booking_side(parts.bookings(t)),
+            still_open.drop("voided"),
+            parts.booking_side(parts.bookings(t, patients=patients)),
             [("patient_id", "booking_patient")],
             "encounter_datetime",
             "Appointment_Date",
@@ -218,17 +242,16 @@ def open_stays(t: Tables, effective_date: dt.date, as_of: dt.date) -> DataFrame:
             _earliest_booking(),
         )
     )
-    admissions = _admissions(t, None)
-    diagnoses = parts.diagnosis_ranks(t, admissions).select(
+    diagnoses = parts.diagnosis_ranks(t, parts.live(shown), few=True).select(
         "encounter_id", "Primary", "Secondary"
     )
     appointment = F.to_date("_booking.Appointment_Date")
     return (
-        stays.join(parts.people(t, alive=True), "patient_id")
-        .join(parts.one_full_name(t, "patient_name", _NAME_PARTS), "patient_id")
-        .join(parts.one_hospital_number(t), "patient_id", "left")
+        stays.join(parts.people(t, patients, alive=True), "patient_id")
+        .join(parts.one_full_name(t, "patient_name", _NAME_PARTS, patients), "patient_id")
+        .join(parts.one_hospital_number(t, patients), "patient_id", "left")
         .join(diagnoses, "encounter_id", "left")
-        .join(parts.notes(t), "encounter_id", "left")
+        .join(parts.notes(t, shown), "encounter_id", "left")
         .select(
             "patient_id",
             "encounter_id",

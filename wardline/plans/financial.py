@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import codes
 from wardline.functions.columns import between_days
-from wardline.operators.joins import interval_join, within
+from wardline.operators.joins import interval_join, left_join_many, within
 from wardline.plans import parts
 from wardline.sources.schemas import COST_COLUMNS
 from wardline.sources.tables import Tables
@@ -47,21 +47,17 @@ def payment_summary(t: Tables) -> DataFrame:
         .filter(F.col("concept_id") == codes.HOSPITAL_NUMBER)
         .select(F.col("person_id").alias("patient_id"), F.col("value_text").alias("KH_Number"))
     )
-    return (
-        cost.join(parts.people(t), "patient_id")
-        .join(parts.person_names(t), "patient_id")
-        .join(numbers, "patient_id", "left")
-        .select(
-            "KH_Number",
-            F.col("family_name").alias("last_name"),
-            F.col("given_name").alias("first_name"),
-            F.col("birthdate").alias("dob"),
-            F.col("gender").alias("sex"),
-            "patient_id",
-            *COST_COLUMNS,
-            "account_name",
-            *_PAID,
-        )
+    called = cost.join(parts.people(t), "patient_id").join(parts.person_names(t), "patient_id")
+    return left_join_many(called, numbers, ["patient_id"], among=t.charges).select(
+        "KH_Number",
+        F.col("family_name").alias("last_name"),
+        F.col("given_name").alias("first_name"),
+        F.col("birthdate").alias("dob"),
+        F.col("gender").alias("sex"),
+        "patient_id",
+        *COST_COLUMNS,
+        "account_name",
+        *_PAID,
     )
 
 
@@ -72,13 +68,15 @@ def _ranked_admissions(t: Tables, charged: DataFrame | None) -> DataFrame:
     """Admissions with ranked diagnoses; ``charged`` limits them to its visits."""
     admitted = parts.live(parts.encounters_by_type_key(t, codes.ADMISSION_TYPE_UUID))
     admitted = _of_charges(admitted, charged)
-    return _located(t, admitted.join(parts.diagnosis_ranks(t, admitted), "encounter_id"))
+    carry = [c for c in _ADMISSION if c != "encounter_id"]
+    ranked = parts.diagnosis_ranks(t, admitted, carry=carry, few=charged is not None)
+    return _located(t, ranked)
 
 
 def _slotted_admissions(t: Tables, charged: DataFrame | None) -> DataFrame:
     """Admissions by form with diagnosis slots. Deleted ones count too."""
     admitted = parts.encounters_by_form_key(t, codes.ADMISSION_FORM_UUID)
-    slots = parts.diagnosis_slots(t, _of_charges(admitted, charged))
+    slots = parts.diagnosis_slots(t, _of_charges(admitted, charged), few=charged is not None)
     return _located(t, slots.withColumnsRenamed({"dx1": "Primary", "dx2": "Secondary"}))
 
 
@@ -99,21 +97,32 @@ def _located(t: Tables, admitted: DataFrame) -> DataFrame:
     )
 
 
-def _with_stay(t: Tables, cost: DataFrame) -> DataFrame:
-    """Add booking, discharge and patient to charges joined with an admission."""
+def _with_stay(t: Tables, cost: DataFrame, charged: DataFrame | None = None) -> DataFrame:
+    """Add booking, discharge and patient to charges joined with an admission.
+
+    ``charged`` limits what is read to the patients of its charges.
+    """
+    patients = None if charged is None else parts.patients_of(charged)
+    among = t.charges if charged is None else charged
     linked = interval_join(
         cost,
-        parts.booking_side(parts.bookings(t)),
+        parts.booking_side(parts.bookings(t, patients=patients)),
         [("patient_id", "booking_patient")],
         "DoA",
         "Appointment_Date",
         how="left",
     )
-    return (
-        linked.join(parts.discharges(t), ["patient_id", "visit_id"], "left")
-        .join(parts.people(t), "patient_id")
-        .join(parts.person_names(t), "patient_id")
-        .join(parts.hospital_numbers(t), "patient_id", "left")
+    left = left_join_many(
+        linked,
+        parts.discharges(t, patients),
+        ["patient_id", "visit_id"],
+        among=among.filter(F.col("visit_id").isNotNull()),
+    )
+    called = left.join(parts.people(t, patients), "patient_id").join(
+        parts.person_names(t, patients), "patient_id"
+    )
+    return left_join_many(
+        called, parts.hospital_numbers(t, patients), ["patient_id"], among=among
     )
 
 
@@ -172,7 +181,7 @@ def financial_report(
         .join(t.charge_account, "charge_account_id")
         .join(admitted(t, charged), "visit_id")
     )
-    return _with_stay(t, cost).select(
+    return _with_stay(t, cost, charged).select(
         F.col("identifier").alias("kh_number"),
         F.col("family_name").alias("last_name"),
         F.col("given_name").alias("first_name"),

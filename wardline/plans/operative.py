@@ -37,8 +37,9 @@ def operative_report(
     """One row per surgery encounter with at least one observation.
 
     Day and patient, or day and hospital number, choose the rows; they are
-    applied before observations are read. Of several names or hospital numbers
-    of a patient the smallest is shown and compared.
+    applied before observations are read. Any live hospital number of a patient
+    finds the patient, and the one asked for is shown. Otherwise, and of several
+    names, the smallest is shown.
     """
     surgery = parts.live(t.encounter).filter(F.col("encounter_type") == codes.SURGERY_TYPE)
     if date_of_operation is not None:
@@ -46,6 +47,9 @@ def operative_report(
     if patient is not None:
         surgery = surgery.filter(F.col("patient_id") == patient)
     surgery = surgery.select("encounter_id", "patient_id", "encounter_datetime")
+    if hospital_number is not None:
+        numbered = parts.hospital_numbers(t).filter(F.col("identifier") == hospital_number)
+        surgery = surgery.join(numbered.distinct(), "patient_id")
 
     narrow = any(p is not None for p in (date_of_operation, patient, hospital_number))
     patients = surgery.select("patient_id").distinct() if narrow else None
@@ -55,10 +59,9 @@ def operative_report(
             parts.one_full_name(t, "full_name", ("family_name", "given_name"), patients),
             "patient_id",
         )
-        .join(parts.one_hospital_number(t, patients), "patient_id", "left")
     )
-    if hospital_number is not None:
-        who = who.filter(F.col("identifier") == hospital_number)
+    if hospital_number is None:
+        who = who.join(parts.one_hospital_number(t, patients), "patient_id", "left")
 
     obs = within(t.obs, "encounter_id", who)
     code = F.when(F.col("concept_id").isin(*_NAMED), F.col("value_coded"))

@@ -89,6 +89,19 @@ def one_full_name(
     return names.groupBy("patient_id").agg(F.min(full).alias(alias))
 
 
+def with_full_name(
+    t: Tables, df: DataFrame, person: str, alias: str, parts: Sequence[str | Column]
+) -> DataFrame:
+    """Join the smallest full name to few rows, reading the names of their persons only.
+
+    People without a name on record drop out.
+    """
+    names = person_names(t).select(
+        F.col("patient_id").alias(person), F.concat_ws(" ", *parts).alias("_name")
+    )
+    return df.join(names, person).groupBy(*df.columns).agg(F.min("_name").alias(alias))
+
+
 def notes(t: Tables, encounters: DataFrame | None = None) -> DataFrame:
     """One note per encounter: the one recorded first."""
     found = live(t.obs).filter(F.col("concept_id") == codes.NOTES)
@@ -143,6 +156,11 @@ def bookings(
     )
 
 
+def patients_of(df: DataFrame) -> DataFrame:
+    """The distinct patients of a table, to restrict others by."""
+    return df.select("patient_id").distinct()
+
+
 def booking_side(booked: DataFrame) -> DataFrame:
     """Bookings as the right side of an interval join: no name shared with an encounter."""
     return booked.select(
@@ -154,67 +172,77 @@ def booking_side(booked: DataFrame) -> DataFrame:
     )
 
 
-def _rank_groups(named: DataFrame) -> DataFrame:
+def _rank_groups(named: DataFrame, carry: Sequence[str], few: bool) -> DataFrame:
     """Ranks by parsing each group's comma list, as the reports define it.
 
     The list runs from the latest observation to the earliest. A rank word
     beyond its second place, or a comma in a name, is parsed as it stands.
     """
     groups = list_ends(
-        named, _GROUP, "name", ["obs_id", "name"], descending=True, carry=["person_id"]
+        named, _GROUP, "name", ["obs_id", "name"], descending=True, carry=carry, few=few
     ).withColumn("diag", comma_text())
     return groups.select(
         "encounter_id",
-        "person_id",
+        *carry,
         ranked_member("Primary", "diag").alias("_primary"),
         ranked_member("Secondary", "diag").alias("_secondary"),
     )
 
 
-def _rank_members(named: DataFrame) -> DataFrame:
+def _rank_members(named: DataFrame, carry: Sequence[str], few: bool) -> DataFrame:
     """Ranks by membership: the rank word of a group, and its other member."""
     other = F.min(F.when(~F.col("name").isin("Primary", "Secondary"), F.col("name")))
     groups = named.groupBy(*_GROUP).agg(
-        F.max("person_id").alias("person_id"),
+        *(F.max(c).alias(c) for c in carry),
         other.alias("_other"),
         *(F.bool_or(F.col("name") == rank).alias(rank) for rank in ("Primary", "Secondary")),
     )
     return groups.select(
         "encounter_id",
-        "person_id",
+        *carry,
         F.when(F.col("Primary"), F.col("_other")).alias("_primary"),
         F.when(F.col("Secondary"), F.col("_other")).alias("_secondary"),
     )
 
 
-def diagnosis_ranks(t: Tables, encounters: DataFrame, parse: str = "list") -> DataFrame:
+def diagnosis_ranks(
+    t: Tables,
+    encounters: DataFrame,
+    parse: str = "list",
+    carry: Sequence[str] = (),
+    few: bool = False,
+) -> DataFrame:
     """Per encounter, the distinct Primary and Secondary diagnoses of its groups.
 
     A group holds a diagnosis and a rank word. ``parse`` reads the rank from the
     group's comma ``list``, as the reports do, or from its ``members``, which
     also copes with commas and longer groups. Observations are restricted to
-    the encounters first; that one shuffle serves every step above it.
+    the encounters first; ``few`` as in `list_ends`. ``carry`` names columns of
+    ``encounters`` to keep, so that they need not be joined again.
     """
     members = t.obs.filter(
         F.col("obs_group_id").isNotNull() & (F.col("concept_id") != codes.GROUP_EXCLUDED)
     ).select(*_GROUP, "person_id", "obs_id", "value_coded")
-    members = within(members, "encounter_id", encounters)
+    members = members.join(encounters.select("encounter_id", *carry), "encounter_id")
     named = with_name(members, F.col("value_coded"), display_names(t), spread_by="obs_group_id")
-    ranked = {"list": _rank_groups, "members": _rank_members}[parse](named)
+    kept = ["person_id", *carry]
+    ranked = {"list": _rank_groups, "members": _rank_members}[parse](named, kept, few)
     return distinct_concat(
         ranked,
         ["encounter_id"],
         {"Primary": "_primary", "Secondary": "_secondary"},
-        carry=["person_id"],
+        carry=kept,
     )
 
 
-def diagnosis_slots(t: Tables, encounters: DataFrame, named: bool = True) -> DataFrame:
+def diagnosis_slots(
+    t: Tables, encounters: DataFrame, named: bool = True, few: bool = False
+) -> DataFrame:
     """The encounters with a diagnosis, and their first, second and last one.
 
     ``encounters`` has `encounter_id` and `patient_id`, which both must agree
     with the observation, and columns to keep. Diagnoses are names, empty where
-    missing; or codes, null where missing.
+    missing; or codes, null where missing. ``few`` as in `list_ends`.
     """
     keys = ["encounter_id", "patient_id"]
     carry = [c for c in encounters.columns if c not in keys]
@@ -225,19 +253,22 @@ def diagnosis_slots(t: Tables, encounters: DataFrame, named: bool = True) -> Dat
     )
     if named:
         found = with_name(found, F.col("value_coded"), display_names(t), spread_by="encounter_id")
-        ends = list_ends(found, keys, "name", ["obs_id", "name"], carry=carry)
+        ends = list_ends(found, keys, "name", ["obs_id", "name"], carry=carry, few=few)
         slots = [F.coalesce(end, F.lit("")) for end in ("first", "second", "last")]
     else:
-        ends = list_ends(found, keys, "value_coded", "obs_id", carry=carry)
+        ends = list_ends(
+            found, keys, "value_coded", ["obs_id", "value_coded"], carry=carry, few=few
+        )
         slots = [F.col(end) for end in ("first", "second", "last")]
     return ends.select(
         *encounters.columns, *(s.alias(f"dx{i}") for i, s in enumerate(slots, 1))
     )
 
 
-def discharges(t: Tables) -> DataFrame:
+def discharges(t: Tables, patients: DataFrame | None = None) -> DataFrame:
     """Every discharge: patient, visit and day."""
     left = t.encounter.filter(F.col("encounter_type") == codes.DISCHARGE_TYPE)
+    left = within(left, "patient_id", patients)
     return left.select(
         "patient_id", "visit_id", F.to_date("encounter_datetime").alias("date_of_discharge")
     )
