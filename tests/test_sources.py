@@ -47,3 +47,13 @@ def test_large_tables_are_not_read_through_one_connection(spark):
     t = from_jdbc(spark, {"url": "jdbc:none:"}, key_ranges={})
     with pytest.raises(ValueError, match="key range"):
         t.obs  # noqa: B018
+
+
+def test_lookup_rows_carry_the_given_keys_and_labels(spark, sf_dir):
+    t = standin_tables(spark, sf_dir)
+    types = {r.encounter_type_id: r.name for r in t.encounter_type.collect()}
+    assert sorted(types) == list(range(1, 17))
+    assert (types[3], types[4], types[11]) == ("Discharge", "Admission", "NeuroVisit")
+    forms = {r.form_id: (r.name, r.encounter_type) for r in t.form.collect()}
+    assert sorted(forms) == list(range(1, 18))
+    assert forms[6] == ("Hospitalization", 15) and forms[17] == ("US Head Investigation", 13)

@@ -1,21 +1,22 @@
 """Rows of the two lookup tables, as VALUES lists.
 
 Fixed values: the ids and external keys that encounter types and forms have in
-the record system.
+the record system, with their labels as given. The label of type 11 goes without the name in
+brackets after it.
 """
 
 ENCOUNTER_TYPE_ROWS = """
     (1, 'Check In', 'ca3aed11-1aa4-42a1-b85c-8332fc8001fc'),
     (2, 'Vitals', '67a71486-1a54-468f-ac3e-7091a9a79584'),
-    (3, 'Discharge (simple)', '181820aa-88c9-479b-9077-af92f5364329'),
-    (4, 'Admission (simple)', 'e22e39fd-7db2-45e7-80f1-60fa0d5a4378'),
+    (3, 'Discharge', '181820aa-88c9-479b-9077-af92f5364329'),
+    (4, 'Admission', 'e22e39fd-7db2-45e7-80f1-60fa0d5a4378'),
     (5, 'Visit Note', 'd7151f82-c1f3-4152-a605-2f9ea7414a79'),
     (6, 'Check Out', '25a042b2-60bc-4940-a909-debd098b7d82'),
     (7, 'Transfer', '7b68d557-85ef-4fc8-b767-4fa4f5eb5c23'),
     (8, 'Procedures', '39d1cf6d-be3d-45d9-b224-e6f708fbdef0'),
     (9, 'Discharge', '3d2ca25a-a008-405d-a874-485d0d84c2cf'),
     (10, 'Social Form', '3faf7df1-f57d-4661-b29e-58e2969d715f'),
-    (11, 'Neuro Visit', '4d0b20e6-9bb1-4504-bb76-24486387ca7f'),
+    (11, 'NeuroVisit', '4d0b20e6-9bb1-4504-bb76-24486387ca7f'),
     (12, 'Pediatric Visits', '93c4e5dc-42ff-4512-8046-4489c9866d74'),
     (13, 'Investigations', 'b7d7740b-5767-45b6-8ae3-332476e75abf'),
     (14, 'Bookings Form', 'b9490361-6c6a-446a-a6c7-ebcd766c075a'),
