@@ -48,12 +48,18 @@ def left_join_many(
     not on the right of a left join. So the right side gets a row of nulls for
     each key it lacks, and the join is an inner one, done once. Only distinct keys
     are compared for that. ``among`` is any table that has all keys of the left
-    side, if one is cheaper to read. Keys must not be null.
+    side, if one is cheaper to read; the left side must then hold no null keys.
     """
     keys = list(on)
     asked = (left if among is None else among).select(*keys).distinct()
     lacking = asked.join(right.select(*keys).distinct(), keys, "left_anti")
-    return left.join(right.unionByName(lacking, allowMissingColumns=True), keys)
+    joined = left.join(right.unionByName(lacking, allowMissingColumns=True), keys)
+    if among is not None:
+        return joined
+    some_null = F.lit(False)
+    for key in keys:
+        some_null |= F.col(key).isNull()
+    return joined.unionByName(left.filter(some_null), allowMissingColumns=True)
 
 
 def with_name(
