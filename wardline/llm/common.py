@@ -60,6 +60,10 @@ class Scratch:
         df.write.options(**{"compression": "zstd"} | options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self) -> None:
+        """Remove the whole folder, once what was computed from it has been written."""
+        self.drop("")
+
     def drop(self, *names: str) -> None:
         """Remove tables that nothing reads any more."""
         for name in names:

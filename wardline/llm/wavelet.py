@@ -8,7 +8,7 @@ its k-th occurrence lies (select). A shard is one row of one Parquet file, its p
 document directory are binary columns compressed with zstd, so the readers fetch what they need.
 
 Null text: empty, its only id is the end id. Null ``doc_id``: first in the order. Rows that repeat a
-``doc_id`` are all kept, ordered by text. An empty table gives no shards. Other columns are ignored.
+``doc_id`` are all kept, ordered by a hash of the text. An empty table gives no shards. Other columns are ignored.
 A document is never cut, so one longer than a shard gets a shard of its own size.
 """
 
@@ -198,9 +198,10 @@ def write_shards(
         if names:
             yield flush()
 
-    order = ("doc_id", "body")
-    ranged = texts(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions(*order)
-    return scratch.table(ranged.mapInArrow(build, _ddl(bits)), "shards", maxRecordsPerFile=1)
+    # The hash splits an id with very many rows; whole texts would be sampled to the driver.
+    read = texts(docs, id_col, text_col).withColumn("mark", F.xxhash64("body"))
+    ranged = read.repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark", "body")
+    return scratch.table(ranged.select("doc_id", "body").mapInArrow(build, _ddl(bits)), "shards", maxRecordsPerFile=1)
 
 
 def _matrix(batch: pa.RecordBatch, i: int) -> WaveletMatrix:
