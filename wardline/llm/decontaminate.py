@@ -8,8 +8,8 @@ there the item is compared with the document word by word, and the document is c
 The two masks together hit every such alignment (all patterns of misses were tried), so nothing that
 meets the rule is lost.
 
-A hit counts only where its run along the alignment begins, so a passage copied word for word is
-compared once per mask, not once per word.
+Hits are reduced to distinct alignments before documents are read again for the comparison, so a passage
+copied word for word is compared once, not once per word, and no text is carried along with hits.
 
 Null or empty texts hold no words and are clean. Null ``doc_id``: reported as null. Repeated rows are
 reported once per ``doc_id`` and item. Items under ``MIN_WORDS`` words (and null ones) are not searched.
@@ -18,8 +18,6 @@ An empty table gives no rows. Other columns are ignored. A word hash stands for
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,12 +46,12 @@ def _seed(words: str, at: Column, mask: tuple[int, ...]) -> Column:
     return F.xxhash64(F.lit(mask[2]), *[F.get(words, at + F.lit(k)) for k in mask])
 
 
-def _seeds(rows: DataFrame, words: str, at: str, keep: list) -> DataFrame:
-    """A row per place and mask: ``seed, mask`` beside the kept columns."""
+def _seeds(rows: DataFrame, words: str, at: str, keep: list[str]) -> DataFrame:
+    """A row per place and mask: ``mask, seed`` beside the kept columns; the words stay behind."""
     starts = F.sequence(F.lit(0), F.size(words) - F.lit(SPAN))
     placed = rows.filter(F.size(words) >= SPAN).select(*keep, words, F.explode(starts).alias(at))
     each = F.array(*[F.struct(F.lit(m).alias("mask"), _seed(words, F.col(at), mask).alias("seed")) for m, mask in enumerate(MASKS)])
-    return placed.select(*keep, words, at, F.explode(each).alias("s")).select(*keep, words, at, "s.mask", "s.seed")
+    return placed.select(*keep, at, F.explode(each).alias("s")).select(*keep, at, "s.mask", "s.seed")
 
 
 def contaminated(
@@ -66,21 +64,24 @@ def contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, n_words`` (of the item)``, n_matched`` (on its best alignment), ``doc_word`` (where that begins)."""
     wanted = items.select(F.col(item_col).alias("item_id"), word_hashes(F.col(item_text_col)).alias("item"))
-    wanted = wanted.filter(F.size("item") >= MIN_WORDS).distinct()
-    seeds = _seeds(wanted, "item", "item_at", ["item_id"]).select("item_id", "item", "item_at", "mask", "seed")
-    if seeds.count() <= BROADCAST_SEEDS:
-        seeds = F.broadcast(seeds)
-    read = docs.select(F.col(id_col).alias("doc_id"), word_hashes(F.col(text_col)).alias("words"))
-    hits = _seeds(read, "words", "at", ["doc_id"]).join(seeds, ["mask", "seed"])
-
-    def goes_on(mask: tuple[int, ...]) -> Column:
-        pairs = [
-            F.get("words", F.col("at") - 1 + F.lit(k)) == F.get("item", F.col("item_at") - 1 + F.lit(k)) for k in mask
-        ]
-        return (F.col("at") > 0) & (F.col("item_at") > 0) & reduce(Column.__and__, pairs)
-
-    run = F.when(F.col("mask") == 0, goes_on(MASKS[0])).otherwise(goes_on(MASKS[1]))
-    placed = hits.filter(~F.coalesce(run, F.lit(False))).withColumn("shift", F.col("at") - F.col("item_at"))
+    wanted = wanted.filter(F.size("item") >= MIN_WORDS).distinct().withColumn("item_key", F.xxhash64("item_id", "item"))
+    seeds = _seeds(wanted, "item", "item_at", ["item_key"])
+    few = seeds.count() <= BROADCAST_SEEDS
+    if few:
+        seeds, wanted = F.broadcast(seeds), F.broadcast(wanted)
+    read = docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"),
+    ).withColumn("mark", F.xxhash64("body"))
+    words = read.select("doc_id", "mark", word_hashes(F.col("body")).alias("words"))
+
+    # Rows of this join are narrow, and only hits leave it. A passage has many hits but one alignment.
+    hits = _seeds(words, "words", "at", ["doc_id", "mark"]).join(seeds, ["mask", "seed"])
+    placed = hits.select("doc_id", "mark", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    named = placed.groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m")).agg(F.collect_list(F.struct("item_key", "shift")).alias("found"))
+    hit_docs = read.join(named, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")))
+    split = hit_docs.select("doc_id", word_hashes(F.col("body")).alias("words"), "found")
+    aligned = split.select("doc_id", "words", F.explode("found").alias("f")).select("doc_id", "words", "f.item_key", "f.shift").join(wanted, "item_key")
 
     # 1 where the item's word stands in the document at this alignment
     same = F.transform(
@@ -92,7 +93,7 @@ def contaminated(
         F.sequence(F.lit(1), F.size("item") - F.col("wide") + 1),
         lambda s: F.aggregate(F.slice("same", s, F.col("wide")), F.lit(0), lambda a, x: a + x) >= F.col("least"),
     )
-    compared = placed.select("doc_id", "item_id", "shift", F.size("item").alias("n_words"), "item", same.alias("same"), wide.alias("wide"))
+    compared = aligned.select("doc_id", "item_id", "shift", F.size("item").alias("n_words"), "item", same.alias("same"), wide.alias("wide"))
     compared = compared.withColumn("least", F.col("wide") - misses(F.col("wide"))).filter(near)
     total = F.aggregate("same", F.lit(0), lambda a, x: a + x)
     return (
