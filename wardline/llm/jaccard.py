@@ -135,13 +135,13 @@ def _sets(batches):
 
 
 def _prefixes(frequent):
-    """Step 2: ``key, node, n`` for the first shingles of each set in the common order."""
+    """Step 2: ``key, node, n, place`` for the first shingles of each set in the common order."""
 
     def prefixes(batches):
         late = frequent.value
         seen: set[int] = set()
         for batch in batches:
-            keys, nodes, sizes = [], [], []
+            keys, nodes, sizes, places = [], [], [], []
             for found in shingle_sets(batch.column(0).to_pylist()):
                 node = identity(found)
                 if not len(found) or node in seen:
@@ -153,11 +153,13 @@ def _prefixes(frequent):
                 keys.append(found[: prefix_size(len(found))])
                 nodes.append(np.full(len(keys[-1]), node))
                 sizes.append(np.full(len(keys[-1]), len(found)))
+                places.append(np.arange(len(keys[-1])))
             if len(seen) > 500_000:
                 seen.clear()
             if keys:
-                arrays = [np.concatenate(keys).view(np.int64), np.concatenate(nodes), np.concatenate(sizes).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "node", "n"])
+                arrays = [np.concatenate(keys).view(np.int64), np.concatenate(nodes)]
+                arrays += [np.concatenate(x).astype(np.int32) for x in (sizes, places)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "node", "n", "place"])
 
     return prefixes
 
@@ -176,6 +178,15 @@ def _least_overlap(n_a: Column, n_b: Column) -> Column:
     return F.lit(num) * (n_a + n_b) / F.lit(num + den)
 
 
+def _early(n_a: Column, n_b: Column, place_a: Column, place_b: Column) -> Column:
+    """A shared shingle at these places may be the first one of a pair that links.
+
+    Such a pair shares ``least`` shingles, so the first stands among the first ``n - least + 1`` of either.
+    """
+    least = _least_overlap(n_a, n_b)
+    return (n_a - place_a >= least) & (n_b - place_b >= least)
+
+
 def _may_link(a: str, b: str) -> Column:
     """Bit counts and sizes allow the similarity."""
     n_a, n_b = F.col(f"{a}.n"), F.col(f"{b}.n")
@@ -249,20 +260,27 @@ def grouped(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
     nodes = scratch.table(nodes, "nodes")
 
     late = scratch.spark.sparkContext.broadcast(_frequent(found))
-    rows = read.select("body").mapInArrow(_prefixes(late), "key bigint, node bigint, n int")
+    rows = read.select("body").mapInArrow(_prefixes(late), "key bigint, node bigint, n int, place int")
     rows = scratch.table(rows, "prefixes")
-    shared = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("key")
+    num, den = SIMILAR
+    # A copy in another task has rows of its own; they meet the same leaders and change nothing below.
+    shared = rows.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1")
     band = F.floor(F.log("n") / F.log(F.lit(SIMILAR[1] / SIMILAR[0])) + 1e-9).cast("int")
-    tiled = scratch.table(rows.join(shared, "key").distinct().withColumn("band", band), "tiles")
+    tiled = scratch.table(rows.join(shared, "key").withColumn("band", band), "tiles")
     scratch.drop("prefixes")
 
-    # Leaders of a tile: its smallest and largest sets, and two by number.
-    size = F.struct("n", "node")
-    leaders = tiled.groupBy("key", "band").agg(
-        F.array_distinct(F.array(F.min("node"), F.max("node"), F.min(size)["node"], F.max(size)["node"])).alias("leaders")
-    )
+    # Leaders of a tile: one set by number, and the one whose prefix the most others share, most likely
+    # what near copies were made from.
+    prefix = F.max(F.col("n") + F.floor(-F.lit(num) * F.col("n") / F.lit(den)) + 1)
+    shares = tiled.groupBy("node").agg((F.sum("times") / prefix).alias("shares"))
+    ranked = tiled.drop("times").join(shares, "node")
+    leader = F.struct("node", "n", "place")
+    picks = F.array(F.min(leader), F.max_by(leader, F.struct("shares", "node")))
+    leaders = ranked.groupBy("key", "band").agg(F.array_distinct(picks).alias("leaders"))
     near = tiled.withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
-    stars = near.join(leaders, ["key", "band"]).select(F.explode("leaders").alias("x"), "node").filter("x != node")
+    stars = near.join(leaders, ["key", "band"]).select(F.explode("leaders").alias("l"), "node", "n", "place")
+    stars = stars.filter((F.col("l.node") != F.col("node")) & _early(F.col("l.n"), F.col("n"), F.col("l.place"), F.col("place")))
+    stars = stars.select(F.col("l.node").alias("x"), "node")
     stars = stars.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     signed = nodes.select("node", "n", "bits")
     bounded = (
@@ -277,10 +295,16 @@ def grouped(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
     labelled = tiled.join(merged, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
     open_rows = scratch.table(labelled.join(mixed, "key").join(signed.select("node", "bits"), "node"), "open")
-    guests = open_rows.withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
+    # Within a band a pair is met once; across two the set of the higher band is a guest of the lower.
+    guests = open_rows.withColumn("home", F.col("band")).withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
     crossing = open_rows.alias("p").join(
         guests.alias("q"),
-        (F.col("p.key") == F.col("q.key")) & (F.col("p.band") == F.col("q.band")) & (F.col("p.root") != F.col("q.root")) & _may_link("p", "q"),
+        (F.col("p.key") == F.col("q.key"))
+        & (F.col("p.band") == F.col("q.band"))
+        & (F.col("p.root") != F.col("q.root"))
+        & ((F.col("p.node") < F.col("q.node")) | (F.col("p.band") != F.col("q.home")))
+        & _early(F.col("p.n"), F.col("q.n"), F.col("p.place"), F.col("q.place"))
+        & _may_link("p", "q"),
     )
     crossing = crossing.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
     more = _verified(crossing, read, scratch, "rest")
