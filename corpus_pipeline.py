@@ -12,6 +12,12 @@ from wardline.llm import decontaminate, jaccard, packing, suffixes, toxicity
 from wardline.llm.common import Scratch, prepare
 from wardline.llm.tokens import default_path, definition
 
+#: Repeated passages of more words are cut. ``PASSAGE_BYTES`` is the least that one word more takes: single
+#: bytes with a blank between each two.
+PASSAGE_WORDS = 50
+PASSAGE_BYTES = 2 * PASSAGE_WORDS + 1
+PASSAGE_GRAM = 32
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""
@@ -25,8 +31,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings that also stand elsewhere."""
-    return suffixes.cleaned(docs, Scratch(prepare(spark), "suffixes"))
+    """Texts without the passages of over ``PASSAGE_WORDS`` words, or of op9's length, that also stand elsewhere."""
+    scratch = Scratch(prepare(spark), "suffixes")
+    return suffixes.cleaned(docs, scratch, length=PASSAGE_BYTES, gram=PASSAGE_GRAM, over_words=PASSAGE_WORDS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

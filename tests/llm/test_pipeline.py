@@ -1,5 +1,7 @@
 """Each stage on its own input, against plain versions."""
 
+import random
+
 import brute
 import pytest
 
@@ -92,3 +94,21 @@ def test_odd_rows_pass_through(spark, sf_dir):
 )
 def test_cuts_take_whole_characters(body, runs, expected):
     assert suffixes.remove(body.encode(), runs, True)[0].decode() == expected
+
+
+def test_passages_of_51_to_60_words_are_cut(spark, sf_dir):
+    rng = random.Random(3)
+
+    def prose(n, letters="abcdefghij", size=4):
+        return " ".join("".join(rng.choice(letters) for _ in range(size)) for _ in range(n))
+
+    planted = [prose(n) for n in range(51, 61)] + [prose(51, size=1), "".join(rng.choice("天地玄黃宇宙洪荒") for _ in range(60))]
+    short = [prose(n) for n in (30, 45, 49)]
+    rows = [(10 * i + k, f"{prose(40, 'uvwxyz')} {p} {prose(40, 'uvwxyz')}") for i, p in enumerate(planted + short) for k in range(2)]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    cut = {r.doc_id: r.text for r in pipeline.cut_repeats(spark, docs, sf_dir).collect()}
+    for doc, text in rows:
+        if doc < 10 * len(planted):
+            assert planted[doc // 10] not in cut[doc] and 0 <= len(text) - len(planted[doc // 10]) - len(cut[doc]) <= 6
+        else:
+            assert cut[doc] == text

@@ -13,6 +13,10 @@ anchor's hash, and equal strings always meet under one hash.
    itself occurs twice is repeated at every start.
 4. The marked ranges go back to the documents and are cut out there.
 
+With ``over_words`` a stretch of marked ranges is cut only if it holds more words than that, or ``LENGTH``
+bytes; ``length`` must then be short enough for any such passage. A character of a script without blanks
+counts as a word.
+
 A hash with more than ``GROUP_BYTES`` of unlike segments (a passage at whose edges very many documents
 differ) is not gathered: its strings are compared by 64-bit fingerprints in a counted group-by, which
 Spark combines before the shuffle. Both ways mark the same starts.
@@ -25,6 +29,7 @@ is an id like any other. An empty table gives no rows. Other columns are ignored
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +50,10 @@ GROUP_BYTES = 2 << 20
 _PLACE_BITS = 20
 _SLICE = 1 << 19
 
+#: Thai to Lao, Burmese, Khmer, kana and Chinese characters: scripts without blanks.
+_UNSPACED = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
+_WORD = re.compile(rf"{_UNSPACED}|(?:(?!{_UNSPACED})[^\W_])+")
+
 _U = np.uint64
 _BYTE = stream(41, 256)
 _BASE = int(stream(42, 1)[0])
@@ -345,7 +354,26 @@ def remove(body: bytes, runs: list[tuple[int, int]], align: bool) -> tuple[bytes
     return b"".join(kept), removed, spans
 
 
-def _cut(align: bool):
+def passages(body: bytes, runs: list[tuple[int, int]], over_words: int) -> list[tuple[int, int]]:
+    """The stretches that byte ranges form, those of over ``over_words`` words or at least ``LENGTH`` bytes.
+
+    Words are parted by white space, or are runs of letters and digits where that makes more of them.
+    """
+    joined: list[list[int]] = []
+    for a, b in sorted(runs):
+        if joined and a <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], b)
+        else:
+            joined.append([a, b])
+    out = []
+    for a, b in joined:
+        text = body[a:b].decode("utf-8", "ignore")
+        if b - a >= LENGTH or max(len(text.split()), len(_WORD.findall(text))) > over_words:
+            out.append((a, b))
+    return out
+
+
+def _cut(align: bool, over_words: int | None):
     """Documents with repeated runs of starts -> their digest rows and what is kept; further columns pass."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
 
@@ -353,7 +381,10 @@ def _cut(align: bool):
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for doc, body, runs in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                kept, removed, spans = remove(body, [(r["a"], r["b"]) for r in runs or ()], align)
+                ranges = [(r["a"], r["b"]) for r in runs or ()]
+                if over_words is not None:
+                    ranges = passages(body, ranges, over_words)
+                kept, removed, spans = remove(body, ranges, align)
                 for values, value in zip(out, (doc, len(body), removed, spans, kept), strict=True):
                     values.append(value)
             kinds = [pa.int64()] * 4 + [pa.binary()]
@@ -372,6 +403,7 @@ def without_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: bool = False,
+    over_words: int | None = None,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary: the remaining bytes) per document.
 
@@ -419,7 +451,7 @@ def without_repeats(
     carried = ["carried"] if carry else []
     back = whole.join(spans, same_doc, "left").select("doc_id", "body", "runs", *carried)
     kinds = "".join(f", carried {whole.schema['carried'].dataType.simpleString()}" for _ in carried)
-    return back.mapInArrow(_cut(carry), f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary{kinds}")
+    return back.mapInArrow(_cut(carry, over_words), f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary{kinds}")
 
 
 def removal_digests(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
