@@ -6,7 +6,7 @@ from brute import crc
 
 from wardline.llm import packing, wavelet
 from wardline.llm.common import Scratch
-from wardline.llm.tokens import default_path, definition
+from wardline.llm.tokens import PieceEncoder, default_path, definition
 
 TOKENIZER = definition(default_path())
 ODD = [(5, None), (3, ""), (None, "no id"), (9, "x " * 9000), (4, "same"), (4, "same"), (2, "Héllo, wörld!"), (7, " ")]
@@ -107,3 +107,10 @@ def test_packed_sequences(spark, length):
 
 def test_packing_an_empty_table(spark):
     assert packing.pack(frame(spark, []), Scratch(spark, "t"), TOKENIZER).collect() == []
+
+
+def test_capitals_that_compose_unlike_their_lower_case():
+    pairs = ["H\u0331", "T\u0308", "W\u030a", "Y\u030a", "J\u030c", "E\u0301", "\u00c9"]
+    rows = [(i, f"Plain {p}abc, x{p} {p}{p}.Next,{p} AbC {p.lower()}abc") for i, p in enumerate(pairs)]
+    got = PieceEncoder(TOKENIZER).each([t.encode() for _, t in rows], 1)
+    assert [ids.tolist() for ids in got] == library_ids(rows)

@@ -53,6 +53,17 @@ def lower(buffer: bytes) -> bytes:
     return buffer.translate(_LOWER)
 
 
+def lower_ascii(buffer: bytes) -> bytes:
+    """A-Z in lower case, but stretches between white space that hold other than ASCII as they are."""
+    if buffer.isascii():
+        return lower(buffer)
+    data = np.frombuffer(buffer, np.uint8)
+    stretch = np.cumsum(_SPACE[data])
+    other = np.zeros(int(stretch[-1]) + 1, bool)
+    other[stretch[data >= 128]] = True
+    return np.where(other[stretch], data, np.frombuffer(lower(buffer), np.uint8)).tobytes()
+
+
 class Words:
     """Words of a joined buffer: ``starts``, ``ends`` and ``hashes``.
 

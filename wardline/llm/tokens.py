@@ -3,7 +3,9 @@
 For tokenizers that drop white space a text has the ids of its pieces, one after another, where
 pieces are what lies between ASCII white space, cut once more between an ASCII letter and a mark
 after it: normalisation, special strings, the split into words and the merges never reach across
-such a place. Where a text holds the opening of a special string, it is cut at white space only and
+such a place. A-Z are lower-cased before pieces are told apart, except between white space where other than
+ASCII stands: a capital may compose with a mark there where its lower-case form would not, or the other way
+round, and the library composes first. Where a text holds the opening of a special string, it is cut at white space only and
 keeps its case. A bounded table of pieces, found by 64-bit hash, spares the library all repeats.
 """
 
@@ -15,7 +17,7 @@ from itertools import chain
 
 import numpy as np
 
-from wardline.llm.scan import HashTable, Words, join, lower, slices
+from wardline.llm.scan import HashTable, Words, join, lower_ascii, slices
 
 #: Pieces kept by one worker, about 40 bytes each; beyond it the table starts anew.
 TABLE_PIECES = 1_500_000
@@ -88,7 +90,7 @@ class PieceEncoder:
         """The pieces of texts, and how many each text has."""
         buffer, at = join(bodies)
         special = any(opening in buffer for opening in self._openings)
-        found = Words(buffer if special else lower(buffer), marks=not special)
+        found = Words(buffer if special else lower_ascii(buffer), marks=not special)
         return found, found.counts(at)
 
     def encode(self, bodies: list[bytes], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
