@@ -1,5 +1,6 @@
 import brute
 import numpy as np
+import pytest
 
 from wardline.llm import embeddings
 from wardline.llm.common import Scratch
@@ -53,3 +54,16 @@ def test_odd_vectors(spark):
     expected = [(True, v, *linked.get(v, (0, v, True))) for v, *_ in rows if v is not None]
     assert got == sorted([*expected, (False, 0, 2, -5, False)])
     assert run(spark, []) == []
+
+
+@pytest.mark.parametrize("width", [16, 32])
+def test_recall_of_narrow_vectors_near_the_limit(spark, width):
+    rng = np.random.default_rng(width)
+    rows = []
+    for i in range(500):  # a pair per label
+        a, step = rng.normal(size=(2, width))
+        a /= np.linalg.norm(a)
+        step -= (step @ a) * a
+        b = 0.932 * a + np.sqrt(1 - 0.932**2) * step / np.linalg.norm(step)
+        rows += [(2 * i, a.tolist(), i), (2 * i + 1, b.tolist(), i)]
+    assert sum(r.n_links for r in run(spark, rows)) >= 0.95 * len(rows)

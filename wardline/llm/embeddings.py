@@ -2,8 +2,9 @@
 
 Vectors with one label are compared by cosine. Equal vectors are one class. On a bounded sample the
 principal directions and a rotation of them are learned so that signs lose least (iterative
-quantisation, ``ROTATIONS`` of them); a class's code is the signs of its rotated vector. Codes are cut
-into substrings of ``TABLE_BITS`` bits, one table each; codes that differ in at most one bit of some
+quantisation, ``rotations`` of them); a class's code is the signs of its rotated vector. Codes are cut
+into substrings of ``TABLE_BITS`` bits, one table each; narrow vectors get more rotations, so that there are
+``TABLES`` whatever the width; codes that differ in at most one bit of some
 substring meet there, at the first such table only. Classes with the same code form a cell, cells
 are kept in chunks of some ``CHUNK`` vectors, and the chunks of cells that meet are reranked with the
 original vectors by matrix products in double precision. What leaves a pair of chunks is per vector:
@@ -35,13 +36,18 @@ COSINE = 0.93
 
 #: The fit reads this many values at most: rows are taken by the order of a hash.
 SAMPLE_VALUES = 1_000_000
-BITS, ROTATIONS, TABLE_BITS = 64, 2, 16
+BITS, TABLES, TABLE_BITS = 64, 8, 16
 CHUNK = 256
 TURNS = 40
 
 
+def rotations(width: int) -> int:
+    """How many codes a vector of so many dimensions gets: ``TABLES`` tables at least."""
+    return -(-TABLES // -(-min(BITS, width) // TABLE_BITS))
+
+
 def fit(sample: np.ndarray) -> np.ndarray:
-    """Directions as columns: ``ROTATIONS`` rotations of the leading principal directions.
+    """Directions as columns: ``rotations`` rotations of the leading principal directions.
 
     Vectors are not centred: signs then follow the angle between vectors whatever their mean, so a
     corpus that is mostly one group of near copies still gets equal codes for them.
@@ -51,7 +57,7 @@ def fit(sample: np.ndarray) -> np.ndarray:
     leading = vectors[:, ::-1][:, :BITS]
     low = unit @ leading
     found = []
-    for seed in range(ROTATIONS):
+    for seed in range(rotations(sample.shape[1])):
         turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(low.shape[1],) * 2))[0]
         for _ in range(TURNS):
             signs = np.where(low @ turn >= 0, 1.0, -1.0)
@@ -66,20 +72,21 @@ def _codes(model):
 
     def code(batches):
         directions = model.value
-        per = directions.shape[1] // ROTATIONS
+        n_codes = rotations(len(directions))
+        per = directions.shape[1] // n_codes
         for batch in batches:
             vectors = batch.column("vector").to_pylist()
-            words = np.zeros((len(vectors), ROTATIONS), np.int64)
+            words = np.zeros((len(vectors), n_codes), np.int64)
             fits = [i for i, v in enumerate(vectors) if len(v) == len(directions)]
             if fits:
                 unit = np.array([vectors[i] for i in fits])
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                signs = (unit @ directions >= 0).reshape(len(fits), ROTATIONS, per)
-                wide = np.zeros((len(fits), ROTATIONS, 64), np.uint8)
+                signs = (unit @ directions >= 0).reshape(len(fits), n_codes, per)
+                wide = np.zeros((len(fits), n_codes, 64), np.uint8)
                 wide[:, :, :per] = signs
                 words[fits] = np.packbits(wide, axis=2, bitorder="little").view("<i8")[:, :, 0]
-            arrays = [*batch.columns, *(pa.array(words[:, r]) for r in range(ROTATIONS))]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, *(f"code{r}" for r in range(ROTATIONS))])
+            arrays = [*batch.columns, *(pa.array(words[:, r]) for r in range(n_codes))]
+            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, *(f"code{r}" for r in range(n_codes))])
 
     return code
 
@@ -164,9 +171,9 @@ def near_vectors(
     shown = classes.filter(F.size("vector") == width).orderBy(F.xxhash64("node"), "node")
     sample = shown.select("vector").limit(max(1, SAMPLE_VALUES // width)).toArrow().column("vector")
     sample = np.array(sample.to_pylist(), np.float64).reshape(-1, width)
-    model = spark.sparkContext.broadcast(fit(sample) if len(sample) else np.zeros((1, ROTATIONS)))
+    model = spark.sparkContext.broadcast(fit(sample) if len(sample) else np.zeros((width, rotations(width))))
 
-    names = [f"code{r}" for r in range(ROTATIONS)]
+    names = [f"code{r}" for r in range(rotations(width))]
     # width is part of the label from here on: unlike lengths never meet
     kept = classes.select("node", F.concat_ws("/", F.size("vector"), "label").alias("label"), "copies", "vector")
     ddl = "node bigint, label string, copies bigint, vector array<double>, " + ", ".join(f"{n} bigint" for n in names)
@@ -178,10 +185,8 @@ def near_vectors(
     member = F.struct("node", "copies", "vector")
     chunks = scratch.table(numbered.groupBy("cell", "chunk").agg(F.sort_array(F.collect_list(member)).alias("members")), "chunks")
 
-    tables = ROTATIONS * 64 // TABLE_BITS
-    used = (ROTATIONS * min(BITS, width)) if width < 64 else tables * TABLE_BITS
     per = 64 // TABLE_BITS
-    live = [t for t in range(tables) if width >= 64 or (t % per) * TABLE_BITS < min(BITS, width)] if used else []
+    live = [t for t in range(rotations(width) * per) if (t % per) * TABLE_BITS < min(BITS, width)]
     key = {t: _substring(F.col(f"code{t // per}"), t) for t in live}
     flips = [0] + [1 << i for i in range(TABLE_BITS)]
     index = cells.select("*", F.explode(F.array(*[F.struct(F.lit(t).alias("table"), key[t].alias("key")) for t in live])).alias("e"))
