@@ -79,3 +79,18 @@ def test_correlated_voters_count_once():
     assert (model.correlation[:5, :5] > 0.9).all()
     five, one = model.posterior(np.array([[1, 1, 1, 1, 1, 0], [0, 0, 0, 0, 0, 1]]))
     assert abs(np.log(five / (1 - five)) - np.log(one / (1 - one))) < 1.5
+
+
+def test_toxic_words_that_clean_documents_also_hold(spark):
+    rng = np.random.default_rng(5)
+    docs, labels = [], []
+    for doc in range(3000):
+        words = [f"word{k}" for k in rng.integers(0, 300, rng.integers(5, 60))]
+        toxic = doc % 8 == 0
+        words += [w for w in ("vilify", "scoundrel", "knavish") if rng.random() < (0.8 if toxic else 0.02)]
+        docs.append((doc, " ".join(words)))
+        labels.append((doc, 1, int(toxic)))
+    rows = toxicity.toxicity(*frames(spark, docs, labels), Scratch(spark, "t")).collect()
+    held = [(r.predicted, r.doc_id % 8 == 0) for r in rows if r.held_out]
+    assert sum(p for p, y in held if y) > 0.85 * sum(y for _, y in held)
+    assert sum(p for p, y in held if not y) < 0.1 * sum(not y for _, y in held)

@@ -40,7 +40,7 @@ THRESHOLD = 0.3
 
 #: Entries of the vocabulary, entries a voter may hold, voters.
 VOCABULARY, VOTER_ENTRIES, VOTERS = 4000, 6, 64
-#: An entry is in so many toxic documents, and so many times likelier there.
+#: An entry is in so many toxic documents, and so many times likelier there; one that shares a voter, ``VOTER_RATIO`` times.
 SUPPORT, RATIO, VOTER_RATIO = 4, 6.0, 60.0
 BEGINNINGS = (3, 4, 5, 6, 7)
 #: From so many occurrences in a document on, an entry counts as another one (``word-#2``).
@@ -275,10 +275,12 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
     vocabulary = {e: i for i, e in enumerate(ranked)}
 
     # Voters: entries of one kind, strongest first. An entry whose word already votes is no new voter.
+    # Where few reach VOTER_RATIO, the next by rank vote too, each alone, so the label model weighs each.
     voters: list[list[int]] = []
     for kind in (True, False):
-        strong = [e for e in ranked if e.startswith("=") == kind and ratio(e) >= VOTER_RATIO][: VOTERS // 2 * VOTER_ENTRIES]
-        lone = strong[: VOTERS // 4]
+        of_kind = [e for e in ranked if e.startswith("=") == kind]
+        strong = [e for e in of_kind if ratio(e) >= VOTER_RATIO][: VOTERS // 2 * VOTER_ENTRIES]
+        lone = (strong + [e for e in of_kind if ratio(e) < VOTER_RATIO])[: VOTERS // 4]
         voters += [[vocabulary[e]] for e in lone]
         others = strong[len(lone) :]
         step = max(1, -(-len(others) // (VOTERS // 4)))
