@@ -56,7 +56,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Models, tokens and byte ranges are beyond SQL; tests hold each stage against a plain version.
+#: Models, tokens and byte ranges are beyond SQL; tests hold each stage against a plain version, toxicity against its scores.
 ORACLE_SQL = None
 
 

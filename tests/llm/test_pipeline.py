@@ -3,10 +3,11 @@
 import random
 
 import brute
+import duckdb
 import pytest
 
 import corpus_pipeline as pipeline
-from wardline.llm import suffixes
+from wardline.llm import catalog, suffixes, toxicity
 from wardline.llm.common import Scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -112,3 +113,27 @@ def test_passages_of_51_to_60_words_are_cut(spark, sf_dir):
             assert planted[doc // 10] not in cut[doc] and 0 <= len(text) - len(planted[doc // 10]) - len(cut[doc]) <= 6
         else:
             assert cut[doc] == text
+
+
+def test_contaminated_documents_go(spark, sf_dir, stages, tmp_path):
+    items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()][:3]
+    planted = [(-1 - i, f"Before it. {text} After it.", "en", "s", 0) for i, text in enumerate(items)]
+    docs = stages[3].unionByName(spark.createDataFrame(planted, stages[3].schema))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    con.execute(f"create view benchmark as select * from '{sf_dir}/benchmark.parquet'")
+    found = {r[0] for r in con.execute(catalog.OP2_SQL).fetchall()}
+    assert {d for d, *_ in planted} <= found
+    kept = set(rows(pipeline.drop_contaminated(spark, docs, sf_dir)))
+    assert kept == set(rows(docs)) - found
+    assert set(rows(stages[4])) == set(rows(stages[3])) - found
+
+
+def test_toxic_documents_go_by_their_score(spark, sf_dir, stages):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scores = toxicity.toxicity(stages[0], labels, Scratch(spark, "test-scores")).collect()
+    kept = set(rows(stages[1]))
+    assert kept == {r.doc_id for r in scores if r.score < toxicity.THRESHOLD}
+    toxic = {r.doc_id for r in labels.collect() if r.toxic} & {r.doc_id for r in scores}
+    assert len(toxic - kept) >= 0.5 * len(toxic) > 0  # 6 of 11 at sf0.001, where 87 rows are labelled
