@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import decontaminate, embeddings, jaccard, packing, suffixes, token_counts, toxicity, url_rules, warc, wavelet
+from wardline.llm import chat, decontaminate, embeddings, jaccard, packing, suffixes, token_counts, toxicity, url_rules, warc, wavelet
 from wardline.llm.common import Scratch, prepare
 from wardline.llm.tokens import default_path, definition
 
@@ -150,3 +150,31 @@ from firsts
 def op10(spark, pages):
     found = warc.captures(pages, Scratch(spark, "warc"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP11_SQL = r"""
+with rows as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+    from conversations
+    union all
+    select -1, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'
+), shown as (
+    select *, length(regexp_replace(text, '([\[<]/?)(\\*)((?:INST|SYS|ROLE|TEXT)\]|s>)', '\1\\\2\3', 'g')) as chars,
+        length(regexp_replace(role, '([\[<]/?)(\\*)((?:INST|SYS|ROLE|TEXT)\]|s>)', '\1\\\2\3', 'g')) as role_chars
+    from rows
+), joined as (
+    select conv_id, count(*)::bigint as n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text) as whole,
+        coalesce(string_agg(text, '' order by turn nulls first, text) filter (where role = 'assistant'), '') as loss,
+        sum(chars + case role when 'user' then 15 when 'system' then 13 when 'assistant' then 7 else 19 + role_chars end)::bigint as formatted_chars
+    from shown
+    group by conv_id
+)
+select conv_id, n_turns, sha256(whole) as turns_sha256, length(loss)::bigint as loss_chars, sha256(loss) as loss_sha256, formatted_chars
+from joined
+"""
+
+
+@query("op11_grammar_round_trip", "conversations", sql=OP11_SQL)
+def op11(spark, chats):
+    return chat.digests(chat.write_chats(chat.with_probe(chats), Scratch(spark, "chats")))
