@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import chat, decontaminate, embeddings, jaccard, packing, spelling, suffixes, token_counts, toxicity, url_rules, warc, wavelet
+from wardline.llm import alignment, chat, decontaminate, embeddings, jaccard, packing, spelling, suffixes, token_counts, toxicity, url_rules, warc, wavelet
 from wardline.llm.common import Scratch, prepare
 from wardline.llm.tokens import default_path, definition
 
@@ -180,6 +180,11 @@ def op11(spark, chats):
     return chat.digests(chat.write_chats(chat.with_probe(chats), Scratch(spark, "chats")))
 
 
+@query("op12_alignment_counts", "documents")
+def op12(spark, docs):
+    return alignment.align(docs, Scratch(spark, "alignment"), definition(default_path("byte_bpe_50k.json")), alignment.default_model())
+
+
 @query("op13_spelling_variants", "documents")
 def op13(spark, docs):
     return spelling.variants(docs, Scratch(spark, "spelling"))

@@ -140,7 +140,7 @@ def definition(path: str) -> str:
         return f.read()
 
 
-def default_path() -> str:
+def default_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
