@@ -114,7 +114,13 @@ def _interval(s, how: str):
         F.col("ts").alias("clicked"),
     )
     joined = J.interval_join(
-        purchases, clicks, [("user_id", "click_user")], "purchased", "clicked", how=how
+        purchases,
+        clicks,
+        [("user_id", "click_user")],
+        "purchased",
+        "clicked",
+        how=how,
+        piece_rows=J.PIECE_ROWS if how == "left" else None,
     )
     return joined.drop("click_user")
 

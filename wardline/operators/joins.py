@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 # Uncoded rows are spread over this many join keys; see `with_name`.
 _SCATTER = 4096
 
+# Right rows of one key and bucket that one task of an interval join may hold; some 100 bytes each.
+PIECE_ROWS = 250_000
+
 
 def semi_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str) -> DataFrame:
     """Keep the rows whose key is in a lookup; no lookup column is read."""
@@ -86,6 +89,8 @@ def interval_join(
     days_before: int = 2,
     days_after: int = 2,
     how: str = "inner",
+    piece_rows: int | None = None,
+    counted: tuple[DataFrame, Sequence[str], str] | None = None,
 ) -> DataFrame:
     """Equal keys, and the right time within a span of days around the left time.
 
@@ -96,10 +101,22 @@ def interval_join(
     bucket is part of the join key. A left row meets a right row in its own
     bucket only, so no pair appears twice and an outer join stays exact.
 
+    ``piece_rows`` splits what one key has within one bucket, which adaptive
+    execution cannot do for the right of an outer join: buckets with more right
+    rows are dealt into pieces of about that many by a hash of the row, and the left
+    rows of just these buckets are copied to each piece (halving such a bucket's time would
+    copy as much, since the span covers all of it, and would not part equal
+    times). An outer join needs to know whether any piece has a partner: for that a split bucket
+    keeps its first and last time of each day, which tell it exactly. ``counted``
+    is a cheaper table to count, with its keys and time column; it may have more
+    rows than the right side, and must not have fewer in any bucket.
+
     The sides must not share column names.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how!r}")
+    if piece_rows is not None and days_before + days_after < 1:
+        raise ValueError("buckets are split for spans of a day or more")
     width = max(days_before + days_after, 1)
 
     def day(column: str) -> Column:
@@ -108,16 +125,62 @@ def interval_join(
     def bucket(days: Column) -> Column:
         return F.floor(days / F.lit(width)).cast("int")
 
+    def buckets(ts: str) -> Column:
+        return F.explode(
+            F.sequence(bucket(day(ts) - F.lit(days_after)), bucket(day(ts) + F.lit(days_before)))
+        )
+
     probe = left.withColumn("_bucket", bucket(day(left_ts)))
-    span = F.sequence(
-        bucket(day(right_ts) - F.lit(days_after)), bucket(day(right_ts) + F.lit(days_before))
-    )
-    build = right.withColumn("_bucket_r", F.explode(span))
+    build = right.withColumn("_bucket_r", buckets(right_ts))
+    low = F.col(left_ts) - F.expr(f"INTERVAL '{days_before}' DAY")
+    high = F.col(left_ts) + F.expr(f"INTERVAL '{days_after}' DAY")
 
     condition = F.col("_bucket") == F.col("_bucket_r")
     for l_key, r_key in on:
         condition &= F.col(l_key) == F.col(r_key)
-    low = F.col(left_ts) - F.expr(f"INTERVAL '{days_before}' DAY")
-    high = F.col(left_ts) + F.expr(f"INTERVAL '{days_after}' DAY")
     condition &= F.col(right_ts).between(low, high)
-    return probe.join(build, condition, how).drop("_bucket", "_bucket_r")
+    if piece_rows is None:
+        return probe.join(build, condition, how).drop("_bucket", "_bucket_r")
+
+    right_keys = [r for _, r in on]
+    rows, keys, ts = counted or (right, right_keys, right_ts)
+    crowded = (
+        rows.select(*(F.col(k).alias(r) for k, r in zip(keys, right_keys, strict=True)), buckets(ts).alias("_bucket_r"))
+        .groupBy(*right_keys, "_bucket_r")
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(piece_rows)).cast("int").alias("_pieces"))
+        .filter(F.col("_pieces") > 1)
+    )
+    build = build.join(crowded, [*right_keys, "_bucket_r"], "left")
+    times = (
+        build.filter(F.col("_pieces").isNotNull())
+        .groupBy(*right_keys, "_bucket_r", "_pieces", F.to_date(right_ts).alias("_day"))
+        .agg(F.min(right_ts).alias("_from"), F.max(right_ts).alias("_to"))
+        # A bucket and the spans into it cover some days only.
+        .groupBy(*right_keys, "_bucket_r", "_pieces")
+        .agg(F.collect_list(F.struct("_from", "_to")).alias("_days"))
+    )
+    names = {r: f"_key{i}" for i, r in enumerate(right_keys)}
+    split = times.select(
+        *(F.col(r).alias(n) for r, n in names.items()), F.col("_bucket_r").alias("_split"), "_pieces", "_days"
+    )
+    same = F.col("_bucket") == F.col("_split")
+    for l_key, r_key in on:
+        same &= F.col(l_key) == F.col(names[r_key])
+    # The span is longer than a day, so a day's last time before its end, or first time
+    # after its start, lies within it as soon as the day reaches into it.
+    partner = F.exists("_days", lambda d: (d["_to"] >= low) & (d["_from"] <= high))
+    kept = [*left.columns, "_bucket"]
+    probe = probe.join(split, same, "left").select(
+        *kept,
+        F.col("_pieces").alias("_copies"),
+        F.coalesce(partner, F.lit(False)).alias("_partner"),
+        F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)).alias("_piece"),
+    )
+    place = F.pmod(F.xxhash64(*right.columns), F.col("_pieces")).cast("int")
+    build = build.select(*right.columns, "_bucket_r", F.coalesce(place, F.lit(0)).alias("_piece_r"), F.lit(True).alias("_met"))
+    joined = probe.join(build, condition & (F.col("_piece") == F.col("_piece_r")), how)
+    if how == "left":
+        # A copied row without a partner anywhere stays once, and one with a partner only where it met it.
+        once = F.col("_copies").isNull() | (~F.col("_partner") & (F.col("_piece") == 0))
+        joined = joined.filter(F.col("_met") | once)
+    return joined.select(*left.columns, *right.columns)
