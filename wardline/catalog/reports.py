@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from wardline.catalog.basics import AS_OF, CENSUS_DAY
 from wardline.catalog.registry import report
 from wardline.catalog.standin_sql import with_tables
 from wardline.functions import codes
-from wardline.plans import cohorts, daily, financial, operative, parts
+from wardline.plans import cohorts, daily, financial, history, operative, parts
 from wardline.sources.schemas import COST_COLUMNS
+from wardline.sources.tables import replaced
 
 DAY = dt.date(1998, 3, 2)
 YEAR = (dt.date(1997, 1, 1), dt.date(1997, 12, 31))
@@ -567,21 +570,8 @@ SELECT CAST(coalesce({merge}(jan_jun), 0) AS BIGINT) AS jan_jun,
 FROM ({body}) t"""
 
 
-def _visits_sql(
-    family: str, excluded: str | None, visit_type: str | None, wrap: bool, merge: str = "min"
-) -> str:
-    def member(label: str) -> str:
-        in_family = _in(codes.DX_FAMILIES[label])
-        return " OR ".join(
-            f"(TRY_CAST({slot} AS BIGINT) IN {in_family})" for slot in ("dx1", "dx2", "dx3")
-        )
-
-    unless = f"AND NOT coalesce({member(excluded)}, false)" if excluded else ""
-    typed = f"AND vt.visit_type = '{visit_type}'" if visit_type else ""
-    join_type = "JOIN vt ON vt.encounter_id = d.encounter_id" if visit_type else ""
-    body = (
-        with_tables(*_COHORT_TABLES)
-        + f""",
+# Visits with their three diagnosis slots, and their first visit type.
+_SLOTTED = """,
 listed AS (
   SELECT e.encounter_id, e.patient_id, p.birthdate, e.encounter_datetime,
          string_split(string_agg(CAST(o.value_coded AS VARCHAR), '|' ORDER BY o.obs_id, o.value_coded), '|')
@@ -598,11 +588,30 @@ vt AS (
   WHERE o.concept_id = 164181 AND e.encounter_type = 11 GROUP BY e.encounter_id),
 slotted AS (
   SELECT *, coalesce(items[1], '') AS dx1, coalesce(items[2], '') AS dx2,
-         CASE WHEN len(items) >= 3 THEN items[-1] ELSE '' END AS dx3 FROM listed),
+         CASE WHEN len(items) >= 3 THEN items[-1] ELSE '' END AS dx3 FROM listed)"""
+
+
+def _member(label: str) -> str:
+    in_family = _in(codes.DX_FAMILIES[label])
+    return " OR ".join(
+        f"(TRY_CAST({slot} AS BIGINT) IN {in_family})" for slot in ("dx1", "dx2", "dx3")
+    )
+
+
+def _visits_sql(
+    family: str, excluded: str | None, visit_type: str | None, wrap: bool, merge: str = "min"
+) -> str:
+    unless = f"AND NOT coalesce({_member(excluded)}, false)" if excluded else ""
+    typed = f"AND vt.visit_type = '{visit_type}'" if visit_type else ""
+    join_type = "JOIN vt ON vt.encounter_id = d.encounter_id" if visit_type else ""
+    body = (
+        with_tables(*_COHORT_TABLES)
+        + _SLOTTED
+        + f""",
 counted AS (
   SELECT quarter(d.encounter_datetime) AS quarter
   FROM slotted d {join_type}
-  WHERE coalesce({member(family)}, false) {unless} {typed}
+  WHERE coalesce({_member(family)}, false) {unless} {typed}
     AND trunc(date_diff('day', d.birthdate, CAST(d.encounter_datetime AS DATE)) / 365.25) < 15)"""
     )
     return body + (_wrapped(_HALVES, merge) if wrap else _HALVES)
@@ -680,3 +689,177 @@ def _(t):
 @report("stat_etv", _operations_sql(codes.ETV))
 def _(t):
     return cohorts.operation_statistic(t, codes.ETV, AS_OF)
+
+
+def _children_sql(label: str, excluded: str | None) -> str:
+    unless = f"AND NOT coalesce({_member(excluded)}, false)" if excluded else ""
+    return (
+        with_tables(*_COHORT_TABLES)
+        + _SLOTTED
+        + f"""
+SELECT CAST(year(encounter_datetime) AS INTEGER) AS year,
+       count(DISTINCT CASE WHEN quarter(encounter_datetime) <= 2 THEN patient_id END) AS jan_jun,
+       count(DISTINCT CASE WHEN quarter(encounter_datetime) > 2 THEN patient_id END) AS jul_dec,
+       count(DISTINCT patient_id) AS total
+FROM slotted
+WHERE coalesce({_member(label)}, false) {unless}
+  AND trunc(date_diff('day', birthdate, CAST(encounter_datetime AS DATE)) / 365.25) < 15
+GROUP BY ALL"""
+    )
+
+
+@report("stat_a_children", _children_sql(_A, _B))
+def _(t):
+    return cohorts.children_seen(t, _A, never_with=_B)
+
+
+@report("stat_b_children", _children_sql(_B, None))
+def _(t):
+    return cohorts.children_seen(t, _B)
+
+
+# The first operation of each patient over all years, of those on record.
+_FIRST_OPERATIONS = (
+    with_tables(*_COHORT_TABLES)
+    + f""",
+first_ops AS (
+  SELECT e.patient_id, e.encounter_id, e.encounter_datetime, o.value_coded, p.birthdate,
+         {_AGE.format(at=_AS_OF)} AS age
+  FROM encounter e
+  JOIN person p ON p.person_id = e.patient_id AND p.voided = 0
+  JOIN obs o ON o.encounter_id = e.encounter_id AND o.concept_id = 1651
+            AND o.value_coded IN {_in(codes.HYDROCEPHALUS_OPERATIONS)}
+  WHERE e.encounter_type = 16 AND e.encounter_datetime IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY e.patient_id
+                             ORDER BY e.encounter_datetime, e.encounter_id, o.value_coded) = 1)"""
+)
+
+
+@report(
+    "cohort_a_first_operations",
+    _FIRST_OPERATIONS
+    + f"""
+SELECT * FROM first_ops
+WHERE encounter_datetime >= DATE '{YEAR[0]}' AND CAST(encounter_datetime AS DATE) <= DATE '{YEAR[1]}'""",
+)
+def _(t):
+    return cohorts.first_interventions(t, codes.HYDROCEPHALUS_OPERATIONS, AS_OF, *YEAR)
+
+
+@report(
+    "stat_a_first_operations",
+    _FIRST_OPERATIONS
+    + """
+SELECT CAST(year(encounter_datetime) AS INTEGER) AS year,
+       count(*) FILTER (quarter(encounter_datetime) <= 2) AS jan_jun,
+       count(*) FILTER (quarter(encounter_datetime) > 2) AS jul_dec, count(*) AS total
+FROM first_ops WHERE age < 15 GROUP BY ALL""",
+)
+def _(t):
+    return cohorts.first_intervention_statistic(t, codes.HYDROCEPHALUS_OPERATIONS, AS_OF)
+
+
+def _page_sql() -> str:
+    a = f"(coalesce({_member(_A)}, false) AND NOT coalesce({_member(_B)}, false))"
+    b = f"coalesce({_member(_B)}, false)"
+    visits = ",\n       ".join(
+        f"count(*) FILTER ({family} {f"AND visit_type = '{label}'" if label else ''}) AS {name}"
+        for name, family, label in (
+            ("a_seen", a, None),
+            ("a_new", a, "Initial"),
+            ("a_followup", a, "Followup"),
+            ("b_seen", b, None),
+            ("b_new", b, "Initial"),
+            ("b_followup", b, "Followup"),
+        )
+    )
+    kinds = {
+        "a_operations": codes.HYDROCEPHALUS_OPERATIONS,
+        "shunts": codes.SHUNT_TOTAL,
+        "shunt_revisions": codes.SHUNT_REVISIONS,
+        "etv": codes.ETV,
+    }
+    operations = ",\n       ".join(
+        f"count(*) FILTER (young AND code IN {_in(family)}) AS {name}" for name, family in kinds.items()
+    )
+    figures = "a_seen a_new a_followup b_seen b_new b_followup a_operations shunts shunt_revisions etv"
+    shown = ", ".join(f"coalesce({f}, 0)::bigint AS {f}" for f in figures.split())
+    return (
+        with_tables(*_COHORT_TABLES)
+        + _SLOTTED
+        + f""",
+aged AS (
+  SELECT d.*, vt.visit_type,
+         trunc(date_diff('day', birthdate, CAST(encounter_datetime AS DATE)) / 365.25) < 15 AS child
+  FROM slotted d LEFT JOIN vt USING (encounter_id)),
+seen AS (
+  SELECT CAST(year(encounter_datetime) AS INTEGER) AS year,
+         CAST(quarter(encounter_datetime) AS INTEGER) AS quarter,
+       {visits}
+  FROM (SELECT * REPLACE (CASE WHEN child THEN dx1 END AS dx1, CASE WHEN child THEN dx2 END AS dx2,
+                          CASE WHEN child THEN dx3 END AS dx3) FROM aged)
+  GROUP BY ALL),
+operated AS (
+  SELECT CAST(year(e.encounter_datetime) AS INTEGER) AS year,
+         CAST(quarter(e.encounter_datetime) AS INTEGER) AS quarter, o.value_coded AS code,
+         trunc(date_diff('day', p.birthdate, {_AS_OF}) / 365.25) < 15 AS young
+  FROM encounter e
+  JOIN person p ON p.person_id = e.patient_id AND p.voided = 0
+  JOIN obs o ON o.encounter_id = e.encounter_id AND o.concept_id = 1651 AND o.value_coded IS NOT NULL
+  WHERE e.encounter_type = 16),
+operations AS (SELECT year, quarter, {operations} FROM operated GROUP BY ALL)
+SELECT year, quarter, {shown}
+FROM seen FULL JOIN operations USING (year, quarter)"""
+    )
+
+
+@report("stat_page_all_years", _page_sql())
+def _(t):
+    return history.page(history.visit_counts(t), history.operation_counts(t), AS_OF)
+
+
+@report("stat_page_from_batches", _page_sql())
+def _(t):
+    # Two batches, as if the later encounters had come in after the earlier ones were counted.
+    later = F.col("encounter_datetime") >= F.lit(dt.datetime(1996, 7, 15)).cast("timestamp_ntz")
+    batches = [replaced(t, encounter=t.encounter.filter(c)) for c in (~later, later)]
+    visits = history.merged(*(history.visit_counts(b) for b in batches))
+    return history.page(visits, history.merged(*(history.operation_counts(b) for b in batches)), AS_OF)
+
+
+def _census_sql(ends: str, kept: str) -> str:
+    return (
+        with_tables("encounter", "visit", "person", "person_name")
+        + f""",
+dc AS (SELECT patient_id, visit_id, min(CAST(encounter_datetime AS DATE)) AS gone
+       FROM encounter WHERE encounter_type = 9 GROUP BY ALL),
+stays AS (
+  SELECT e.patient_id, e.visit_id, min(CAST(e.encounter_datetime AS DATE)) AS start,
+         {ends} AS stop
+  FROM encounter e
+  JOIN visit v ON v.visit_id = e.visit_id AND v.voided = 0
+  LEFT JOIN dc ON dc.patient_id = e.patient_id AND dc.visit_id = e.visit_id
+  JOIN person p ON p.person_id = e.patient_id AND p.voided = 0 AND p.dead = 0
+  WHERE e.encounter_type = 15 AND e.patient_id IN (SELECT person_id FROM person_name WHERE voided = 0)
+  GROUP BY ALL),
+days AS (SELECT unnest(generate_series(DATE '{YEAR[0]}', DATE '{YEAR[1]}', INTERVAL 1 DAY)) AS day)
+SELECT CAST(day AS DATE) AS day, count(s.patient_id)::bigint AS n_open
+FROM days LEFT JOIN stays s ON s.start <= day AND {kept}
+GROUP BY ALL"""
+    )
+
+
+_CLOSED = (
+    "CASE WHEN max(v.date_stopped) IS NOT NULL AND max(dc.gone) IS NOT NULL "
+    "THEN greatest(CAST(max(v.date_stopped) AS DATE), max(dc.gone)) END"
+)
+
+
+@report("census_every_day", _census_sql(_CLOSED, "s.stop IS NULL"))
+def _(t):
+    return daily.census(t, *YEAR)
+
+
+@report("census_in_hindsight", _census_sql(_CLOSED, "(s.stop IS NULL OR s.stop > day)"))
+def _(t):
+    return daily.census(t, *YEAR, as_recorded=False)

@@ -56,6 +56,12 @@ def between_days(
     return _c(ts).between(low, high)
 
 
+def in_year(ts: ColumnLike, year: int) -> Column:
+    """Whether a date-time falls into a year; a range, so that it reaches the scan."""
+    low, high = (F.lit(dt.datetime(y, 1, 1)).cast("timestamp_ntz") for y in (year, year + 1))
+    return (_c(ts) >= low) & (_c(ts) < high)
+
+
 def token_count(text: ColumnLike, delimiter: str) -> Column:
     """How many delimiters a string holds, by length difference."""
     without = F.replace(_c(text), F.lit(delimiter), F.lit(""))

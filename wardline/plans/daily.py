@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import codes
 from wardline.functions.columns import age_years, days_since, on_day, up_to_day
-from wardline.operators.joins import interval_join, left_join_many, within
+from wardline.operators.joins import PIECE_ROWS, interval_join, left_join_many, within
 from wardline.plans import parts
 from wardline.sources.tables import Tables
 
@@ -167,6 +167,8 @@ def daily_list_slots(t: Tables, effective_date: dt.date | None, as_of: dt.date)
         "encounter_datetime",
         "Appointment_Date",
         how="left",
+        piece_rows=PIECE_ROWS,
+        counted=parts.appointments(t),
     )
     appointment = F.to_date("Appointment_Date")
     called = linked.join(parts.people(t, patients), "patient_id").join(
@@ -232,6 +234,8 @@ def open_stays(t: Tables, effective_date: dt.date, as_of: dt.date) -> DataFrame:
             "encounter_datetime",
             "Appointment_Date",
             how="left",
+            piece_rows=PIECE_ROWS,
+            counted=parts.appointments(t),
         )
         .groupBy("patient_id", "visit_id")
         .agg(
@@ -271,3 +275,62 @@ def open_stays(t: Tables, effective_date: dt.date, as_of: dt.date) -> DataFrame:
             days_since(as_of, appointment).alias("num_days"),
         )
     )
+
+
+def census(t: Tables, first_day: dt.date, last_day: dt.date, as_recorded: bool = True) -> DataFrame:
+    """How many stays are open on each day of a period: `open_stays` for every day at once.
+
+    Stays start and end, so a day's figure is the sum of all changes up to it: each stay
+    is read once, as a change on its first day and one on its last. What came before the
+    period counts on its first day. ``as_recorded`` asks as `open_stays` does, by what is open on
+    record now; otherwise a closed stay counts from its admission until the later one of
+    its stop and its discharge.
+    """
+    # One row per patient and visit, as in `open_stays`, from the first admission on.
+    starts = (
+        parts.encounters_by_type_key(t, codes.ADMISSION_TYPE_UUID)
+        .filter(F.col("visit_id").isNotNull())
+        .groupBy("patient_id", "visit_id")
+        .agg(F.min(F.to_date("encounter_datetime")).alias("_start"))
+    )
+    left = (
+        parts.discharges(t)
+        .groupBy("visit_id", "patient_id")
+        .agg(F.min("date_of_discharge").alias("_left"))
+    )
+    stays = (
+        starts.join(parts.live(t.visit).select("visit_id", "date_stopped"), "visit_id")
+        .join(left, ["visit_id", "patient_id"], "left")
+        .join(parts.people(t, alive=True).select("patient_id"), "patient_id")
+        .join(parts.person_names(t).select("patient_id").distinct(), "patient_id")
+    )
+    stopped = F.to_date("date_stopped")
+    closed = F.when(stopped.isNotNull() & F.col("_left").isNotNull(), F.greatest(stopped, "_left"))
+    if as_recorded:
+        stays, closed = stays.filter(closed.isNull()), F.lit(None).cast("date")
+    first, ended = F.lit(first_day), F.when(closed.isNotNull(), F.greatest(closed, "_start"))
+    both = [(F.col("_start"), 1), (ended, -1)]
+    changes = (
+        stays.select(
+            F.inline(F.array(*(F.struct(d.alias("day"), F.lit(n).alias("n")) for d, n in both)))
+        )
+        .filter(F.col("day") <= F.lit(last_day))
+        .groupBy(F.greatest("day", first).alias("day"))
+        .agg(F.sum("n").alias("n"))
+    )
+    # Prefix sums in two levels: months over all of them, days within their month.
+    length = (last_day - first_day).days + 1
+    days = t.visit.sparkSession.range(length).select(F.date_add(first, F.col("id").cast("int")).alias("day"))
+    daily = days.join(changes, "day", "left").select(
+        "day", F.trunc("day", "MM").alias("_month"), F.coalesce("n", F.lit(0)).alias("n")
+    )
+    earlier = Window.orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    months = (
+        daily.groupBy("_month")
+        .agg(F.sum("n").alias("_n"))
+        .select("_month", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    )
+    within_month = Window.partitionBy("_month").orderBy("day")
+    return daily.join(months, "_month").select(
+        "day", (F.col("_before") + F.sum("n").over(within_month)).alias("n_open")
+    )

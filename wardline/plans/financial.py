@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import codes
 from wardline.functions.columns import between_days
-from wardline.operators.joins import interval_join, left_join_many, within
+from wardline.operators.joins import PIECE_ROWS, interval_join, left_join_many, within
 from wardline.plans import parts
 from wardline.sources.schemas import COST_COLUMNS
 from wardline.sources.tables import Tables
@@ -111,6 +111,8 @@ def _with_stay(t: Tables, cost: DataFrame, charged: DataFrame | None = None) ->
         "DoA",
         "Appointment_Date",
         how="left",
+        piece_rows=PIECE_ROWS,
+        counted=parts.appointments(t),
     )
     left = left_join_many(
         linked,
@@ -177,7 +179,7 @@ def financial_report(
     admitted = {"ranked": _ranked_admissions, "slots": _slotted_admissions}[admissions]
     # A charge without a payment has no account, so the account join drops it.
     cost = (
-        charged.join(parts.payment_totals(t), "charges_id", "left")
+        charged.join(parts.payment_totals(t, charged), "charges_id", "left")
         .join(t.charge_account, "charge_account_id")
         .join(admitted(t, charged), "visit_id")
     )

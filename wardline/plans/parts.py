@@ -138,8 +138,11 @@ def bookings(
             "Operation": (codes.OPERATION, "name"),
         },
     )
-    surgeons = t.person_name.groupBy(F.col("person_id").alias("creator")).agg(
-        F.min(F.concat("given_name", F.lit(" "), "family_name")).alias("Surgeon")
+    creators = booked.select("creator").distinct() if patients is not None else None
+    surgeons = (
+        within(t.person_name.withColumnRenamed("person_id", "creator"), "creator", creators)
+        .groupBy("creator")
+        .agg(F.min(F.concat("given_name", F.lit(" "), "family_name")).alias("Surgeon"))
     )
     return (
         booked.join(wide, "encounter_id")
@@ -156,6 +159,12 @@ def bookings(
     )
 
 
+def appointments(t: Tables) -> tuple[DataFrame, list[str], str]:
+    """What to count in place of bookings, which have one appointment or more: see `interval_join`."""
+    asked = t.obs.filter(F.col("concept_id") == codes.APPOINTMENT_DATE)
+    return asked.select("person_id", "value_datetime"), ["person_id"], "value_datetime"
+
+
 def patients_of(df: DataFrame) -> DataFrame:
     """The distinct patients of a table, to restrict others by."""
     return df.select("patient_id").distinct()
@@ -274,10 +283,13 @@ def discharges(t: Tables, patients: DataFrame | None = None) -> DataFrame:
     )
 
 
-def payment_totals(t: Tables) -> DataFrame:
-    """One row per charge: amounts by payment mode, their sum, and the latest day."""
+def payment_totals(t: Tables, charged: DataFrame | None = None) -> DataFrame:
+    """One row per charge: amounts by payment mode, their sum, and the latest day.
+
+    ``charged`` limits the payments that are read to its charges.
+    """
     return mode_pivot(
-        t.payment,
+        within(t.payment, "charges_id", charged),
         "charges_id",
         "mode_of_payment_id",
         "amount_paid",

@@ -13,6 +13,12 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Where the restricting side of a join is too large to broadcast, a bloom filter of its
+    # keys drops rows of observations and payments before they are shuffled. Both bounds are on
+    # sizes that Spark estimates; the filter itself has a fixed size limit.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "2GB",
 }
 
 

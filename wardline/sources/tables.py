@@ -34,6 +34,11 @@ def from_frames(frames: Mapping[str, DataFrame]) -> Tables:
     return Tables(frames.__getitem__)
 
 
+def replaced(tables: Tables, **frames: DataFrame) -> Tables:
+    """The same tables, but some: the new files of a table, say, in place of all."""
+    return Tables(lambda name: frames[name] if name in frames else getattr(tables, name))
+
+
 def without_deleted(tables: Tables) -> Tables:
     """The same tables without soft-deleted rows.
 
