@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -89,3 +90,55 @@ def cosine_links(rows, least):
 
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def words_at(text):
+    """(first, end) of each word: letters and digits, hyphens and apostrophes between two, single characters of scripts without blanks."""
+    blocks = [("\u0e00", "\u0eff"), ("\u1000", "\u109f"), ("\u1780", "\u17ff"), ("\u3040", "\u30ff"), ("\u3400", "\u9fff"), ("\uf900", "\ufaff"), ("\U00020000", "\U0003ffff")]
+
+    def letter(c):
+        return c.isalnum() or unicodedata.combining(c) > 0
+
+    def single(c):
+        return letter(c) and any(low <= c <= high for low, high in blocks)
+
+    out, i = [], 0
+    while i < len(text):
+        if single(text[i]):
+            out.append((i, i + 1))
+            i += 1
+        elif letter(text[i]):
+            start = i
+            while i < len(text) and (
+                (letter(text[i]) and not single(text[i]))
+                or (text[i] in "-'\u2019" and i + 1 < len(text) and letter(text[i + 1]) and not single(text[i + 1]) and letter(text[i - 1]))
+            ):
+                i += 1
+            out.append((start, i))
+        else:
+            i += 1
+    return out
+
+
+def cut_passages(rows, length):
+    """(key, text) rows -> the texts without words that lie in a run of ``length`` words which also starts elsewhere."""
+    found = [(text or "", words_at(text or "")) for _, text in rows]
+    windows = [[tuple(t[a:b] for a, b in w[i : i + length]) for i in range(len(w) - length + 1)] for t, w in found]
+    times = Counter(x for some in windows for x in some)
+    out = []
+    for (text, words), some in zip(found, windows, strict=True):
+        covered = set()
+        for i, x in enumerate(some):
+            if times[x] > 1:
+                covered |= set(range(i, i + length))
+        kept, at, i = [], 0, 0
+        while i < len(words):
+            if i in covered:
+                last = i
+                while last + 1 in covered:
+                    last += 1
+                kept.append(text[at : words[i][0]])
+                at, i = words[last][1], last
+            i += 1
+        out.append("".join(kept) + text[at:])
+    return out

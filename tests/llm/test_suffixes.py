@@ -43,7 +43,7 @@ def test_long_text_across_scan_slices(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "_SLICE", 256)
     rng = random.Random(1)
     body = "".join(rng.choice("abcd") for _ in range(1500))
-    keys = suffixes.anchors((body + "x" + body).encode(), 24, 8)
+    keys = suffixes.anchors(suffixes.BYTE_UNITS.values((body + "x" + body).encode()), 24, 8)
     covered = np.concatenate([np.arange(a, b + 1) for _, a, b in zip(*keys, strict=True)])
     assert covered.tolist() == list(range(2 * 1500 + 1 - 23))
 

@@ -13,9 +13,10 @@ anchor's hash, and equal strings always meet under one hash.
    itself occurs twice is repeated at every start.
 4. The marked ranges go back to the documents and are cut out there.
 
-With ``over_words`` a stretch of marked ranges is cut only if it holds more words than that, or ``LENGTH``
-bytes; ``length`` must then be short enough for any such passage. A character of a script without blanks
-counts as a word.
+The same with words in place of bytes (``WORD_UNITS``): a text is its sequence of words, whatever stands between them, and
+what lies in a repeated run of ``length`` words is cut, from its first word to its last. A word is a run of
+letters and digits, joined by hyphens and apostrophes; a character of a script without blanks is one too. Words are
+told apart by 64-bit hashes, and are numbered anew in each sort, so that a suffix begins at a word.
 
 A hash with more than ``GROUP_BYTES`` of unlike segments (a passage at whose edges very many documents
 differ) is not gathered: its strings are compared by 64-bit fingerprints in a counted group-by, which
@@ -29,7 +30,7 @@ is an id like any other. An empty table gives no rows. Other columns are ignored
 from __future__ import annotations
 
 import hashlib
-import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -50,10 +51,6 @@ GROUP_BYTES = 2 << 20
 _PLACE_BITS = 20
 _SLICE = 1 << 19
 
-#: Thai to Lao, Burmese, Khmer, kana and Chinese characters: scripts without blanks.
-_UNSPACED = r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
-_WORD = re.compile(rf"{_UNSPACED}|(?:(?!{_UNSPACED})[^\W_])+")
-
 _U = np.uint64
 _BYTE = stream(41, 256)
 _BASE = int(stream(42, 1)[0])
@@ -73,16 +70,118 @@ _UP = _powers(_BASE, _SLICE + (1 << 18))
 _DOWN = _powers(pow(_BASE, -1, 1 << 64), _SLICE + (1 << 18))
 
 
-def window_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """The hash of each string of ``size`` bytes, by prefix sums modulo 2**64."""
-    n = len(data) - size + 1
+def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """The hash of each string of ``size`` values, by prefix sums modulo 2**64."""
+    n = len(values) - size + 1
     if n <= 0:
         return np.zeros(0, _U)
     with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, _U), np.cumsum(_BYTE[data] * _UP[: len(data)], dtype=_U)])
+        sums = np.concatenate([np.zeros(1, _U), np.cumsum(values * _UP[: len(values)], dtype=_U)])
         return mix((sums[size:] - sums[:n]) * _DOWN[:n])
 
 
+class ByteUnits:
+    """A text as its bytes."""
+
+    width = 1
+
+    def values(self, body: bytes) -> np.ndarray:
+        return _BYTE[np.frombuffer(body, np.uint8)]
+
+    def sequence(self, body: bytes) -> bytes:
+        return body
+
+    def sortable(self, segments: list[bytes]) -> tuple[list[bytes], int]:
+        """Segments as byte strings to sort, and the bytes of one unit in them."""
+        return segments, 1
+
+    def prints(self, segment: bytes, length: int) -> np.ndarray:
+        return window_hashes(self.values(segment), length)
+
+    def ranges(self, body: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """Ranges of units as ranges of bytes."""
+        return runs
+
+
+class WordUnits:
+    """A text as the 64-bit hashes of its words."""
+
+    width = 8
+
+    def words(self, body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First and end byte of each word, and its hash."""
+        kinds = _kinds()
+        points = np.frombuffer(body.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        n = len(points)
+        kind = np.zeros(n + 2, np.uint8)
+        kind[1:-1] = kinds[points]
+        # A hyphen or apostrophe between two letters belongs to the word.
+        joins = (kind == _JOINER) & (np.roll(kind, 1) == _LETTER) & (np.roll(kind, -1) == _LETTER)
+        letter, single = (kind == _LETTER) | joins, kind == _SINGLE
+        first = np.flatnonzero((letter[1:] & ~letter[:-1]) | single[1:])
+        end = np.flatnonzero((letter[:-1] & ~letter[1:]) | single[:-1])
+        with np.errstate(over="ignore"):
+            base = np.arange(n, dtype=_U) * _U(0x9E3779B97F4A7C15)
+            inside = np.zeros(n + 1, np.int64)
+            inside[first] += 1
+            owner = np.cumsum(inside[:n]) - 1
+            place = np.arange(n) - (first[np.maximum(owner, 0)] if len(first) else 0)
+            mixed = mix((points.astype(_U) + _U(1)) * _U(0xD6E8FEB86659FD93) + base[place])
+            sums = np.concatenate([np.zeros(1, _U), np.cumsum(mixed, dtype=_U)])
+            hashes = mix(sums[end] - sums[first] + (end - first).astype(_U))
+        # Bytes of a code point, for the places in the body.
+        sizes = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        return at[first], at[end], hashes
+
+    def values(self, body: bytes) -> np.ndarray:
+        return self.words(body)[2]
+
+    def sequence(self, body: bytes) -> bytes:
+        return self.values(body).astype("<u8").tobytes()
+
+    def sortable(self, segments: list[bytes]) -> tuple[list[bytes], int]:
+        sizes = [len(x) // 8 for x in segments]
+        known, number = np.unique(np.frombuffer(b"".join(segments), "<u8"), return_inverse=True)
+        wide = 2 if len(known) < 1 << 16 else 4
+        raw = number.astype(f">u{wide}").tobytes()
+        cuts = np.cumsum([0, *sizes]) * wide
+        return [raw[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], wide
+
+    def prints(self, segment: bytes, length: int) -> np.ndarray:
+        return window_hashes(np.frombuffer(segment, "<u8"), length)
+
+    def ranges(self, body: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        if not runs:
+            return []
+        first, end, _ = self.words(body)
+        covered = np.zeros(len(first), bool)
+        for a, b in runs:
+            covered[a:b] = True
+        return [(int(first[a]), int(end[b])) for a, b in _ranges(covered)]
+
+
+BYTE_UNITS, WORD_UNITS = ByteUnits(), WordUnits()
+
+_LETTER, _JOINER, _SINGLE = 1, 2, 3
+#: Blocks of scripts without blanks, first and last code point: Thai and Lao, Burmese, Khmer, kana, Chinese characters.
+_UNSPACED = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_KINDS: list[np.ndarray] = []
+
+
+def _kinds() -> np.ndarray:
+    """What each code point is for words; made once per worker."""
+    if not _KINDS:
+        kinds = np.zeros(0x110000, np.uint8)
+        kinds[[c for c in range(0x110000) if chr(c).isalnum() or unicodedata.combining(chr(c))]] = _LETTER
+        kinds[[ord("-"), ord("'"), 0x2019]] = _JOINER
+        for low, high in _UNSPACED:
+            block = kinds[low : high + 1]
+            block[block == _LETTER] = _SINGLE
+        _KINDS.append(kinds)
+    return _KINDS[0]
+
+
 def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
     """The place of the least of each ``width`` hashes in a row, the leftmost of equal ones."""
     n = len(hashes)
@@ -97,17 +196,16 @@ def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(behind[:starts], ahead[width - 1 : width - 1 + starts]) & low).astype(np.int64)
 
 
-def anchors(body: bytes, length: int = LENGTH, gram: int = GRAM):
+def anchors(values: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     """``key, first, last`` arrays: the anchor's hash and the run of starts that have it."""
     found: list[list[np.ndarray]] = [[], [], []]
-    for at in range(0, len(body) - length + 1, _SLICE):
-        data = np.frombuffer(body, np.uint8, min(_SLICE + length - 1, len(body) - at), at)
-        hashes = window_hashes(data, gram)
+    for at in range(0, len(values) - length + 1, _SLICE):
+        hashes = window_hashes(values[at : at + _SLICE + length - 1], gram)
         places = _least_places(hashes, length - gram + 1)
         first = np.concatenate([[0], np.flatnonzero(places[1:] != places[:-1]) + 1])
         last = np.concatenate([first[1:] - 1, [len(places) - 1]])
-        for out, values in zip(found, (hashes[places[first]].view(np.int64), first + at, last + at), strict=True):
-            out.append(values)
+        for out, some in zip(found, (hashes[places[first]].view(np.int64), first + at, last + at), strict=True):
+            out.append(some)
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
 
 
@@ -184,33 +282,35 @@ def _ranges(marked: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1) for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
-def repeated_starts(segments: list[bytes], counts: list[int], length: int = LENGTH) -> list[list[tuple[int, int]]]:
+def repeated_starts(segments: list[bytes], counts: list[int], length: int = LENGTH, unit=BYTE_UNITS) -> list[list[tuple[int, int]]]:
     """For each distinct segment, the runs of starts whose string also starts elsewhere in the group."""
+    segments, wide = unit.sortable(segments)
+    depth = length * wide
     sizes = [len(s) for s in segments]
     firsts = np.cumsum([0, *(size + 1 for size in sizes)])
     data = np.frombuffer(b"\0".join(segments) + b"\0", np.uint8)
     valid = np.zeros(len(data), bool)
     for at, size in zip(firsts.tolist(), sizes, strict=False):
-        valid[at : at + size - length + 1] = True
-    order = suffix_order(data, length)
+        valid[at : at + size - depth + 1 : wide] = True
+    order = suffix_order(data, depth)
     order = order[valid[order]]
-    equal = common_prefixes(data, order, length) >= length
+    equal = common_prefixes(data, order, depth) >= depth
     marked = np.zeros(len(data), bool)
     marked[order[:-1][equal]] = True
     marked[order[1:][equal]] = True
     out = []
     for at, size, count in zip(firsts.tolist(), sizes, counts, strict=False):
-        starts = size - length + 1
-        out.append([(0, starts - 1)] if count > 1 else _ranges(marked[at : at + starts]))
+        starts = (size - depth) // wide + 1
+        out.append([(0, starts - 1)] if count > 1 else _ranges(marked[at : at + size - depth + 1 : wide]))
     return out
 
 
-def _anchor_rows(length: int, gram: int):
+def _anchor_rows(length: int, gram: int, unit):
     def rows(batches):
         for batch in batches:
             columns: list[list] = [[], [], [], [], []]
             for doc, mark, body in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                key, first, last = anchors(body, length, gram)
+                key, first, last = anchors(unit.values(body), length, gram)
                 for out, values in zip(columns, ([doc] * len(key), np.full(len(key), mark), key, first, last), strict=True):
                     out.append(values)
             docs = pa.array([d for some in columns[0] for d in some], pa.int64())
@@ -226,7 +326,7 @@ _SEGMENT = pa.schema(
 _SEGMENT_DDL = "key bigint, digest bigint, n bigint, body binary, doc_id bigint, mark bigint, first bigint"
 
 
-def _segment_rows(length: int):
+def _segment_rows(length: int, unit):
     """Documents with their anchors -> where each segment lies (no ``body``), and each task's distinct segments."""
 
     def rows(batches):
@@ -244,8 +344,9 @@ def _segment_rows(length: int):
         for batch in batches:
             out = []
             for doc, mark, body, found in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                whole = unit.sequence(body)
                 for a in found:
-                    segment = body[a["first"] : a["last"] + length]
+                    segment = whole[a["first"] * unit.width : (a["last"] + length) * unit.width]
                     digest = int.from_bytes(hashlib.blake2b(segment, digest_size=8).digest(), "little", signed=True)
                     name = a["key"], digest
                     if name not in counts:
@@ -267,7 +368,7 @@ def _segment_rows(length: int):
 _MARK = pa.schema([("key", pa.int64()), ("digest", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def _sorted_groups(length: int):
+def _sorted_groups(length: int, unit):
     """Rows ``key, digest, n, body`` in order of key and digest -> repeated runs of starts per segment."""
 
     def rows(batches):
@@ -279,7 +380,7 @@ def _sorted_groups(length: int):
         def settle():
             nonlocal size
             if waiting:
-                for (key, digest, *_), runs in zip(waiting, repeated_starts([w[3] for w in waiting], [w[2] for w in waiting], length), strict=True):
+                for (key, digest, *_), runs in zip(waiting, repeated_starts([w[3] for w in waiting], [w[2] for w in waiting], length, unit), strict=True):
                     out.extend({"key": key, "digest": digest, "a": a, "b": b} for a, b in runs)
                 waiting.clear()
             size = 0
@@ -289,7 +390,7 @@ def _sorted_groups(length: int):
             if len(group) == 1:
                 key, digest, n, body = group[0]
                 if n > 1:
-                    out.append({"key": key, "digest": digest, "a": 0, "b": len(body) - length})
+                    out.append({"key": key, "digest": digest, "a": 0, "b": len(body) // unit.width - length})
             else:
                 waiting.extend(group)
                 size += sum(len(g[3]) for g in group)
@@ -316,13 +417,13 @@ def _sorted_groups(length: int):
     return rows
 
 
-def _fingerprints(length: int):
+def _fingerprints(length: int, unit):
     """Segments -> a 64-bit fingerprint per start."""
 
     def rows(batches):
         for batch in batches:
             for key, digest, n, body in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                prints = window_hashes(np.frombuffer(body, np.uint8), length).view(np.int64)
+                prints = unit.prints(body, length).view(np.int64)
                 full = [np.full(len(prints), x) for x in (key, digest, n)]
                 arrays = [pa.array(x) for x in (*full, np.arange(len(prints)), prints)]
                 yield pa.RecordBatch.from_arrays(arrays, ["key", "digest", "n", "a", "print"])
@@ -354,26 +455,7 @@ def remove(body: bytes, runs: list[tuple[int, int]], align: bool) -> tuple[bytes
     return b"".join(kept), removed, spans
 
 
-def passages(body: bytes, runs: list[tuple[int, int]], over_words: int) -> list[tuple[int, int]]:
-    """The stretches that byte ranges form, those of over ``over_words`` words or at least ``LENGTH`` bytes.
-
-    Words are parted by white space, or are runs of letters and digits where that makes more of them.
-    """
-    joined: list[list[int]] = []
-    for a, b in sorted(runs):
-        if joined and a <= joined[-1][1]:
-            joined[-1][1] = max(joined[-1][1], b)
-        else:
-            joined.append([a, b])
-    out = []
-    for a, b in joined:
-        text = body[a:b].decode("utf-8", "ignore")
-        if b - a >= LENGTH or max(len(text.split()), len(_WORD.findall(text))) > over_words:
-            out.append((a, b))
-    return out
-
-
-def _cut(align: bool, over_words: int | None):
+def _cut(align: bool, unit):
     """Documents with repeated runs of starts -> their digest rows and what is kept; further columns pass."""
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
 
@@ -381,9 +463,7 @@ def _cut(align: bool, over_words: int | None):
         for batch in batches:
             out: list[list] = [[] for _ in names]
             for doc, body, runs in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                ranges = [(r["a"], r["b"]) for r in runs or ()]
-                if over_words is not None:
-                    ranges = passages(body, ranges, over_words)
+                ranges = unit.ranges(body, [(r["a"], r["b"]) for r in runs or ()])
                 kept, removed, spans = remove(body, ranges, align)
                 for values, value in zip(out, (doc, len(body), removed, spans, kept), strict=True):
                     values.append(value)
@@ -403,7 +483,7 @@ def without_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: bool = False,
-    over_words: int | None = None,
+    unit: ByteUnits | WordUnits = BYTE_UNITS,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary: the remaining bytes) per document.
 
@@ -413,8 +493,8 @@ def without_repeats(
     other = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("carried")] if carry else []
     whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("body"), *other).withColumn("mark", F.xxhash64("body"))
     read = whole.select("doc_id", "body", "mark")
-    long = read.filter(F.octet_length("body") >= length)
-    found = long.select("doc_id", "mark", "body").mapInArrow(_anchor_rows(length, gram), "doc_id bigint, mark bigint, key bigint, first bigint, last bigint")
+    long = read.filter(F.octet_length("body") >= length)  # a word has a byte or more
+    found = long.select("doc_id", "mark", "body").mapInArrow(_anchor_rows(length, gram, unit), "doc_id bigint, mark bigint, key bigint, first bigint, last bigint")
     found = scratch.table(found, "anchors")
     repeated = found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     of_docs = (
@@ -425,7 +505,7 @@ def without_repeats(
     named = of_docs.select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "found")
     same_doc = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))
     cut = long.join(named, same_doc).select("doc_id", "mark", "body", "found")
-    segments = scratch.table(cut.mapInArrow(_segment_rows(length), _SEGMENT_DDL), "segments")
+    segments = scratch.table(cut.mapInArrow(_segment_rows(length, unit), _SEGMENT_DDL), "segments")
     scratch.drop("anchors")
     bodies = segments.filter("body is not null").select("key", "digest", "n", "body")
     places = segments.filter("body is null").select("key", "digest", "doc_id", "mark", "first")
@@ -435,10 +515,10 @@ def without_repeats(
     n_large = large.count()
     sortable = bodies.join(small(large, n_large), "key", "left_anti") if n_large else bodies
     ordered = sortable.repartition("key").sortWithinPartitions("key", "digest")
-    marks = ordered.mapInArrow(_sorted_groups(length), "key bigint, digest bigint, a bigint, b bigint")
+    marks = ordered.mapInArrow(_sorted_groups(length, unit), "key bigint, digest bigint, a bigint, b bigint")
     if n_large:
         prints = bodies.join(small(large, n_large), "key", "left_semi").select("key", "digest", "n", "body")
-        prints = prints.mapInArrow(_fingerprints(length), "key bigint, digest bigint, n bigint, a bigint, print bigint")
+        prints = prints.mapInArrow(_fingerprints(length, unit), "key bigint, digest bigint, n bigint, a bigint, print bigint")
         twice = prints.groupBy("key", "print").agg(F.sum("n").alias("times")).filter("times > 1").select("key", "print")
         starts = prints.join(twice, ["key", "print"]).select("key", "digest", "a", F.col("a").alias("b")).distinct()
         marks = marks.unionByName(starts)
@@ -451,7 +531,7 @@ def without_repeats(
     carried = ["carried"] if carry else []
     back = whole.join(spans, same_doc, "left").select("doc_id", "body", "runs", *carried)
     kinds = "".join(f", carried {whole.schema['carried'].dataType.simpleString()}" for _ in carried)
-    return back.mapInArrow(_cut(carry, over_words), f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary{kinds}")
+    return back.mapInArrow(_cut(carry, unit), f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary{kinds}")
 
 
 def removal_digests(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
