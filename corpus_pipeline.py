@@ -12,11 +12,9 @@ from wardline.llm import decontaminate, jaccard, packing, suffixes, toxicity
 from wardline.llm.common import Scratch, prepare
 from wardline.llm.tokens import default_path, definition
 
-#: Repeated passages of more words are cut. ``PASSAGE_BYTES`` is the least that one word more takes: single
-#: bytes with a blank between each two.
-PASSAGE_WORDS = 50
-PASSAGE_BYTES = 2 * PASSAGE_WORDS + 1
-PASSAGE_GRAM = 32
+#: Passages of at least so many words that also stand elsewhere are cut; anchors are grams of ``PASSAGE_GRAM`` words.
+PASSAGE_WORDS = 51
+PASSAGE_GRAM = 16
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +29,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of over ``PASSAGE_WORDS`` words, or of op9's length, that also stand elsewhere."""
+    """Texts without the words that lie in a run of ``PASSAGE_WORDS`` words which also starts elsewhere."""
     scratch = Scratch(prepare(spark), "suffixes")
-    return suffixes.cleaned(docs, scratch, length=PASSAGE_BYTES, gram=PASSAGE_GRAM, over_words=PASSAGE_WORDS)
+    return suffixes.cleaned(docs, scratch, length=PASSAGE_WORDS, gram=PASSAGE_GRAM, unit=suffixes.WORD_UNITS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
