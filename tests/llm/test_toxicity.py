@@ -94,3 +94,12 @@ def test_toxic_words_that_clean_documents_also_hold(spark):
     held = [(r.predicted, r.doc_id % 8 == 0) for r in rows if r.held_out]
     assert sum(p for p, y in held if y) > 0.85 * sum(y for _, y in held)
     assert sum(p for p, y in held if not y) < 0.1 * sum(not y for _, y in held)
+
+
+def test_a_worker_that_meets_a_second_model_reads_by_its_vocabulary():
+    bodies = [b"alpha beta", b"beta gamma", b"gamma"]
+    for turn in range(30):  # each model is freed before the next one is made
+        words = [f"={w}" for w in ("alpha", "beta", "gamma")][turn % 3 :]
+        model = toxicity.Model({w: i for i, w in enumerate(words)}, np.arange(1.0, len(words) + 1), 0.0)
+        fresh = model.scores(toxicity.Reader(model.vocabulary), bodies)
+        assert np.array_equal(model.scores(toxicity.reader(model), bodies), fresh)

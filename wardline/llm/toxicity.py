@@ -252,7 +252,9 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
     order = F.xxhash64("doc_id")
     chosen = [given.filter(F.col("toxic") == y).orderBy(order, "doc_id").limit(sample) for y in (0, 1)]
     chosen = scratch.table(chosen[0].unionByName(chosen[1]), "chosen")  # 2 * sample rows at most
-    bodies = texts(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "toxic", "body")
+    # Of several texts of one id the same one is taken in every run.
+    found = texts(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id")
+    bodies = found.agg(F.max("toxic").alias("toxic"), F.min(F.struct(F.xxhash64("body"), "body")).alias("b")).select("doc_id", "toxic", "b.body")
     bodies = scratch.table(bodies.repartition("doc_id"), "sample")
 
     counts = bodies.mapInArrow(_count(None), "entry string, clean bigint, toxic bigint")
@@ -305,7 +307,14 @@ def train(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int = SA
     return Model(vocabulary, beta, bias)
 
 
-_READERS: dict[int, Reader] = {}
+#: The worker's last model and its reader; the model is held, so no other one can be taken for it.
+_READERS: list[tuple[Model, Reader]] = []
+
+
+def reader(model: Model) -> Reader:
+    if not _READERS or _READERS[0][0] is not model:
+        _READERS[:] = [(model, Reader(model.vocabulary))]
+    return _READERS[0][1]
 
 
 def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -318,11 +327,8 @@ def scored(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_co
 
         def score(batches):
             known = held.value
-            if id(known) not in _READERS:
-                _READERS.clear()
-                _READERS[id(known)] = Reader(known.vocabulary)
             for batch in batches:
-                found = known.scores(_READERS[id(known)], batch.column(1).to_pylist())
+                found = known.scores(reader(known), batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["doc_id", "score"])
 
         out = read.mapInArrow(score, "doc_id bigint, score double")
@@ -343,9 +349,9 @@ def without_toxic(docs: DataFrame, labels: DataFrame, scratch: Scratch, text_col
     at = docs.columns.index(text_col)
 
     def keep(batches):
-        known, reader = held.value, Reader(held.value.vocabulary)
+        known = held.value
         for batch in batches:
             bodies = [(t or "").encode() for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(known.scores(reader, bodies) < THRESHOLD, pa.bool_()))
+            yield batch.filter(pa.array(known.scores(reader(known), bodies) < THRESHOLD, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
