@@ -73,3 +73,19 @@ def test_damaged_archives_are_refused():
     for bad in (good[:-6], good.replace(b": 4", b": 3"), b"x" + good):
         with pytest.raises(ValueError):
             list(warc.parse(gzip.compress(bad)))
+
+
+def test_archives_with_a_member_per_record():
+    import gzip
+
+    record = lambda i: b"WARC/1.1\r\nWARC-Record-ID: <urn:page:%d>\r\nContent-Length: %d\r\n\r\n" % (i, 3 * i) + b"abc" * i + b"\r\n\r\n"
+    numbers = [1, 0, 3, 700_000, 2]
+    for parts in ([record(i) for i in numbers], [b"".join(map(record, numbers))], [record(1) + record(0), record(3), record(700_000) + record(2)]):
+        packed = b"".join(map(gzip.compress, parts))
+        assert [(h["WARC-Record-ID"], len(block)) for *_, h, block in warc.parse(packed)] == [(f"<urn:page:{i}>", 3 * i) for i in numbers]
+        for cut in (1, 4, 8, 9, 40):
+            with pytest.raises(ValueError):
+                list(warc.parse(packed[:-cut]))
+        with pytest.raises(ValueError):
+            list(warc.parse(packed + b"rest"))
+    assert list(warc.parse(b"")) == []

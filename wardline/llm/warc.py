@@ -98,36 +98,50 @@ def write_archives(pages: DataFrame, scratch: Scratch, **columns) -> str:
     return path
 
 
+def _inflated(archive: bytes) -> Iterator[bytes]:
+    """The bytes of all members of a gzip file, in pieces; raises unless the last member is whole."""
+    pending = archive
+    while pending:
+        inflate = zlib.decompressobj(31)
+        while not inflate.eof:
+            try:
+                more = inflate.decompress(pending, 1 << 20)
+            except zlib.error as e:
+                raise ValueError(f"archive is damaged: {e}") from e
+            pending = inflate.unconsumed_tail
+            if not (more or pending or inflate.eof):
+                raise ValueError("archive ends within a gzip member")
+            if more:
+                yield more
+        pending = inflate.unused_data
+
+
 def parse(archive: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """Offset, length, headers and block of each record of a gzip archive; raises on a broken one."""
-    inflate, data, base = zlib.decompressobj(31), bytearray(), 0
+    """Offset (in the unpacked bytes), length, headers and block of each record of a gzip archive.
+
+    The records may lie in one gzip member, or in a member each, as other writers leave them. Raises on a
+    broken record and on a file that was cut, within its last checksum too.
+    """
+    pieces, data, base = _inflated(archive), bytearray(), 0
 
     def fill(size: int) -> None:
-        nonlocal pending
         while len(data) < size:
-            if not pending and inflate.eof:
-                raise ValueError("archive ends within a record")
-            more = inflate.decompress(pending, 1 << 20)
-            pending = inflate.unconsumed_tail
-            if not more and not pending:
+            more = next(pieces, None)
+            if more is None:
                 raise ValueError("archive ends within a record")
             data.extend(more)
 
-    def ended() -> bool:
-        nonlocal pending
-        if data:
-            return False
-        while not data and pending:
-            data.extend(inflate.decompress(pending, 1 << 20))
-            pending = inflate.unconsumed_tail
-        return not data
-
-    pending = archive
-    while not ended():
-        stop = data.find(b"\r\n\r\n")
+    while True:
+        if not data:
+            more = next(pieces, None)
+            if more is None:
+                return
+            data.extend(more)
+        stop, seen = data.find(b"\r\n\r\n"), 0
         while stop < 0:
+            seen = max(0, len(data) - 3)
             fill(len(data) + 1)
-            stop = data.find(b"\r\n\r\n")
+            stop = data.find(b"\r\n\r\n", seen)
         first, *lines = data[:stop].decode("utf-8").split("\r\n")
         if not first.startswith("WARC/"):
             raise ValueError(f"no record at {base}: {first[:40]!r}")
