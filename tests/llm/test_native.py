@@ -13,7 +13,7 @@ from wardline.llm import catalog, decontaminate, url_rules
 @pytest.fixture(scope="module")
 def con(sf_dir):
     c = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "conversations"):
         c.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     return c
 
@@ -55,12 +55,28 @@ def test_substitutions_within_a_window(spark):
 def test_short_items_odd_rows_and_empty_tables(spark):
     short = "one two three four five six seven eight"
     docs = [(1, "X ONE, two three; four five six seven-eight y"), (2, short.replace("four", "4")), (3, short.replace("two", "2").replace("six", "6"))]
-    docs += [(4, None), (5, ""), (None, short), (1, "nothing"), (6, "one two three"), (7, f"{short} " * 2000)]
-    items = [(1, short), (2, "one two three"), (3, None), (1, short)]
+    docs += [(4, None), (5, ""), (None, short), (1, "nothing"), (6, "one two four"), (7, f"{short} " * 2000)]
+    items = [(1, short), (3, None), (1, short), (4, " - ")]
     assert found(spark, docs, items) == {(1, 1): (8, 1), (2, 1): (7, 0), (None, 1): (8, 0), (7, 1): (8, 0)}
     assert found(spark, [], items) == {} == found(spark, docs, [])
 
 
+def test_items_of_few_words_and_scripts_without_blanks(spark, tmp_path):
+    items = [(n, " ".join(f"k{n}w{i}" for i in range(n))) for n in range(1, 9)] + [(20, "天地玄黃宇宙洪荒"), (21, "天地"), (22, "ก ข")]
+    docs = [(n, f"Lead, {text.upper()}; tail") for n, text in items]
+    docs += [(100 + n, text.replace("w0", "x0")) for n, text in items]  # one word is another
+    docs += [(200, "k3w0 k3w1"), (201, "在天地玄黃之間"), (202, "天x地"), (203, "k2w0... k2w1 k2w1"), (204, None), (205, "天地玄黑宇宙洪荒")]
+    got = found(spark, docs, items)
+    own = {(n, n) for n, _ in items} | {(120, 20), (121, 21), (122, 22), (20, 21), (120, 21), (205, 21), (205, 20), (201, 21), (203, 2), (108, 8)}
+    assert set(got) == own
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/d")
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/b")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/d/*.parquet'")
+    con.execute(f"create view benchmark as select * from '{tmp_path}/b/*.parquet'")
+    assert {(r[0], r[1]): (r[3], r[4]) for r in con.execute(catalog.OP2_SQL).fetchall()} == got
+
+
 def judged(spark, urls, rules=url_rules.RULES):
     rows = [(i, u, "r", "v") for i, u in urls]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, rule string, host string")

@@ -48,16 +48,15 @@ OP2_SQL = r"""
 with words as (
     select doc_id, unnest(w) as word, unnest(range(len(w))) as pos
     from (
-        select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w
+        select doc_id, list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')), '([\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}])', ' \1 ', 'g'), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w
         from documents
     )
 ), items as (
     select item_id, len(w) as n_words, unnest(w) as word, unnest(range(len(w))) as pos
     from (
-        select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w
+        select item_id, list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')), '([\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}])', ' \1 ', 'g'), '[^\p{L}\p{N}]+'), lambda x: x <> '') as w
         from benchmark
     )
-    where len(w) >= 8
 ), same as (
     select doc_id, item_id, n_words, d.pos - i.pos as shift, i.pos as pos
     from words d join items i using (word)
@@ -69,7 +68,7 @@ with words as (
 ), found as (
     select *
     from placed
-    where near >= least(16, n_words) - case when n_words >= 16 then 3 else n_words // 7 end
+    where near >= least(16, n_words) - case when n_words >= 16 then 3 when n_words >= 8 then n_words // 7 else 0 end
 )
 select doc_id, item_id, max(n_words)::int as n_words, max(n_matched)::int as n_matched,
     greatest(0, -max((n_matched, -shift))[2])::int as doc_word

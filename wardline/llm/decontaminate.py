@@ -6,14 +6,15 @@ the places left out may differ. Documents meet the items' seeds by hash. A hit f
 there the item is compared with the document word by word, and the document is contaminated if some
 ``WINDOW`` consecutive item words (the whole of a shorter item) have at most ``misses`` substitutions.
 The two masks together hit every such alignment (all patterns of misses were tried), so nothing that
-meets the rule is lost.
+meets the rule is lost. Items of under ``SEEDED`` words must stand in the document word for word; their one
+seed is the hash of the whole item, and documents make such hashes for the lengths that occur.
 
 Hits are reduced to distinct alignments before documents are read again for the comparison, so a passage
 copied word for word is compared once, not once per word, and no text is carried along with hits.
 
 Null or empty texts hold no words and are clean. Null ``doc_id``: reported as null. Repeated rows are
-reported once per ``doc_id`` and item. Items under ``MIN_WORDS`` words (and null ones) are not searched.
-An empty table gives no rows. Other columns are ignored. A word hash stands for its word.
+reported once per ``doc_id`` and item. Items without words (and null ones) match nothing. A character of a
+script without blanks is a word. An empty table gives no rows. Other columns are ignored. A word hash stands for its word.
 """
 
 from __future__ import annotations
@@ -25,20 +26,25 @@ from pyspark.sql import functions as F
 MASKS = ((0, 1, 2, 4, 5), (0, 1, 3, 4, 5))
 SPAN = 6
 WINDOW = 16
-MIN_WORDS = 8
+#: Items from so many words on are found by the masks, shorter ones as a whole.
+SEEDED = 8
+
+#: Characters of Thai, Lao, Burmese, Khmer, kana and Chinese writing, which has no blanks between words.
+UNSPACED = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]"
 
 #: Items' seeds are broadcast up to this many rows (some 50 bytes each); beyond it the join shuffles.
 BROADCAST_SEEDS = 500_000
 
 
 def misses(words: Column) -> Column:
-    """Substitutions allowed in a window: 3 in 16, one in seven of a shorter item."""
-    return F.when(words >= WINDOW, F.lit(3)).otherwise(F.floor(words / 7)).cast("int")
+    """Substitutions allowed in a window: 3 in 16, one in seven of a shorter item, none in a very short one."""
+    return F.when(words >= WINDOW, F.lit(3)).when(words >= SEEDED, F.floor(words / 7)).otherwise(F.lit(0)).cast("int")
 
 
 def word_hashes(text: Column) -> Column:
     """64-bit hashes of a text's words: runs of letters and digits, in lower case."""
-    split = F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+")
+    read = F.lower(F.coalesce(text.cast("string"), F.lit("")))
+    split = F.split(F.regexp_replace(read, f"({UNSPACED})", " $1 "), r"[^\p{L}\p{N}]+")
     return F.transform(F.array_remove(split, ""), lambda w: F.xxhash64(w))
 
 
@@ -54,6 +60,11 @@ def _seeds(rows: DataFrame, words: str, at: str, keep: list[str]) -> DataFrame:
     return placed.select(*keep, at, F.explode(each).alias("s")).select(*keep, at, "s.mask", "s.seed")
 
 
+def _whole(words: str, at: Column, n: Column) -> Column:
+    """The hash of ``n`` words from a place on."""
+    return F.xxhash64(n, F.slice(words, at + F.lit(1), n))
+
+
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -64,11 +75,14 @@ def contaminated(
 ) -> DataFrame:
     """``doc_id, item_id, n_words`` (of the item)``, n_matched`` (on its best alignment), ``doc_word`` (where that begins)."""
     wanted = items.select(F.col(item_col).alias("item_id"), word_hashes(F.col(item_text_col)).alias("item"))
-    wanted = wanted.filter(F.size("item") >= MIN_WORDS).distinct().withColumn("item_key", F.xxhash64("item_id", "item"))
-    seeds = _seeds(wanted, "item", "item_at", ["item_key"])
-    few = seeds.count() <= BROADCAST_SEEDS
+    wanted = wanted.filter(F.size("item") > 0).distinct().withColumn("item_key", F.xxhash64("item_id", "item"))
+    seeds = _seeds(wanted.filter(F.size("item") >= SEEDED), "item", "item_at", ["item_key"])
+    short = wanted.filter(F.size("item") < SEEDED).select("item_key", F.size("item").alias("n"), _whole("item", F.lit(0), F.size("item")).alias("seed"))
+    # SEEDED - 1 lengths at most.
+    lengths = {r["n"]: r["count"] for r in short.groupBy("n").count().collect()}
+    few = seeds.count() + sum(lengths.values()) <= BROADCAST_SEEDS
     if few:
-        seeds, wanted = F.broadcast(seeds), F.broadcast(wanted)
+        seeds, wanted, short = F.broadcast(seeds), F.broadcast(wanted), F.broadcast(short)
     read = docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"),
@@ -77,7 +91,12 @@ def contaminated(
 
     # Rows of this join are narrow, and only hits leave it. A passage has many hits but one alignment.
     hits = _seeds(words, "words", "at", ["doc_id", "mark"]).join(seeds, ["mask", "seed"])
-    placed = hits.select("doc_id", "mark", "item_key", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    hits = hits.select("doc_id", "mark", "item_key", (F.col("at") - F.col("item_at")).alias("shift"))
+    for n in sorted(lengths):
+        starts = words.filter(F.size("words") >= n).select("doc_id", "mark", "words", F.explode(F.sequence(F.lit(0), F.size("words") - n)).alias("shift"))
+        starts = starts.select("doc_id", "mark", "shift", F.lit(n).alias("n"), _whole("words", F.col("shift"), F.lit(n)).alias("seed"))
+        hits = hits.unionByName(starts.join(short, ["n", "seed"]).select("doc_id", "mark", "item_key", "shift"))
+    placed = hits.distinct()
     named = placed.groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m")).agg(F.collect_list(F.struct("item_key", "shift")).alias("found"))
     hit_docs = read.join(named, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")))
     split = hit_docs.select("doc_id", word_hashes(F.col("body")).alias("words"), "found")
