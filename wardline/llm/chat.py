@@ -109,9 +109,13 @@ def parse(formatted: Column) -> Column:
 
 
 def _differs(turns: Column, parsed: Column) -> Column:
-    """Per turn whether it came back unlike the source, or whether there are more pieces than turns."""
-    more = F.size(parsed) != F.size(turns)
-    return F.transform(turns, lambda t, i: ~F.get(parsed, i).eqNullSafe(t) | (more & (i == F.size(turns) - 1)))
+    """Per turn whether it came back unlike the source; pieces beyond the turns differ too."""
+    return F.zip_with(turns, parsed, lambda t, p: ~t.eqNullSafe(p))
+
+
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """The frame with columns that are computed once, however often they are used: projections are not merged across a generator."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
 
 
 def format_chats(
@@ -136,29 +140,29 @@ def format_chats(
     parts = parts.withColumn("turns", F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))).drop("t")
     turns = F.col("turns")
 
-    def rendered(df: DataFrame, flags: Column, n: int) -> DataFrame:
-        df = df.withColumn(f"made{n}", _rendered(turns, flags)).withColumn(f"text{n}", _joined(F.col(f"made{n}")))
-        return df.withColumn(f"wrong{n}", _differs(turns, parse(F.col(f"text{n}"))))
-
-    def any_wrong(n: int) -> Column:
-        return F.exists(f"wrong{n}", lambda x: x)
-
-    first = rendered(parts, F.transform(turns, lambda _: F.lit(False)), 0)
-    same = first.filter(~any_wrong(0)).select("conv_id", "part", "turns", F.col("made0").alias("made"), F.col("text0").alias("formatted"), F.lit(1).alias("rounds"))
-    unlike = rendered(first.filter(any_wrong(0)), F.col("wrong0"), 1)
-    unlike = rendered(unlike, F.transform(turns, lambda _: F.lit(True)), 2)
-    chosen = unlike.select(
+    def rendered(df: DataFrame, n: int, flags: Column, due: Column) -> DataFrame:
+        """Where due, the rendering with the flagged turns escaped, what differs in it, and whether anything does."""
+        df = _once(df, **{f"made{n}": F.when(due, _rendered(turns, flags))})
+        df = _once(df, **{f"text{n}": F.when(due, _joined(F.col(f"made{n}")))})
+        df = _once(df, **{f"wrong{n}": F.when(due, _differs(turns, parse(F.col(f"text{n}"))))})
+        return _once(df, **{f"bad{n}": F.exists(f"wrong{n}", lambda x: x)})
+
+    found = rendered(parts, 0, F.transform(turns, lambda _: F.lit(False)), F.lit(True))
+    found = rendered(found, 1, F.slice("wrong0", F.lit(1), F.size(turns)), F.col("bad0"))
+    found = rendered(found, 2, F.transform(turns, lambda _: F.lit(True)), F.coalesce("bad1", F.lit(False)))
+    failed = F.raise_error(F.lit("a formatted conversation does not parse into its source"))
+    found = found.select(
         "conv_id",
         "part",
         "turns",
-        F.when(~any_wrong(1), F.col("made1")).otherwise(F.col("made2")).alias("made"),
-        F.when(~any_wrong(1), F.col("text1"))
-        .when(~any_wrong(2), F.col("text2"))
-        .otherwise(F.raise_error(F.lit("a formatted conversation does not parse into its source")).cast("string"))
+        F.when(~F.col("bad0"), F.col("made0")).when(~F.col("bad1"), F.col("made1")).otherwise(F.col("made2")).alias("made"),
+        F.when(~F.col("bad0"), F.col("text0"))
+        .when(~F.col("bad1"), F.col("text1"))
+        .when(~F.col("bad2"), F.col("text2"))
+        .otherwise(failed.cast("string"))
         .alias("formatted"),
-        F.when(~any_wrong(1), 2).otherwise(3).alias("rounds"),
+        F.when(~F.col("bad0"), 1).when(~F.col("bad1"), 2).otherwise(3).alias("rounds"),
     )
-    found = same.unionByName(chosen)
     # Where each turn's text begins: one sum over the turns, the place reached and the spans so far.
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
 
@@ -186,7 +190,7 @@ def with_probe(chats: DataFrame) -> DataFrame:
 
 def digests(formatted: DataFrame) -> DataFrame:
     """Per conversation what a reader gets from the formatted text alone, by the parser and the loss mask."""
-    turns = parse(F.col("formatted"))
+    formatted, turns = _once(formatted, turns=parse(F.col("formatted"))), F.col("turns")
     whole = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
     part = F.struct("part", whole.alias("whole"), F.array_join(loss, "").alias("loss"))
