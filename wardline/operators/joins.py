@@ -106,8 +106,8 @@ def interval_join(
     rows are dealt into pieces of about that many by a hash of the row, and the left
     rows of just these buckets are copied to each piece (halving such a bucket's time would
     copy as much, since the span covers all of it, and would not part equal
-    times). An outer join needs to know whether any piece has a partner: for that a split bucket
-    keeps its first and last time of each day, which tell it exactly. ``counted``
+    times). An outer join needs to know whether any piece has a partner: two times of the
+    bucket tell that exactly. ``counted``
     is a cheaper table to count, with its keys and time column; it may have more
     rows than the right side, and must not have fewer in any bucket.
 
@@ -151,29 +151,31 @@ def interval_join(
         .filter(F.col("_pieces") > 1)
     )
     build = build.join(crowded, [*right_keys, "_bucket_r"], "left")
+    # Spans of a bucket's left rows begin in the first half of the days its right rows cover and
+    # end in the second. So there is a partner just if the last time of the first half is not
+    # before the span, or the first time of the second half not after it.
+    second = day(right_ts) - F.col("_bucket_r") * F.lit(width) + F.lit(days_before) >= F.lit(width)
     times = (
         build.filter(F.col("_pieces").isNotNull())
-        .groupBy(*right_keys, "_bucket_r", "_pieces", F.to_date(right_ts).alias("_day"))
-        .agg(F.min(right_ts).alias("_from"), F.max(right_ts).alias("_to"))
-        # A bucket and the spans into it cover some days only.
         .groupBy(*right_keys, "_bucket_r", "_pieces")
-        .agg(F.collect_list(F.struct("_from", "_to")).alias("_days"))
+        .agg(
+            F.max(F.when(~second, F.col(right_ts))).alias("_before"),
+            F.min(F.when(second, F.col(right_ts))).alias("_after"),
+        )
     )
     names = {r: f"_key{i}" for i, r in enumerate(right_keys)}
     split = times.select(
-        *(F.col(r).alias(n) for r, n in names.items()), F.col("_bucket_r").alias("_split"), "_pieces", "_days"
+        *(F.col(r).alias(n) for r, n in names.items()), F.col("_bucket_r").alias("_split"), "_pieces", "_before", "_after"
     )
     same = F.col("_bucket") == F.col("_split")
     for l_key, r_key in on:
         same &= F.col(l_key) == F.col(names[r_key])
-    # The span is longer than a day, so a day's last time before its end, or first time
-    # after its start, lies within it as soon as the day reaches into it.
-    partner = F.exists("_days", lambda d: (d["_to"] >= low) & (d["_from"] <= high))
+    partner = F.coalesce(F.col("_before") >= low, F.lit(False)) | F.coalesce(F.col("_after") <= high, F.lit(False))
     kept = [*left.columns, "_bucket"]
     probe = probe.join(split, same, "left").select(
         *kept,
         F.col("_pieces").alias("_copies"),
-        F.coalesce(partner, F.lit(False)).alias("_partner"),
+        partner.alias("_partner"),
         F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)).alias("_piece"),
     )
     place = F.pmod(F.xxhash64(*right.columns), F.col("_pieces")).cast("int")
