@@ -3,21 +3,20 @@
 Words are what lies between ASCII white space, A-Z in lower case; a document's set holds the 64-bit
 hashes of its distinct shingles of ``WORDS`` words. Equal sets are one node from the start.
 
-1. One pass over the texts gives each document its set's size and identity, a bitmap signature of
-   ``BITS`` bits, and the shingles that come up in several sets of one task: the candidates for
-   frequent ones.
-2. Shingles are put in one order for all sets, frequent ones last, and a set leaves a row for each of
-   its first fifth: two sets of the wanted similarity share one of these (prefix filter). Which
-   shingles count as frequent changes the work, never the result, so the list is held to
-   ``FREQUENT`` entries.
+1. One pass over the texts gives each document its set's size and identity and a bitmap signature of
+   ``BITS`` bits, and counts all shingles in ``SKETCH`` counters, whatever the corpus' size.
+2. Shingles are put in one order for all sets, by their counter and then by hash, so frequent ones
+   come last, and a set leaves a row for each of its first fifth: two sets of the wanted similarity
+   share one of these (prefix filter). Shingles that share a counter change the work, never the result.
 3. Rows of a shingle fall into tiles by size band; a set can link within its band and the next. In
    each tile all sets are held against a few leaders. Bit counts of the signatures bound the overlap
    from above (each differing bit is a shingle that only one side has); what passes is decided by
    intersecting the sorted shingle arrays, made again from the texts of those sets alone.
 4. Sets of one tile that are linked by now need no more comparing. Tiles that still hold several
    components are joined with themselves across components, again behind the bit counts, so no link
-   between components is lost. Since only components are wanted, copies and near copies are not
-   expanded into pairs.
+   between components is lost. A pair shares several shingles; it leaves the join under the smallest
+   one that both hold among ``HEADS`` of their first fifth (where there is none, under each early one).
+   Since only components are wanted, copies and near copies are not expanded into pairs.
 
 A set with under ``WORDS`` words holds the whole sequence as one shingle. Null, empty and blank texts
 have empty sets and link with nothing; each is its own component. Null ``doc_id``: the component is
@@ -45,11 +44,15 @@ SIMILAR = (4, 5)
 #: Bits of a signature, in 64-bit words.
 BITS = 1024
 
-#: Sets of one task that must share a shingle for it to be put last, and how many shingles may be.
-FREQUENT_AT, FREQUENT = 8, 1 << 20
+#: Counters of shingles (4 MB a task), merged in blocks.
+SKETCH, SKETCH_BLOCK = 1 << 20, 1 << 14
 
-#: Bits of the filter that picks the texts to compare (2 MB); false hits cost work only.
-FILTER_BITS = 1 << 24
+#: Shingles of a set's prefix, smallest hashes first, that tell under which one a pair leaves the join.
+HEADS = 16
+
+#: Words of 64 bits, at most, in the filter that picks the texts to compare (8 MB of bits); false hits
+#: cost work only.
+FILTER_WORDS = 1 << 20
 
 _U = np.uint64
 _FACTORS = stream(31, WORDS)
@@ -98,23 +101,22 @@ def prefix_size(n: int) -> int:
 
 _SET_ROW = pa.schema(
     [("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("bits", pa.list_(pa.int64()))]
-    + [("keys", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))]
+    + [("block", pa.int32()), ("counts", pa.binary())]
 )
-_SET_DDL = "doc_id bigint, mark bigint, n bigint, node bigint, bits array<bigint>, keys array<bigint>, times array<bigint>"
+_SET_DDL = "doc_id bigint, mark bigint, n bigint, node bigint, bits array<bigint>, block int, counts binary"
 
 
 def _sets(batches):
-    """Step 1; the last rows of a task have no ``n`` but ``keys``."""
+    """Step 1; the last rows of a task have no ``n`` but ``counts``, the counters of a ``block``."""
     seen: set[int] = set()
     keys: list[np.ndarray] = []
     held = 0
+    counters = np.zeros(SKETCH, np.uint32)
 
-    def repeated():
-        found, times = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, _U), np.zeros(0, int))
-        found, times = found[times > 1], times[times > 1]
-        for at in range(0, len(found), 100_000):
-            row = {"keys": found[at : at + 100_000].view(np.int64), "times": times[at : at + 100_000]}
-            yield pa.RecordBatch.from_pylist([row], _SET_ROW)
+    def count():
+        if keys:
+            np.add(counters, np.bincount((np.concatenate(keys) % _U(SKETCH)).astype(np.int64), minlength=SKETCH), out=counters, casting="unsafe")
+            keys.clear()
 
     for batch in batches:
         rows = []
@@ -124,54 +126,78 @@ def _sets(batches):
             rows.append({"doc_id": doc, "mark": mark, "n": len(found), "node": node, "bits": signature(found)})
             if len(found) and node not in seen:
                 seen.add(node)
-                keys.append(found[: 3 * len(found) // 10 + 1])  # the prefix, and some beyond
-                held += len(keys[-1])
+                keys.append(found)
+                held += len(found)
         yield pa.RecordBatch.from_pylist(rows, _SET_ROW)
-        if held > 4_000_000:
-            yield from repeated()
-            seen.clear(), keys.clear()
+        if held > 2_000_000:
+            count()
             held = 0
-    yield from repeated()
+        if len(seen) > 500_000:
+            seen.clear()
+    count()
+    for block in range(SKETCH // SKETCH_BLOCK):
+        part = counters[block * SKETCH_BLOCK : (block + 1) * SKETCH_BLOCK]
+        if part.any():
+            yield pa.RecordBatch.from_pylist([{"block": block, "counts": part.astype("<u4").tobytes()}], _SET_ROW)
+
+
+def _merged(batches):
+    """Counters of the same block, added up."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            part = np.frombuffer(counts, "<u4")
+            total[block] = total[block] + part if block in total else part.astype(np.int64)
+    for block, counts in total.items():
+        level = np.minimum(255, np.floor(8 * np.log2(1.0 + counts))).astype(np.uint8)
+        yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "levels": pa.array([level.tobytes()], pa.binary())})
+
+
+def _levels(sets: DataFrame) -> np.ndarray:
+    """How frequent the shingles of each counter are, on a scale of 256 steps: 1 MB, however large the corpus."""
+    parts = sets.filter("counts is not null").select("block", "counts").repartition("block")
+    found = parts.mapInArrow(_merged, "block int, levels binary").toArrow()
+    levels = np.zeros(SKETCH, np.uint8)
+    for block, part in zip(found.column("block").to_pylist(), found.column("levels").to_pylist(), strict=True):
+        levels[block * SKETCH_BLOCK : (block + 1) * SKETCH_BLOCK] = np.frombuffer(part, np.uint8)
+    return levels
+
 
+_PREFIX_DDL = "key bigint, node bigint, n int, place int, heads array<bigint>"
 
-def _prefixes(frequent):
-    """Step 2: ``key, node, n, place`` for the first shingles of each set in the common order."""
+
+def _prefixes(held):
+    """Step 2: ``key, node, n, place`` for the first shingles of each set in the common order; the first row also has ``heads``."""
 
     def prefixes(batches):
-        late = frequent.value
+        levels = held.value
         seen: set[int] = set()
         for batch in batches:
-            keys, nodes, sizes, places = [], [], [], []
+            keys, nodes, sizes, places, heads = [], [], [], [], []
             for found in shingle_sets(batch.column(0).to_pylist()):
                 node = identity(found)
                 if not len(found) or node in seen:
                     continue
                 seen.add(node)
-                if len(late):
-                    common = late[np.minimum(np.searchsorted(late, found), len(late) - 1)] == found
-                    found = np.concatenate([found[~common], found[common]])
-                keys.append(found[: prefix_size(len(found))])
-                nodes.append(np.full(len(keys[-1]), node))
-                sizes.append(np.full(len(keys[-1]), len(found)))
-                places.append(np.arange(len(keys[-1])))
+                order = np.argsort(levels[(found % _U(SKETCH)).astype(np.int64)], kind="stable")
+                first = found[order[: prefix_size(len(found))]]
+                keys.append(first)
+                nodes.append(np.full(len(first), node))
+                sizes.append(np.full(len(first), len(found)))
+                places.append(np.arange(len(first)))
+                heads.append(np.sort(first)[:HEADS].view(np.int64).tolist())
+                heads.extend([None] * (len(first) - 1))
             if len(seen) > 500_000:
                 seen.clear()
             if keys:
                 arrays = [np.concatenate(keys).view(np.int64), np.concatenate(nodes)]
                 arrays += [np.concatenate(x).astype(np.int32) for x in (sizes, places)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "node", "n", "place"])
+                columns = [pa.array(x) for x in arrays] + [pa.array(heads, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "node", "n", "place", "heads"])
 
     return prefixes
 
 
-def _frequent(sets: DataFrame) -> np.ndarray:
-    """Sorted hashes of the most frequent shingles, ``FREQUENT`` at most: 8 MB, however large the corpus."""
-    each = sets.filter("keys is not null").select(F.explode(F.arrays_zip("keys", "times")).alias("k"))
-    counted = each.groupBy(F.col("k.keys").alias("key")).agg(F.sum("k.times").alias("n")).filter(F.col("n") >= FREQUENT_AT)
-    kept = counted.orderBy(F.desc("n"), "key").limit(FREQUENT).select("key").toArrow().column("key")
-    return np.sort(np.asarray(kept.to_numpy()).astype(np.int64).view(_U))
-
-
 def _least_overlap(n_a: Column, n_b: Column) -> Column:
     """Whether an overlap ``o`` reaches the similarity: ``o * (num + den) >= num * (n_a + n_b)``."""
     num, den = SIMILAR
@@ -195,57 +221,46 @@ def _may_link(a: str, b: str) -> Column:
     return most >= _least_overlap(n_a, n_b)
 
 
-def _picked(held, bits: int):
-    """Texts whose set may be wanted: ``node, body``."""
-
-    def pick(batches):
-        wanted = held.value
-        for batch in batches:
-            nodes, kept = [], []
-            bodies = batch.column(0).to_pylist()
-            for body, found in zip(bodies, shingle_sets(bodies), strict=True):
-                node = identity(found)
-                at = node % bits
-                if wanted[at >> 3] >> (at & 7) & 1:
-                    nodes.append(node), kept.append(body)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(kept, pa.binary())], ["node", "body"])
-
-    return pick
-
-
 def _intersect(batches):
     """Pairs with both texts -> the pairs that link."""
     num, den = SIMILAR
-    last: tuple = (None, None)
+    near: dict[int, np.ndarray] = {}  # sets of the batch before; pairs come in the order of one side
     for batch in batches:
         left, right = [], []
+        before, near = near, {}
+
+        def made(node, body):
+            if node not in near:
+                near[node] = before[node] if node in before else next(shingle_sets([body]))
+            return near[node]
+
         columns = (batch.column(k).to_pylist() for k in range(4))
         for a, b, body_a, body_b in zip(*columns, strict=True):
-            if last[0] != a:
-                last = (a, next(shingle_sets([body_a])))
-            one, two = last[1], next(shingle_sets([body_b]))
+            one, two = made(a, body_a), made(b, body_b)
             both = len(np.intersect1d(one, two, assume_unique=True))
             if den * both >= num * (len(one) + len(two) - both):
                 left.append(a), right.append(b)
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """Exact intersection of the candidate pairs ``a, b``."""
-    spark = scratch.spark
-    bits = FILTER_BITS
+def _verified(pairs: DataFrame, bodies: DataFrame, homes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Exact intersection of the candidate pairs ``a, b``.
+
+    ``bodies`` has ``mark, body``, ``homes`` one ``mark`` per ``node``. A filter of bits, broadcast as at most
+    ``FILTER_WORDS`` narrow rows, keeps nearly all other texts from being shuffled.
+    """
     pairs = scratch.table(pairs, f"{name}-pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    at = F.pmod("node", F.lit(bits))
-    # Fixed size: a word of 64 bits per row, bits / 64 rows at most.
-    words = nodes.groupBy(F.shiftright(at, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(node, {bits}) & 63 as int))")).alias("bits")).toArrow()
-    table = np.zeros(bits // 64, "<i8")
-    table[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    held = spark.sparkContext.broadcast(table.view(np.uint8))
-    found = bodies.select("body").mapInArrow(_picked(held, bits), "node bigint, body binary")
-    wanted = scratch.table(found.join(nodes.distinct(), "node", "left_semi").dropDuplicates(["node"]), f"{name}-bodies")
-    sides = pairs.join(wanted.select(F.col("node").alias("a"), F.col("body").alias("body_a")), "a")
-    sides = sides.join(wanted.select(F.col("node").alias("b"), F.col("body").alias("body_b")), "b")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = scratch.table(homes.join(nodes, "node"), f"{name}-wanted")
+    words = min(FILTER_WORDS, max(1 << 10, 1 << (wanted.count() // 4).bit_length()))
+    place = F.pmod("mark", F.lit(64 * words))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(mark, {64 * words}L) & 63 as int))")
+    hits = wanted.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("hits"))
+    some = bodies.withColumn("word", F.shiftright(place, 6)).join(F.broadcast(hits), "word")
+    some = some.filter(bit.bitwiseAND(F.col("hits")) != 0).select("mark", "body")
+    found = scratch.table(some.dropDuplicates(["mark"]).join(wanted, "mark").select("node", "body"), f"{name}-bodies")
+    sides = pairs.join(found.select(F.col("node").alias("a"), F.col("body").alias("body_a")), "a")
+    sides = sides.join(found.select(F.col("node").alias("b"), F.col("body").alias("body_b")), "b")
     linked = sides.select("a", "b", "body_a", "body_b").mapInArrow(_intersect, "a bigint, b bigint")
     return scratch.table(linked, f"{name}-links")
 
@@ -256,15 +271,18 @@ def grouped(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
     marked = read.select("doc_id", F.xxhash64("body").alias("mark"), "body")
     found = scratch.table(marked.mapInArrow(_sets, _SET_DDL), "sets")
     listed = found.filter("n is not null").select("doc_id", "mark", "n", "node", "bits")
-    nodes = listed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.max("bits").alias("bits"))
-    nodes = scratch.table(nodes, "nodes")
-
-    late = scratch.spark.sparkContext.broadcast(_frequent(found))
-    rows = read.select("body").mapInArrow(_prefixes(late), "key bigint, node bigint, n int, place int")
-    rows = scratch.table(rows, "prefixes")
+    each = [F.min("doc_id").alias("first_doc"), F.min("mark").alias("mark"), F.max("n").alias("n"), F.max("bits").alias("bits")]
+    nodes = scratch.table(listed.filter("n > 0").groupBy("node").agg(*each), "nodes")
+    bodies, homes = marked.select("mark", "body"), nodes.select("node", "mark")
+
+    levels = scratch.spark.sparkContext.broadcast(_levels(found))
+    rows = scratch.table(read.select("body").mapInArrow(_prefixes(levels), _PREFIX_DDL), "prefixes")
+    heads = scratch.table(rows.filter("heads is not null").groupBy("node").agg(F.max("heads").alias("heads")), "heads")
+    rows = rows.drop("heads")
     num, den = SIMILAR
-    # A copy in another task has rows of its own; they meet the same leaders and change nothing below.
-    shared = rows.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1")
+    # A copy in another task has rows of its own; they meet the same leaders and are dropped from the open tiles.
+    shared = rows.groupBy("key").agg(F.count("*").alias("times"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+    shared = shared.filter("lo != hi").select("key", "times")
     band = F.floor(F.log("n") / F.log(F.lit(SIMILAR[1] / SIMILAR[0])) + 1e-9).cast("int")
     tiled = scratch.table(rows.join(shared, "key").withColumn("band", band), "tiles")
     scratch.drop("prefixes")
@@ -289,12 +307,13 @@ def grouped(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
         .filter(_may_link("p", "q"))
         .select("a", "b")
     )
-    links = _verified(bounded, read, scratch, "stars")
+    links = _verified(bounded, bodies, homes, scratch, "stars")
     merged = components(links, scratch, "stars")
 
     labelled = tiled.join(merged, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
-    open_rows = scratch.table(labelled.join(mixed, "key").join(signed.select("node", "bits"), "node"), "open")
+    unlike = labelled.join(mixed, "key").dropDuplicates(["key", "node"])
+    open_rows = scratch.table(unlike.join(signed.select("node", "bits"), "node").join(heads, "node"), "open")
     # Within a band a pair is met once; across two the set of the higher band is a guest of the lower.
     guests = open_rows.withColumn("home", F.col("band")).withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
     crossing = open_rows.alias("p").join(
@@ -303,11 +322,14 @@ def grouped(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
         & (F.col("p.band") == F.col("q.band"))
         & (F.col("p.root") != F.col("q.root"))
         & ((F.col("p.node") < F.col("q.node")) | (F.col("p.band") != F.col("q.home")))
-        & _early(F.col("p.n"), F.col("q.n"), F.col("p.place"), F.col("q.place"))
-        & _may_link("p", "q"),
+        & _may_link("p", "q")
+        & F.coalesce(
+            F.array_min(F.array_intersect("p.heads", "q.heads")) == F.col("p.key"),
+            _early(F.col("p.n"), F.col("q.n"), F.col("p.place"), F.col("q.place")),
+        ),
     )
     crossing = crossing.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
-    more = _verified(crossing, read, scratch, "rest")
+    more = _verified(crossing, bodies, homes, scratch, "rest")
     joined = components(links.unionByName(more), scratch, "all")
 
     whole = nodes.select("node", "first_doc").join(joined, "node", "left").withColumn("root", F.coalesce("root", "node"))
