@@ -65,6 +65,18 @@ def test_a_very_long_text(spark):
     assert [c for *_, c in run(spark, rows)] == [1, 1, 3]
 
 
+@pytest.mark.parametrize("texts", [40, 160])
+def test_a_shared_template_leaves_few_comparisons(spark, texts):
+    rng = random.Random(texts)
+    template = " ".join(f"t{i}" for i in range(120))
+    rows = [(d, template + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(80))) for d in range(texts)]
+    scratch = Scratch(spark, "t")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7)
+    assert all(r.component_id == r.doc_id for r in jaccard.near_duplicates(docs, scratch).collect())
+    compared = sum(spark.read.parquet(f"{scratch.path}/{name}-pairs").count() for name in ("stars", "rest"))
+    assert compared <= texts
+
+
 @pytest.mark.parametrize("n", range(1, 60))
 def test_prefix_holds_a_shared_shingle(n):
     num, den = jaccard.SIMILAR

@@ -50,8 +50,7 @@ SKETCH, SKETCH_BLOCK = 1 << 20, 1 << 14
 #: Shingles of a set's prefix, smallest hashes first, that tell under which one a pair leaves the join.
 HEADS = 16
 
-#: Words of 64 bits, at most, in the filter that picks the texts to compare (8 MB of bits); false hits
-#: cost work only.
+#: Words of 64 bits, at most, in a filter of hashes (8 MB of bits); false hits cost work only.
 FILTER_WORDS = 1 << 20
 
 _U = np.uint64
@@ -243,21 +242,28 @@ def _intersect(batches):
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
 
+def _maybe_in(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose 64-bit hash may be one of ``wanted``, a stored table, by a filter of bits.
+
+    It is broadcast as at most ``FILTER_WORDS`` narrow rows and spares the others a shuffle.
+    """
+    words = min(FILTER_WORDS, max(1 << 10, 1 << (wanted.count() // 4).bit_length()))
+    word = F.shiftright(F.pmod(column, F.lit(64 * words)), 6)
+    bit = F.expr(f"shiftleft(1L, cast(pmod({column}, {64 * words}L) & 63 as int))")
+    hits = wanted.groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__hits"))
+    some = rows.withColumn("__word", word).join(F.broadcast(hits), "__word")
+    return some.filter(bit.bitwiseAND(F.col("__hits")) != 0).drop("__word", "__hits")
+
+
 def _verified(pairs: DataFrame, bodies: DataFrame, homes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Exact intersection of the candidate pairs ``a, b``.
 
-    ``bodies`` has ``mark, body``, ``homes`` one ``mark`` per ``node``. A filter of bits, broadcast as at most
-    ``FILTER_WORDS`` narrow rows, keeps nearly all other texts from being shuffled.
+    ``bodies`` has ``mark, body``, ``homes`` one ``mark`` per ``node``.
     """
     pairs = scratch.table(pairs, f"{name}-pairs")
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = scratch.table(homes.join(nodes, "node"), f"{name}-wanted")
-    words = min(FILTER_WORDS, max(1 << 10, 1 << (wanted.count() // 4).bit_length()))
-    place = F.pmod("mark", F.lit(64 * words))
-    bit = F.expr(f"shiftleft(1L, cast(pmod(mark, {64 * words}L) & 63 as int))")
-    hits = wanted.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("hits"))
-    some = bodies.withColumn("word", F.shiftright(place, 6)).join(F.broadcast(hits), "word")
-    some = some.filter(bit.bitwiseAND(F.col("hits")) != 0).select("mark", "body")
+    some = _maybe_in(bodies, "mark", wanted).select("mark", "body")
     found = scratch.table(some.dropDuplicates(["mark"]).join(wanted, "mark").select("node", "body"), f"{name}-bodies")
     sides = pairs.join(found.select(F.col("node").alias("a"), F.col("body").alias("body_a")), "a")
     sides = sides.join(found.select(F.col("node").alias("b"), F.col("body").alias("body_b")), "b")
@@ -282,9 +288,9 @@ def grouped(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
     num, den = SIMILAR
     # A copy in another task has rows of its own; they meet the same leaders and are dropped from the open tiles.
     shared = rows.groupBy("key").agg(F.count("*").alias("times"), F.min("node").alias("lo"), F.max("node").alias("hi"))
-    shared = shared.filter("lo != hi").select("key", "times")
+    shared = scratch.table(shared.filter("lo != hi").select("key", "times"), "shared")
     band = F.floor(F.log("n") / F.log(F.lit(SIMILAR[1] / SIMILAR[0])) + 1e-9).cast("int")
-    tiled = scratch.table(rows.join(shared, "key").withColumn("band", band), "tiles")
+    tiled = scratch.table(_maybe_in(rows, "key", shared).join(shared, "key").withColumn("band", band), "tiles")
     scratch.drop("prefixes")
 
     # Leaders of a tile: one set by number, and the one whose prefix the most others share, most likely
