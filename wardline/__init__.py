@@ -11,6 +11,8 @@ from wardline.sources.tables import (
     from_frames,
     from_jdbc,
     from_parquet,
+    ignoring_case,
+    plain_text,
     without_deleted,
 )
 
@@ -20,5 +22,7 @@ __all__ = [
     "from_frames",
     "from_jdbc",
     "from_parquet",
+    "ignoring_case",
+    "plain_text",
     "without_deleted",
 ]

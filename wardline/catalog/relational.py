@@ -12,6 +12,78 @@ from wardline.operators import aggregates as A
 from wardline.operators import joins as J
 from wardline.operators.lists import list_ends
 from wardline.plans import parts
+from wardline.sources.tables import plain_text
+
+# -- comparison without case --------------------------------------------------
+
+# The same return flags and nations in two spellings each, by the parity of a key.
+_FLAG = "CASE WHEN l_orderkey % 2 = 0 THEN lower(l_returnflag) ELSE l_returnflag END"
+_NATION = "CASE WHEN n_nationkey % 2 = 0 THEN lower(n_name) ELSE n_name END"
+
+
+def _without_case(column: str):
+    return F.collate(F.expr(column), "UTF8_LCASE")
+
+
+@query(
+    "filter_ignoring_case",
+    f"""
+    SELECT l_orderkey, l_linenumber, {_FLAG} AS flag FROM lineitem
+    WHERE lower({_FLAG}) IN ('a', 'r') AND lower({_FLAG}) <> 'r'
+    """,
+)
+def _(s):
+    spelled = s.lineitem.select("l_orderkey", "l_linenumber", _without_case(_FLAG).alias("flag"))
+    kept = spelled.filter(F.col("flag").isin("A", "r") & (F.col("flag") != "R"))
+    return plain_text(kept)
+
+
+@query(
+    "join_ignoring_case",
+    f"""
+    SELECT c.c_custkey, n.n_nationkey
+    FROM customer c
+    JOIN nation m ON m.n_nationkey = c.c_nationkey
+    JOIN (SELECT n_nationkey, {_NATION} AS name FROM nation) n ON lower(n.name) = lower(m.n_name)
+    """,
+)
+def _(s):
+    said = s.customer.join(s.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    said = said.select("c_custkey", _without_case("upper(n_name)").alias("name"))
+    spelled = s.nation.select("n_nationkey", _without_case(_NATION).alias("name"))
+    return said.join(spelled, "name").select("c_custkey", "n_nationkey")
+
+
+@query(
+    "agg_ignoring_case",
+    """
+    SELECT lower(l_returnflag) AS flag, count(*) AS n, count(DISTINCT l_orderkey) AS n_orders
+    FROM lineitem GROUP BY lower(l_returnflag)
+    """,
+)
+def _(s):
+    spelled = s.lineitem.select("l_orderkey", _without_case(_FLAG).alias("flag"))
+    counted = spelled.groupBy("flag").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("l_orderkey").alias("n_orders")
+    )
+    return counted.withColumn("flag", F.lower(F.col("flag").cast("string")))
+
+
+@query(
+    "agg_concat_distinct_ignoring_case",
+    """
+    SELECT l_orderkey, string_agg(DISTINCT lower(l_returnflag), ', ' ORDER BY lower(l_returnflag)) AS flags
+    FROM lineitem GROUP BY l_orderkey
+    """,
+)
+def _(s):
+    line = "CASE WHEN l_linenumber % 2 = 0 THEN lower(l_returnflag) ELSE l_returnflag END"
+    spelled = s.lineitem.select("l_orderkey", _without_case(line).alias("flag"))
+    listed = A.distinct_concat(spelled, ["l_orderkey"], {"flags": "flag"})
+    # Which spelling is shown depends on the lines of the order.
+    ordered = F.array_sort(F.split(F.lower("flags"), ", "))
+    return listed.select("l_orderkey", F.array_join(ordered, ", ").alias("flags"))
+
 
 # -- joins --------------------------------------------------------------------
 

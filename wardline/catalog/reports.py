@@ -12,7 +12,7 @@ from wardline.catalog.standin_sql import with_tables
 from wardline.functions import codes
 from wardline.plans import cohorts, daily, financial, history, operative, parts
 from wardline.sources.schemas import COST_COLUMNS
-from wardline.sources.tables import replaced
+from wardline.sources.tables import ignoring_case, replaced
 
 DAY = dt.date(1998, 3, 2)
 YEAR = (dt.date(1997, 1, 1), dt.date(1997, 12, 31))
@@ -495,6 +495,22 @@ def _(t):
     )
 
 
+# Text is compared without case, its largest value too, so the columns of text are left out here.
+_ANY_CASE = ["patient", "dob", "age", "DoO", "encounter_id", "weight", "ebl", "urine"]
+
+
+@report(
+    "report_operative_any_case",
+    _operative_sql("true", number=f"KH-B{SURGERY_PATIENT}").replace(
+        "SELECT * FROM written", 'SELECT {} FROM written'.format(", ".join(f'"{c}"' for c in _ANY_CASE))
+    ),
+)
+def _(t):
+    asked = f"kh-b{SURGERY_PATIENT}"
+    found = operative.operative_report(ignoring_case(t), hospital_number=asked)
+    return found.select(*_ANY_CASE)
+
+
 @report("report_operative_by_second_number", _operative_sql("true", number="KH-B0"))
 def _(t):
     return operative.operative_report(t, hospital_number="KH-B0")

@@ -53,6 +53,10 @@ def mode_pivot(
     return payments.groupBy(key).agg(*extra, *picks, F.sum(amount).cast(money).alias(total))
 
 
+def _is_collated(kind: T.DataType) -> bool:
+    return isinstance(kind, T.StringType) and not kind.isUTF8BinaryCollation()
+
+
 def pick_first(
     df: DataFrame, keys: Sequence[str], order: str | Sequence[str], columns: Mapping[str, str]
 ) -> DataFrame:
@@ -74,24 +78,35 @@ def distinct_concat(
     ``carry`` names columns that depend on the keys, to be kept beside them.
 
     Values are made distinct first, in a shuffle spread over key and value, so
-    what one group gathers is bounded by the vocabulary and not by its rows.
+    what one group gathers is bounded by the vocabulary and not by its rows. Values
+    of a collated column are distinct by its collation; the smallest spelling is shown.
     """
-    tagged = F.explode(
-        F.array(
-            *(
-                F.struct(F.lit(alias).alias("_slot"), F.col(src).cast("string").alias("_value"))
-                for alias, src in columns.items()
-            )
-        )
-    ).alias("_item")
+    types = {f.name: f.dataType for f in df.schema.fields}
+    collations = {types[c].collation for c in columns.values() if _is_collated(types[c])}
+    if len(collations) > 1:
+        raise ValueError(f"values of several collations: {sorted(collations)}")
+
+    def item(alias: str, src: str) -> Column:
+        fields = [F.lit(alias).alias("_slot"), F.col(src).cast("string").alias("_value")]
+        if collations:
+            # Distinct by either: the collated text, or the bytes of a column without collation.
+            folded, none = _is_collated(types[src]), F.lit(None).cast("string")
+            fields += [
+                F.collate(F.col(src) if folded else none, *collations).alias("_folded"),
+                (none if folded else F.col(src).cast("string")).alias("_exact"),
+            ]
+        return F.struct(*fields)
+
+    tagged = F.explode(F.array(*(item(alias, src) for alias, src in columns.items()))).alias("_item")
     # Nulls of the first column stay, so that a key without values keeps its row.
     wanted = F.col("_value").isNotNull() | (F.col("_slot") == next(iter(columns)))
-    distinct = (
-        df.select(*keys, *carry, tagged)
-        .select(*keys, *carry, "_item._slot", "_item._value")
-        .filter(wanted)
-        .distinct()
-    )
+    items = df.select(*keys, *carry, tagged).select(*keys, *carry, "_item.*").filter(wanted)
+    if collations:
+        by = ["_slot", "_folded", "_exact"]
+        spelled = items.groupBy(*keys, *carry, *by).agg(F.min("_value").alias("_value"))
+        distinct = spelled.drop("_folded", "_exact")
+    else:
+        distinct = items.distinct()
     lists = []
     for alias in columns:
         value = F.when(F.col("_slot") == alias, F.col("_value"))

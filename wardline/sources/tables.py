@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardline.sources.schemas import SCHEMAS
 
@@ -53,6 +54,40 @@ def without_deleted(tables: Tables) -> Tables:
     return Tables(load)
 
 
+def ignoring_case(tables: Tables, collation: str = "UTF8_LCASE") -> Tables:
+    """The same tables with text that compares without case, as the reports' database does.
+
+    Every text column gets the collation as its type, so filters, joins, groups and orders over these
+    tables all follow it, those of the caller too. Joins hash a text by its collation key. Filters on
+    numbers and dates still reach the scan; those on text are applied above it. Where spellings are
+    equal but for case a report shows one of them; see `plain_text` for its result.
+    """
+    return Tables(lambda name: _collated(getattr(tables, name), collation))
+
+
+def plain_text(df: DataFrame) -> DataFrame:
+    """Text columns as binary strings again: for a result that others compare byte by byte."""
+    return df.select(
+        *(
+            F.col(f.name).cast("string").alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else F.col(f.name)
+            for f in df.schema.fields
+        )
+    )
+
+
+def _collated(df: DataFrame, collation: str) -> DataFrame:
+    return df.select(
+        *(
+            F.collate(f.name, collation).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else F.col(f.name)
+            for f in df.schema.fields
+        )
+    )
+
+
 def _typed(df: DataFrame, name: str) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType) for f in SCHEMAS[name].fields))
 
