@@ -67,3 +67,52 @@ def test_recall_of_narrow_vectors_near_the_limit(spark, width):
         b = 0.932 * a + np.sqrt(1 - 0.932**2) * step / np.linalg.norm(step)
         rows += [(2 * i, a.tolist(), i), (2 * i + 1, b.tolist(), i)]
     assert sum(r.n_links for r in run(spark, rows)) >= 0.95 * len(rows)
+
+
+def meetings(rows, tables, bits):
+    """Chance meetings of a vector, of all tables, by the number of vectors."""
+    return rows * tables * (bits + 1) / 2**bits
+
+
+def test_layout_keeps_chance_meetings_and_misses_bounded():
+    assert embeddings.layout(64, 1000).n_tables == 8 and embeddings.layout(64, 1000).n_codes == 2
+    for rows in (10**5, 10**6, 10**9):
+        cut = embeddings.layout(64, rows)
+        assert meetings(rows, cut.n_tables, cut.table_bits) < 40 * cut.table_bits
+        assert cut.per_code * cut.table_bits <= 64
+        rng = np.random.default_rng(1)
+        p = np.arccos(embeddings.COSINE) / np.pi
+        differ = (rng.random((4000, cut.n_tables, cut.table_bits)) < p).sum(axis=2)
+        assert (differ <= 1).any(axis=1).mean() > 0.97
+    for width in (1, 2, 16, 32):
+        cut = embeddings.layout(width, 10**6)
+        assert cut.n_tables >= 8 and cut.table_bits <= width
+
+
+def test_wider_substrings_find_the_same_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(300):
+        a, step = rng.normal(size=(2, 64))
+        a /= np.linalg.norm(a)
+        step -= (step @ a) * a
+        b = 0.94 * a + np.sqrt(1 - 0.94**2) * step / np.linalg.norm(step)
+        rows += [(2 * i, a.tolist(), 1), (2 * i + 1, b.tolist(), 1)]
+    made = embeddings.layout
+    for pretended in (600, 1 << 20):  # sixteen bits, twenty bits
+        monkeypatch.setattr(embeddings, "layout", lambda width, n, least, as_if=pretended: made(width, as_if, least))
+        assert sum(r.n_links for r in run(spark, rows)) >= 0.95 * len(rows)
+
+
+@pytest.mark.parametrize("width", [16, 64])
+def test_whole_codes_of_near_pairs_stay_under_the_bound(width):
+    rng = np.random.default_rng(width)
+    a, step = rng.normal(size=(2, 3000, width))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    step -= (step * a).sum(axis=1, keepdims=True) * a
+    b = embeddings.COSINE * a + np.sqrt(1 - embeddings.COSINE**2) * step / np.linalg.norm(step, axis=1, keepdims=True)
+    cut = embeddings.layout(width, 3000)
+    directions = embeddings.fit(np.concatenate([a, b]), cut.n_codes)
+    differ = ((a @ directions >= 0) != (b @ directions >= 0)).sum(axis=1)
+    assert (differ <= cut.most_bits).mean() > 0.999
+    assert cut.most_bits < 0.4 * directions.shape[1] or width < 64

@@ -3,16 +3,20 @@
 Vectors with one label are compared by cosine. Equal vectors are one class. On a bounded sample the
 principal directions and a rotation of them are learned so that signs lose least (iterative
 quantisation, ``rotations`` of them); a class's code is the signs of its rotated vector. Codes are cut
-into substrings of ``TABLE_BITS`` bits, one table each; narrow vectors get more rotations, so that there are
-``TABLES`` whatever the width; codes that differ in at most one bit of some
-substring meet there, at the first such table only. Classes with the same code form a cell, cells
+into substrings, one table each; codes that differ in at most one bit of some
+substring meet there, at the first such table only. Substrings are as wide as the number of vectors of
+the largest label asks for, ``TABLE_BITS`` at least, so that unlike vectors which meet by chance stay a fixed number
+per vector however many there are; and there are as many tables, and rotations to fill them, as a pair at the limit needs
+(`layout`). Pairs that meet, but whose whole codes differ in more bits than a pair at the limit's would, go no
+further. Classes with the same code form a cell, cells
 are kept in chunks of some ``CHUNK`` vectors, and the chunks of cells that meet are reranked with the
 original vectors by matrix products in double precision. What leaves a pair of chunks is per vector:
 its number of links there and the component it belongs to there, never the links themselves, so a
 large group of near copies costs products but no rows.
 
 No candidate is dropped; what may be missed is a pair whose codes differ by two bits or more in every
-substring. At cosine 0.93 that is about one pair in 60 by the angle alone, and fewer above.
+substring. At cosine 0.93 that is about one pair in 60 by the angle alone, and fewer above. Substrings cannot
+be wider than the vectors are, so very many vectors of few dimensions have more chance meetings.
 
 Null labels, null or zero vectors and vectors with null or non-finite components link with nothing.
 Vectors of unlike lengths do not link; lengths other than the most common share one cell per label.
@@ -22,6 +26,8 @@ and link with each other. An empty table gives no rows. Other columns are ignore
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -36,18 +42,79 @@ COSINE = 0.93
 
 #: The fit reads this many values at most: rows are taken by the order of a hash.
 SAMPLE_VALUES = 1_000_000
-BITS, TABLES, TABLE_BITS = 64, 8, 16
+#: Bits of a code, and the least width of a substring; one pair at the limit in ``MISSED`` may be missed.
+BITS, TABLE_BITS, MISSED = 64, 16, 60
 CHUNK = 256
 TURNS = 40
 
 
-def rotations(width: int) -> int:
-    """How many codes a vector of so many dimensions gets: ``TABLES`` tables at least."""
-    return -(-TABLES // -(-min(BITS, width) // TABLE_BITS))
+@dataclass(frozen=True)
+class Layout:
+    """How codes are cut: ``n_codes`` codes of ``per_code`` substrings of ``table_bits`` bits.
 
+    ``most_bits`` is how many bits the whole codes of a pair may differ in.
+    """
+
+    width: int
+    table_bits: int
+    n_codes: int
+    most_bits: int
+
+    @property
+    def per_code(self) -> int:
+        return max(1, min(BITS, self.width) // self.table_bits)
+
+    @property
+    def n_tables(self) -> int:
+        return self.n_codes * self.per_code
+
+    @property
+    def names(self) -> list[str]:
+        return [f"code{r}" for r in range(self.n_codes)]
+
+    def substring(self, code: Column, table: int) -> Column:
+        at = (table % self.per_code) * self.table_bits
+        return F.shiftrightunsigned(code, at).bitwiseAND(F.lit((1 << self.table_bits) - 1))
+
+    def name(self, table: int) -> str:
+        return f"code{table // self.per_code}"
+
+    def meets(self, table: int, a: str, b: str) -> Column:
+        """Substrings of one table differ by a bit at most."""
+        return F.bit_count(self.substring(self._differ(self.name(table), a, b), table)) <= 1
+
+    def alike(self, a: str, b: str) -> Column:
+        """The whole codes differ in no more bits than a pair at the limit's."""
+        return reduce(Column.__add__, [F.bit_count(self._differ(n, a, b)) for n in self.names]) <= self.most_bits
 
-def fit(sample: np.ndarray) -> np.ndarray:
-    """Directions as columns: ``rotations`` rotations of the leading principal directions.
+    @staticmethod
+    def _differ(name: str, a: str, b: str) -> Column:
+        return F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}"))
+
+
+def layout(width: int, rows: int, least: float = COSINE) -> Layout:
+    """The codes for vectors of ``width`` dimensions, ``rows`` of them in the largest label.
+
+    A bit of a pair at the limit differs with the chance of its angle. Substrings of log2 of ``rows`` bits leave a fixed
+    number of chance meetings per vector and table; the number of tables follows from how often a pair at the
+    limit differs in one bit of a substring at most. The bound on whole codes lies six standard deviations above their
+    mean; codes with more bits than dimensions are not independent, which widens it.
+    """
+    low = min(BITS, width)
+    bits = max(1, min(low, max(TABLE_BITS, math.ceil(math.log2(max(rows, 1))))))
+    differs = math.acos(least) / math.pi
+    found = (1 - differs) ** bits + bits * differs * (1 - differs) ** (bits - 1)
+    tables = math.ceil(math.log(MISSED) / -math.log1p(-min(found, 1 - 1e-9)))
+    if bits < TABLE_BITS:  # every narrow code is whole in its table; keep as many as wide ones get
+        tables = max(tables, 8)
+    n_codes = -(-tables // max(1, low // bits))
+    total = n_codes * low
+    spread = math.sqrt(total * differs * (1 - differs) * max(1.0, total / (2 * low)))
+    return Layout(width, bits, n_codes, math.ceil(total * differs + 6 * spread))
+
+
+def fit(sample: np.ndarray, n_codes: int) -> np.ndarray:
+    """Directions as columns: ``n_codes`` rotations of the leading principal directions.
 
     Vectors are not centred: signs then follow the angle between vectors whatever their mean, so a
     corpus that is mostly one group of near copies still gets equal codes for them.
@@ -57,7 +124,7 @@ def fit(sample: np.ndarray) -> np.ndarray:
     leading = vectors[:, ::-1][:, :BITS]
     low = unit @ leading
     found = []
-    for seed in range(rotations(sample.shape[1])):
+    for seed in range(n_codes):
         turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(low.shape[1],) * 2))[0]
         for _ in range(TURNS):
             signs = np.where(low @ turn >= 0, 1.0, -1.0)
@@ -67,12 +134,11 @@ def fit(sample: np.ndarray) -> np.ndarray:
     return np.concatenate(found, axis=1)
 
 
-def _codes(model):
+def _codes(model, n_codes: int):
     """``node, label, width, vector`` -> beside them one long per rotation."""
 
     def code(batches):
         directions = model.value
-        n_codes = rotations(len(directions))
         per = directions.shape[1] // n_codes
         for batch in batches:
             vectors = batch.column("vector").to_pylist()
@@ -129,17 +195,6 @@ def _rerank(least: float):
     return block
 
 
-def _substring(code: Column, table: int) -> Column:
-    per = 64 // TABLE_BITS
-    return F.shiftrightunsigned(code, (table % per) * TABLE_BITS).bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
-
-
-def _meets(table: int, a: str, b: str) -> Column:
-    """Substrings of one table differ by a bit at most."""
-    name = f"code{table // (64 // TABLE_BITS)}"
-    return F.bit_count(_substring(F.col(f"{a}.{name}").bitwiseXOR(F.col(f"{b}.{name}")), table)) <= 1
-
-
 def near_vectors(
     vectors: DataFrame,
     scratch: Scratch,
@@ -171,13 +226,15 @@ def near_vectors(
     shown = classes.filter(F.size("vector") == width).orderBy(F.xxhash64("node"), "node")
     sample = shown.select("vector").limit(max(1, SAMPLE_VALUES // width)).toArrow().column("vector")
     sample = np.array(sample.to_pylist(), np.float64).reshape(-1, width)
-    model = spark.sparkContext.broadcast(fit(sample) if len(sample) else np.zeros((width, rotations(width))))
+    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0]
+    cut = layout(width, largest or 1, least)
+    names = cut.names
+    model = spark.sparkContext.broadcast(fit(sample, cut.n_codes) if len(sample) else np.zeros((width, cut.n_codes)))
 
-    names = [f"code{r}" for r in range(rotations(width))]
     # width is part of the label from here on: unlike lengths never meet
     kept = classes.select("node", F.concat_ws("/", F.size("vector"), "label").alias("label"), "copies", "vector")
     ddl = "node bigint, label string, copies bigint, vector array<double>, " + ", ".join(f"{n} bigint" for n in names)
-    coded = scratch.table(kept.mapInArrow(_codes(model), ddl), "codes")
+    coded = scratch.table(kept.mapInArrow(_codes(model, cut.n_codes), ddl), "codes")
 
     cells = coded.groupBy("label", *names).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("n_chunks"), F.min("node").alias("cell"))
     cells = scratch.table(cells, "cells")
@@ -185,20 +242,19 @@ def near_vectors(
     member = F.struct("node", "copies", "vector")
     chunks = scratch.table(numbered.groupBy("cell", "chunk").agg(F.sort_array(F.collect_list(member)).alias("members")), "chunks")
 
-    per = 64 // TABLE_BITS
-    live = [t for t in range(rotations(width) * per) if (t % per) * TABLE_BITS < min(BITS, width)]
-    key = {t: _substring(F.col(f"code{t // per}"), t) for t in live}
-    flips = [0] + [1 << i for i in range(TABLE_BITS)]
+    live = range(cut.n_tables)
+    key = {t: cut.substring(F.col(cut.name(t)), t) for t in live}
+    flips = [0] + [1 << i for i in range(cut.table_bits)]
     index = cells.select("*", F.explode(F.array(*[F.struct(F.lit(t).alias("table"), key[t].alias("key")) for t in live])).alias("e"))
     index = index.select("label", *names, "n_chunks", "cell", "e.table", "e.key")
     probes = index.withColumn("key", F.explode(F.transform(F.array(*map(F.lit, flips)), lambda f: F.col("key").bitwiseXOR(f.cast("long")))))
     p, q = probes.alias("p"), index.alias("q")
     earlier = F.lit(False)
     for i, t in enumerate(live[1:], 1):
-        before = reduce(Column.__or__, [_meets(s, "p", "q") for s in live[:i]])
+        before = reduce(Column.__or__, [cut.meets(s, "p", "q") for s in live[:i]])
         earlier = earlier | ((F.col("p.table") == t) & before)
     same_place = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in ("label", "table", "key")]
-    met = p.join(q, reduce(Column.__and__, same_place) & (F.col("p.cell") < F.col("q.cell")) & ~earlier)
+    met = p.join(q, reduce(Column.__and__, same_place) & (F.col("p.cell") < F.col("q.cell")) & cut.alike("p", "q") & ~earlier)
     met = met.select(F.col("p.cell").alias("a"), F.col("q.cell").alias("b"), F.col("p.n_chunks").alias("na"), F.col("q.n_chunks").alias("nb"))
     alone = cells.select(F.col("cell").alias("a"), F.col("cell").alias("b"), F.col("n_chunks").alias("na"), F.col("n_chunks").alias("nb"))
     pairs = met.unionByName(alone).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("na") - 1)))
