@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from wardline.catalog.registry import ENTRIES
-from wardline.operators.joins import interval_join, left_join_many
+from wardline.operators.joins import interval_join, left_join_many, maybe_within
 from wardline.operators.lists import list_ends
 from wardline.plans import cohorts, financial, parts
 from wardline.functions import codes
@@ -193,3 +193,22 @@ def test_a_hot_right_side_of_a_left_join_is_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("words", [1, 1 << 20])
+def test_a_filter_of_keys_loses_no_row(spark, words):
+    rows = spark.range(20_000).selectExpr("if(id % 10 = 0, null, id - 5000) AS k", "id AS v")
+    ids = spark.sql("SELECT * FROM VALUES (-4999L), (7L), (7L), (14999L), (CAST(NULL AS BIGINT)) AS v(k)")
+    kept = maybe_within(rows, "k", ids, words)
+    assert kept.columns == ["k", "v"]
+    assert kept.join(ids.distinct(), "k").count() == rows.join(ids.distinct(), "k").count() == 3
+    # Three of 64 bits at least drop most rows, and rows are not repeated.
+    assert kept.count() < 4000 and kept.count() == kept.distinct().count()
+    assert maybe_within(rows, "k", ids.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["by_patient", "by_number", "by_second_number"])
+def test_observations_of_few_encounters_are_filtered_before_they_are_shuffled(no_broadcast, sf_dir, name):
+    text = plan(QUERIES[f"report_operative_{name}"](no_broadcast, sf_dir))
+    joins = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
+    assert "bit_or" in text and joins and all("_word" in line for line in joins)

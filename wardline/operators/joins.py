@@ -1,8 +1,9 @@
 """Join shapes used by the reports.
 
-No join carries a broadcast hint: Spark broadcasts a side only when its size is
-known to be under `spark.sql.autoBroadcastJoinThreshold`, and sorts and merges
-otherwise, with adaptive execution splitting keys that hold too many rows.
+No join of tables carries a broadcast hint, only a filter of fixed size does (`maybe_within`):
+Spark broadcasts a side only when its size is known to be under
+`spark.sql.autoBroadcastJoinThreshold`, and sorts and merges otherwise, with adaptive
+execution splitting keys that hold too many rows.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from pyspark.sql import functions as F
 # Uncoded rows are spread over this many join keys; see `with_name`.
 _SCATTER = 4096
 
+# Words of 64 bits, at most, in a filter of keys; see `maybe_within`.
+FILTER_WORDS = 1 << 20
+
 # Right rows of one key and bucket that one task of an interval join may hold; some 100 bytes each.
 PIECE_ROWS = 250_000
 
@@ -35,6 +39,21 @@ def within(df: DataFrame, key: str, ids: DataFrame | None) -> DataFrame:
     return df if ids is None else df.join(ids.select(key), key)
 
 
+def maybe_within(df: DataFrame, key: str, ids: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
+    """Drop rows whose key is surely not among ``ids``, by a filter of bits on a hash of the key.
+
+    The filter has at most ``words`` narrow rows whatever the size of ``ids``, which is why it may be
+    broadcast; where it fills up, fewer rows are dropped. An exact join has to follow.
+    """
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(64 * words))
+    # A long's shift takes its distance modulo 64.
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
+    word = F.shiftright(place, 6)
+    hits = ids.filter(F.col(key).isNotNull()).groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_hits"))
+    some = df.withColumn("_word", word).join(F.broadcast(hits), "_word")
+    return some.filter(bit.bitwiseAND(F.col("_hits")) != 0).select(*df.columns)
+
+
 def left_join_filtered(
     df: DataFrame, dim: DataFrame, condition: Column, on: Sequence[str]
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wardline.functions import codes
 from wardline.functions.columns import age_years, on_day
 from wardline.operators.aggregates import eav_pivot
-from wardline.operators.joins import with_name, within
+from wardline.operators.joins import maybe_within, with_name, within
 from wardline.plans import parts
 from wardline.sources.tables import Tables
 
@@ -63,7 +63,10 @@ def operative_report(
     if hospital_number is None:
         who = who.join(parts.one_hospital_number(t, patients), "patient_id", "left")
 
-    obs = within(t.obs, "encounter_id", who)
+    # Spark's guess of the size of a few encounters is far too large, so it would shuffle and sort all
+    # observations to join them. The filter leaves those of the asked encounters, and few others.
+    asked = maybe_within(t.obs, "encounter_id", surgery) if narrow else t.obs
+    obs = within(asked, "encounter_id", who)
     code = F.when(F.col("concept_id").isin(*_NAMED), F.col("value_coded"))
     named = with_name(obs, code, parts.display_names(t), spread_by="encounter_id")
     wide = eav_pivot(named, ["encounter_id"], _COLUMNS)
