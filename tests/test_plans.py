@@ -207,7 +207,7 @@ def test_a_filter_of_keys_loses_no_row(spark, words):
     assert maybe_within(rows, "k", ids.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("name", ["by_patient", "by_number", "by_second_number"])
+@pytest.mark.parametrize("name", ["by_patient", "by_number", "by_second_number", "any_case"])
 def test_observations_of_few_encounters_are_filtered_before_they_are_shuffled(no_broadcast, sf_dir, name):
     text = plan(QUERIES[f"report_operative_{name}"](no_broadcast, sf_dir))
     joins = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
