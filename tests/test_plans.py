@@ -212,3 +212,9 @@ def test_observations_of_few_encounters_are_filtered_before_they_are_shuffled(no
     text = plan(QUERIES[f"report_operative_{name}"](no_broadcast, sf_dir))
     joins = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
     assert "bit_or" in text and joins and all("_word" in line for line in joins)
+
+
+def test_members_of_groups_are_shuffled_without_the_columns_of_their_admission(no_broadcast, sf_dir):
+    text = optimized(QUERIES["report_charges_admission"](no_broadcast, sf_dir))
+    groups = [line for line in text.splitlines() if "Aggregate [encounter_id" in line and "obs_group_id" in line]
+    assert groups and not any("visit_id" in line or "location_id" in line for line in groups)

@@ -599,6 +599,23 @@ def test_payment_lists(clinic):
     assert [(r["KH_Number"], r["Total_Paid"]) for r in summary] == [("K1", Decimal("11.00"))]
 
 
+def test_carried_columns_are_the_same_with_few_rows_and_with_many(clinic):
+    for location in (1, 3, 2):  # an encounter that comes three times
+        clinic.encounter(1, 1, ADMISSION, "2024-01-05 10:00", visit=7 if location == 3 else None, voided=location)
+    clinic.encounter(2, 2, ADMISSION, "2024-01-06 10:00", visit=8)
+    for group, dx in ((1, 11), (2, 12)):
+        clinic.group(1, 1, group, 1, dx)
+    clinic.group(2, 2, 3, 2, 11)
+    t = clinic.tables()
+    carry = ["patient_id", "visit_id", "voided"]
+    few, many = (
+        parts.diagnosis_ranks(t, t.encounter, parse="members", carry=carry, few=few) for few in (True, False)
+    )
+    assert few.columns == many.columns
+    expected = [(1, 1, 1, 7, 3, "X, Y", None), (2, 2, 2, 8, 0, None, "X")]
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) == expected
+
+
 # -- operative report ---------------------------------------------------------
 
 

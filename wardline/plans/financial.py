@@ -130,10 +130,11 @@ def _with_stay(t: Tables, cost: DataFrame, charged: DataFrame | None = None) ->
 
 def charges_admission(t: Tables) -> DataFrame:
     """Paid charges with the admission they belong to, booking and discharge."""
+    # Charges without an admission go first, so that payments are not shuffled on with them.
     cost = (
         t.charges.select("charges_id", "patient_id", "visit_id", *COST_COLUMNS)
-        .join(parts.payment_totals(t), "charges_id")
         .join(_ranked_admissions(t, None), "visit_id")
+        .join(parts.payment_totals(t), "charges_id")
         .join(t.charge_account, "charge_account_id")
     )
     return _with_stay(t, cost).select(

@@ -227,21 +227,30 @@ def diagnosis_ranks(
     group's comma ``list``, as the reports do, or from its ``members``, which
     also copes with commas and longer groups. Observations are restricted to
     the encounters first; ``few`` as in `list_ends`. ``carry`` names columns of
-    ``encounters`` to keep, so that they need not be joined again.
+    ``encounters`` to keep (of repeated rows, the largest value). They go along with
+    few rows; else they are joined to the result, so that they are not shuffled with
+    every member.
     """
+    along = [*carry] if few else []
     members = t.obs.filter(
         F.col("obs_group_id").isNotNull() & (F.col("concept_id") != codes.GROUP_EXCLUDED)
     ).select(*_GROUP, "person_id", "obs_id", "value_coded")
-    members = members.join(encounters.select("encounter_id", *carry), "encounter_id")
+    members = members.join(encounters.select("encounter_id", *along), "encounter_id")
     named = with_name(members, F.col("value_coded"), display_names(t), spread_by="obs_group_id")
-    kept = ["person_id", *carry]
+    kept = ["person_id", *along]
     ranked = {"list": _rank_groups, "members": _rank_members}[parse](named, kept, few)
-    return distinct_concat(
+    found = distinct_concat(
         ranked,
         ["encounter_id"],
         {"Primary": "_primary", "Secondary": "_secondary"},
         carry=kept,
     )
+    if along or not carry:
+        return found
+    carried = encounters.groupBy("encounter_id").agg(*(F.max(c).alias(c) for c in carry))
+    return found.join(carried, "encounter_id").select(
+        "encounter_id", "person_id", *carry, "Primary", "Secondary"
+    )
 
 
 def diagnosis_slots(
