@@ -218,3 +218,24 @@ def test_members_of_groups_are_shuffled_without_the_columns_of_their_admission(n
     text = optimized(QUERIES["report_charges_admission"](no_broadcast, sf_dir))
     groups = [line for line in text.splitlines() if "Aggregate [encounter_id" in line and "obs_group_id" in line]
     assert groups and not any("visit_id" in line or "location_id" in line for line in groups)
+
+
+@pytest.mark.parametrize("name", ["by_number", "by_second_number", "any_case"])
+def test_encounters_and_persons_of_a_number_are_filtered_before_they_are_shuffled(no_broadcast, sf_dir, name):
+    lines = plan(QUERIES[f"report_operative_{name}"](no_broadcast, sf_dir)).splitlines()
+    depth = [re.search(r"[A-Za-z]|$", line).start() for line in lines]
+    # Number of scans whose rows reach a shuffle past no filter of bits.
+    whole = seen = 0
+    for k, line in enumerate(lines):
+        if "FileScan" not in line or not re.search(r"[ol]_orderkey|c_mktsegment", line):
+            continue
+        seen += 1
+        above, filtered = depth[k], False
+        for j in range(k - 1, -1, -1):
+            if depth[j] < above:
+                above = depth[j]
+                if " Exchange " in lines[j]:
+                    break
+                filtered |= "BroadcastHashJoin [_word" in lines[j]
+        whole += not filtered
+    assert seen > 10 and whole == 0

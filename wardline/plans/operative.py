@@ -12,7 +12,7 @@ from wardline.functions.columns import age_years, on_day
 from wardline.operators.aggregates import eav_pivot
 from wardline.operators.joins import maybe_within, with_name, within
 from wardline.plans import parts
-from wardline.sources.tables import Tables
+from wardline.sources.tables import Tables, replaced
 
 _COLUMNS = {
     "operation": (codes.OPERATION, "name"),
@@ -49,10 +49,19 @@ def operative_report(
     surgery = surgery.select("encounter_id", "patient_id", "encounter_datetime")
     if hospital_number is not None:
         numbered = parts.hospital_numbers(t).filter(F.col("identifier") == hospital_number)
+        surgery = maybe_within(surgery, "patient_id", numbered)
         surgery = surgery.join(numbered.distinct(), "patient_id")
 
     narrow = any(p is not None for p in (date_of_operation, patient, hospital_number))
     patients = surgery.select("patient_id").distinct() if narrow else None
+    if narrow:
+        persons = surgery.select(F.col("patient_id").alias("person_id"))
+        t = replaced(
+            t,
+            person=maybe_within(t.person, "person_id", persons),
+            person_name=maybe_within(t.person_name, "person_id", persons),
+            patient_identifier=maybe_within(t.patient_identifier, "patient_id", surgery),
+        )
     who = (
         surgery.join(parts.people(t, patients), "patient_id")
         .join(
@@ -64,7 +73,8 @@ def operative_report(
         who = who.join(parts.one_hospital_number(t, patients), "patient_id", "left")
 
     # Spark's guess of the size of a few encounters is far too large, so it would shuffle and sort all
-    # observations to join them. The filter leaves those of the asked encounters, and few others.
+    # observations to join them. The filter leaves those of the asked encounters, and few others; so do
+    # those above for encounters and persons.
     asked = maybe_within(t.obs, "encounter_id", surgery) if narrow else t.obs
     obs = within(asked, "encounter_id", who)
     code = F.when(F.col("concept_id").isin(*_NAMED), F.col("value_coded"))
