@@ -1,10 +1,11 @@
 import random
+import time
 
 import brute
 import pytest
 
 from wardline.llm import jaccard
-from wardline.llm.common import Scratch
+from wardline.llm.common import CLEANUP, Scratch
 
 DDL = "doc_id bigint, text string, node string, n int, key string"
 
@@ -77,6 +78,36 @@ def test_a_shared_template_leaves_few_comparisons(spark, texts):
     assert compared <= texts
 
 
+def test_rows_of_tiles_without_a_possible_pair_are_left_out(spark):
+    """A long text and the short ones it is made of share shingles, but no tile."""
+    words = [f"w{i}" for i in range(400)]
+    pieces = [words[max(0, 40 * i - 4) : 40 * i + 40] for i in range(10)]
+    rows = [(0, " ".join(words))] + [(i + 1, " ".join(piece)) for i, piece in enumerate(pieces)]
+    scratch = Scratch(spark, "t")
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), scratch).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted((d, *x) for d, x in brute.jaccard_components(rows).items())
+    assert spark.read.parquet(f"{scratch.path}/open").count() == 0
+
+
+def test_a_table_leaves_no_shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {path for path in files.getAllFiles().mkString("|").split("|") if "shuffle_" in path}
+
+    before = shuffled()
+    spark.range(1000).selectExpr("id % 300 AS k").groupBy("k").count().collect()
+    left = shuffled() - before
+    assert left  # the plain query's files stay until the driver collects garbage
+    table = Scratch(spark, "t").table(spark.range(3000).selectExpr("id % 700 AS k").groupBy("k").count(), "groups")
+    for _ in range(100):
+        if not shuffled() - before - left:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before - left
+    assert table.count() == 700 and spark.conf.get(CLEANUP) == "false"
+
+
 @pytest.mark.parametrize("n", range(1, 60))
 def test_prefix_holds_a_shared_shingle(n):
     num, den = jaccard.SIMILAR

@@ -18,6 +18,9 @@ LIBRARY = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file
 #: A table of one narrow row per task or per block of the input is broadcast up to this many rows.
 SMALL_ROWS = 100_000
 
+#: Spark's setting to remove the shuffle files of a query when it ends, not when the driver collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of this package: short Arrow batches, skew handling of joins."""
@@ -55,9 +58,14 @@ class Scratch:
         self.path = f"{shared_folder(spark)}/wardline-{name}-{uuid.uuid4().hex[:12]}"
 
     def table(self, df: DataFrame, name: str, **options) -> DataFrame:
-        """Write ``df`` as Parquet and read it back."""
+        """Write ``df`` as Parquet and read it back; shuffle files of the write are removed with its end."""
         path = f"{self.path}/{name}"
-        df.write.options(**{"compression": "zstd"} | options).parquet(path)
+        before = self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.options(**{"compression": "zstd"} | options).parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:

@@ -13,7 +13,7 @@ hashes of its distinct shingles of ``WORDS`` words. Equal sets are one node from
    from above (each differing bit is a shingle that only one side has); what passes is decided by
    intersecting the sorted shingle arrays, made again from the texts of those sets alone.
 4. Sets of one tile that are linked by now need no more comparing. Tiles that still hold several
-   components are joined with themselves across components, again behind the bit counts, so no link
+   components, and a set of their own band, are joined with themselves across components, again behind the bit counts, so no link
    between components is lost. A pair shares several shingles; it leaves the join under the smallest
    one that both hold among ``HEADS`` of their first fifth (where there is none, under each early one).
    Since only components are wanted, copies and near copies are not expanded into pairs.
@@ -258,15 +258,20 @@ def _maybe_in(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, bodies: DataFrame, homes: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Exact intersection of the candidate pairs ``a, b``.
 
-    ``bodies`` has ``mark, body``, ``homes`` one ``mark`` per ``node``.
+    ``bodies`` has ``mark, body``, ``homes`` one ``mark`` per ``node``. A text is shuffled once by its mark, then
+    once for each pair it is the ``b`` of and once for all it is the ``a`` of.
     """
     pairs = scratch.table(pairs, f"{name}-pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = scratch.table(homes.join(nodes, "node"), f"{name}-wanted")
-    some = _maybe_in(bodies, "mark", wanted).select("mark", "body")
-    found = scratch.table(some.dropDuplicates(["mark"]).join(wanted, "mark").select("node", "body"), f"{name}-bodies")
-    sides = pairs.join(found.select(F.col("node").alias("a"), F.col("body").alias("body_a")), "a")
-    sides = sides.join(found.select(F.col("node").alias("b"), F.col("body").alias("body_b")), "b")
+
+    def marks(side: str) -> DataFrame:
+        return homes.select(F.col("node").alias(side), "mark")
+
+    members = scratch.table(pairs.join(marks("b"), "b").select("mark", "a", "b"), f"{name}-members")
+    hubs = scratch.table(pairs.select("a").distinct().join(marks("a"), "a").select("mark", "a"), f"{name}-hubs")
+    wanted = scratch.table(members.select("mark").unionByName(hubs.select("mark")).distinct(), f"{name}-wanted")
+    found = _maybe_in(bodies, "mark", wanted).select("mark", "body").dropDuplicates(["mark"])
+    sides = found.join(members, "mark").select("a", "b", F.col("body").alias("body_b"))
+    sides = sides.join(found.join(hubs, "mark").select("a", F.col("body").alias("body_a")), "a")
     linked = sides.select("a", "b", "body_a", "body_b").mapInArrow(_intersect, "a bigint, b bigint")
     return scratch.table(linked, f"{name}-links")
 
@@ -317,24 +322,31 @@ def grouped(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col:
     merged = components(links, scratch, "stars")
 
     labelled = tiled.join(merged, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
-    unlike = labelled.join(mixed, "key").dropDuplicates(["key", "node"])
-    open_rows = scratch.table(unlike.join(signed.select("node", "bits"), "node").join(heads, "node"), "open")
-    # Within a band a pair is met once; across two the set of the higher band is a guest of the lower.
-    guests = open_rows.withColumn("home", F.col("band")).withColumn("band", F.explode(F.array("band", F.col("band") - 1)))
-    crossing = open_rows.alias("p").join(
-        guests.alias("q"),
+    # Rows stand in the tile of their band and, as guests, in the next lower one. A tile needs comparing if it
+    # has rows of its own and several components; a key has few bands, so its tiles fit one row.
+    placed = F.array("band", F.col("band") - 1)
+    held = labelled.select("key", "root", F.col("band").alias("home"), F.explode(placed).alias("band")).groupBy("key", "band")
+    held = held.agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("home").alias("home"))
+    mixed = held.filter("lo != hi and home = band").groupBy("key").agg(F.collect_list("band").alias("mixed"))
+    unlike = labelled.join(mixed, "key").withColumn("home", F.col("band"))
+    unlike = unlike.withColumn("band", F.explode(F.array_intersect(placed, "mixed"))).drop("mixed").dropDuplicates(["key", "band", "node"])
+    both = scratch.table(unlike.join(signed.select("node", "bits"), "node").join(heads, "node"), "open")
+    scratch.drop("shared", "tiles", "heads")
+    # Both sides of the join are these same rows, shuffled once; a pair counts in the tile of its lower band only.
+    crossing = both.alias("p").join(
+        both.alias("q"),
         (F.col("p.key") == F.col("q.key"))
         & (F.col("p.band") == F.col("q.band"))
+        & (F.col("p.node") < F.col("q.node"))
         & (F.col("p.root") != F.col("q.root"))
-        & ((F.col("p.node") < F.col("q.node")) | (F.col("p.band") != F.col("q.home")))
+        & (F.least("p.home", "q.home") == F.col("p.band"))
         & _may_link("p", "q")
         & F.coalesce(
             F.array_min(F.array_intersect("p.heads", "q.heads")) == F.col("p.key"),
             _early(F.col("p.n"), F.col("q.n"), F.col("p.place"), F.col("q.place")),
         ),
     )
-    crossing = crossing.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
+    crossing = crossing.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
     more = _verified(crossing, bodies, homes, scratch, "rest")
     joined = components(links.unionByName(more), scratch, "all")
 
