@@ -10,12 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardline.llm import decontaminate, jaccard, packing, suffixes, toxicity
 from wardline.llm.common import Scratch, prepare
+from wardline.llm.suffixes import PASSAGE_GRAM, PASSAGE_WORDS
 from wardline.llm.tokens import default_path, definition
 
-#: Passages of at least so many words that also stand elsewhere are cut; anchors are grams of ``PASSAGE_GRAM`` words.
-PASSAGE_WORDS = 51
-PASSAGE_GRAM = 16
-
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic."""

@@ -127,7 +127,8 @@ def op8(spark, vectors):
 
 @query("op9_two_stage_suffixes", "documents")
 def op9(spark, docs):
-    return suffixes.removal_digests(docs, Scratch(spark, "suffixes"))
+    passages = suffixes.PASSAGE_WORDS, suffixes.PASSAGE_GRAM
+    return suffixes.removal_digests(docs, Scratch(spark, "suffixes"), passages=passages)
 
 
 OP10_SQL = """

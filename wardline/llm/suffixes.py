@@ -7,9 +7,9 @@ anchor's hash, and equal strings always meet under one hash.
 
 1. One pass finds the anchors; those that occur once in the corpus are dropped.
 2. Documents that have others are cut into segments. Equal segments of a task leave once, with a count.
-3. Segments under one hash that are not all equal are sorted by their suffixes: those smaller than
-   their successors (type B) directly, all others induced from them by scanning the buckets of first
-   bytes; the common prefixes of neighbours then tell which starts are repeated. A segment that
+3. Segments under one hash that are not all equal are sorted by their suffixes, as far as a string of
+   ``LENGTH`` bytes starts there: those smaller than their successors (type B) directly, all others
+   induced from them by scanning the buckets of first bytes; the common prefixes of neighbours then tell which starts are repeated. A segment that
    itself occurs twice is repeated at every start.
 4. The marked ranges go back to the documents and are cut out there.
 
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import unicodedata
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,10 @@ from wardline.llm.scan import mix, stream
 LENGTH = 400
 GRAM = 64
 
+#: Words of a passage, and of the grams that anchor it.
+PASSAGE_WORDS = 51
+PASSAGE_GRAM = 16
+
 #: Bytes sorted at a time, and from how many one hash goes by fingerprints.
 SORT_BYTES = 1 << 19
 GROUP_BYTES = 2 << 20
@@ -111,24 +116,30 @@ class WordUnits:
     def words(self, body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First and end byte of each word, and its hash."""
         kinds = _kinds()
-        points = np.frombuffer(body.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        plain = body.isascii()
+        points = np.frombuffer(body, np.uint8) if plain else np.frombuffer(body.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
         n = len(points)
         kind = np.zeros(n + 2, np.uint8)
         kind[1:-1] = kinds[points]
+        letter = kind == _LETTER
         # A hyphen or apostrophe between two letters belongs to the word.
-        joins = (kind == _JOINER) & (np.roll(kind, 1) == _LETTER) & (np.roll(kind, -1) == _LETTER)
-        letter, single = (kind == _LETTER) | joins, kind == _SINGLE
-        first = np.flatnonzero((letter[1:] & ~letter[:-1]) | single[1:])
-        end = np.flatnonzero((letter[:-1] & ~letter[1:]) | single[:-1])
+        joins = np.flatnonzero(kind[1:-1] == _JOINER)
+        letter[joins[(kind[joins] == _LETTER) & (kind[joins + 2] == _LETTER)] + 1] = True
+        opens, closes = letter[1:] > letter[:-1], letter[1:] < letter[:-1]
+        if not plain:  # no script without blanks is ASCII
+            single = kind == _SINGLE
+            opens, closes = opens | single[1:], closes | single[:-1]
+        first, end = np.flatnonzero(opens), np.flatnonzero(closes)
         with np.errstate(over="ignore"):
-            base = np.arange(n, dtype=_U) * _U(0x9E3779B97F4A7C15)
-            inside = np.zeros(n + 1, np.int64)
-            inside[first] += 1
-            owner = np.cumsum(inside[:n]) - 1
-            place = np.arange(n) - (first[np.maximum(owner, 0)] if len(first) else 0)
-            mixed = mix((points.astype(_U) + _U(1)) * _U(0xD6E8FEB86659FD93) + base[place])
-            sums = np.concatenate([np.zeros(1, _U), np.cumsum(mixed, dtype=_U)])
+            start = np.zeros(n, np.int64)
+            start[first] = first
+            place = (np.arange(n) - np.maximum.accumulate(start)).astype(_U)
+            mixed = mix((points.astype(_U) + _U(1)) * _U(0xD6E8FEB86659FD93) + place * _U(0x9E3779B97F4A7C15))
+            sums = np.zeros(n + 1, _U)
+            np.cumsum(mixed, out=sums[1:])
             hashes = mix(sums[end] - sums[first] + (end - first).astype(_U))
+        if plain:
+            return first, end, hashes
         # Bytes of a code point, for the places in the body.
         sizes = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
         at = np.concatenate([[0], np.cumsum(sizes)])
@@ -209,18 +220,27 @@ def anchors(values: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
 
 
-def suffix_order(data: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+def suffix_order(data: np.ndarray, depth: int = LENGTH, wanted: np.ndarray | None = None) -> np.ndarray:
     """All places of ``data`` by what follows them, at least ``depth`` bytes deep: two-stage sorting.
 
     Type B suffixes are smaller than their successors, type A the others. Within the bucket of a first
     byte all of type A come before all of type B.
+
+    With ``wanted``, a true value per place, only these are sorted, and those that they are induced from: the places that
+    follow a type A place, up to the first of type B.
     """
     n = len(data)
     change = np.flatnonzero(np.append(data[1:] != data[:-1], True))  # a run's last place
     rises = np.append(data[change[:-1] + 1] > data[change[:-1]], True)  # the end counts as type B
     type_b = np.repeat(rises, np.diff(np.concatenate([[-1], change])))
+    needed = np.ones(n, bool)
+    if wanted is not None:
+        places, all_b = np.flatnonzero(wanted), np.flatnonzero(type_b)
+        reach = all_b[np.searchsorted(all_b, places)]
+        needed = np.cumsum(np.bincount(places, minlength=n + 1) - np.bincount(reach + 1, minlength=n + 1))[:n] > 0
+    induced = needed & ~type_b
     buffer = data.tobytes()
-    sorted_b = np.array(sorted(np.flatnonzero(type_b).tolist(), key=lambda p: buffer[p : p + depth]), np.int64)
+    sorted_b = np.array(sorted(np.flatnonzero(type_b & needed).tolist(), key=lambda p: buffer[p : p + depth]), np.int64)
 
     b_of = np.searchsorted(data[sorted_b], np.arange(257))  # sorted by first byte already
     a_parts: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -229,7 +249,7 @@ def suffix_order(data: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     def induce(scanned: np.ndarray, byte: int) -> np.ndarray:
         """Hand the type A predecessors of a scanned stretch to their buckets; those of this bucket are returned."""
         before = scanned[scanned > 0] - 1
-        before = before[~type_b[before]]
+        before = before[induced[before]]
         first = data[before]
         own = before[first == byte]
         rest, first = before[first != byte], first[first != byte]
@@ -292,7 +312,7 @@ def repeated_starts(segments: list[bytes], counts: list[int], length: int = LENG
     valid = np.zeros(len(data), bool)
     for at, size in zip(firsts.tolist(), sizes, strict=False):
         valid[at : at + size - depth + 1 : wide] = True
-    order = suffix_order(data, depth)
+    order = suffix_order(data, depth, valid)
     order = order[valid[order]]
     equal = common_prefixes(data, order, depth) >= depth
     marked = np.zeros(len(data), bool)
@@ -320,6 +340,18 @@ def _anchor_rows(length: int, gram: int, unit):
     return rows
 
 
+def _listed(column: pa.ListArray) -> tuple[list[int], list[pa.Array]]:
+    """The length of each list of structs (null: 0), and the fields of all of them, end to end."""
+    return column.value_lengths().fill_null(0).to_pylist(), column.flatten().flatten()
+
+
+def _pairs(column: pa.ListArray):
+    """Each list of two numbers as pairs."""
+    sizes, fields = _listed(column)
+    pairs = zip(*(x.to_pylist() for x in fields), strict=True)
+    return [list(islice(pairs, n)) for n in sizes]
+
+
 _SEGMENT = pa.schema(
     [("key", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("body", pa.binary()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("first", pa.int64())]
 )
@@ -334,28 +366,34 @@ def _segment_rows(length: int, unit):
         bodies: dict[tuple[int, int], bytes] = {}
         held = 0
 
+        def table(size, **columns):
+            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in _SEGMENT], schema=_SEGMENT)
+
         def distinct():
             listed = list(counts)
             for at in range(0, len(listed), 2000):
                 some = listed[at : at + 2000]
-                rows = [{"key": k, "digest": d, "n": counts[k, d], "body": bodies[k, d]} for k, d in some]
-                yield pa.RecordBatch.from_pylist(rows, _SEGMENT)
+                keys, digests = (pa.array(x, pa.int64()) for x in zip(*some, strict=True))
+                yield table(len(some), key=keys, digest=digests, n=pa.array([counts[s] for s in some], pa.int64()), body=pa.array([bodies[s] for s in some], pa.binary()))
 
         for batch in batches:
-            out = []
-            for doc, mark, body, found in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            sizes, (keys, firsts, lasts) = _listed(batch.column(3))
+            places = zip(keys.to_pylist(), firsts.to_pylist(), lasts.to_pylist(), strict=True)
+            digests = []
+            for body, n_found in zip(batch.column(2).to_pylist(), sizes, strict=True):
                 whole = unit.sequence(body)
-                for a in found:
-                    segment = whole[a["first"] * unit.width : (a["last"] + length) * unit.width]
+                for key, first, last in islice(places, n_found):
+                    segment = whole[first * unit.width : (last + length) * unit.width]
                     digest = int.from_bytes(hashlib.blake2b(segment, digest_size=8).digest(), "little", signed=True)
-                    name = a["key"], digest
+                    name = key, digest
                     if name not in counts:
                         counts[name], bodies[name] = 0, segment
                         held += len(segment)
                     counts[name] += 1
-                    out.append({"key": a["key"], "digest": digest, "doc_id": doc, "mark": mark, "first": a["first"]})
-            if out:
-                yield pa.RecordBatch.from_pylist(out, _SEGMENT)
+                    digests.append(digest)
+            if digests:
+                row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                yield table(len(digests), key=keys, digest=pa.array(digests, pa.int64()), doc_id=batch.column(0).take(row), mark=batch.column(1).take(row), first=firsts)
             if held > 64 << 20:
                 yield from distinct()
                 counts.clear(), bodies.clear()
@@ -456,46 +494,44 @@ def remove(body: bytes, runs: list[tuple[int, int]], align: bool) -> tuple[bytes
 
 
 def _cut(align: bool, unit):
-    """Documents with repeated runs of starts -> their digest rows and what is kept; further columns pass."""
+    """Documents with repeated runs of starts -> their digest rows and what is kept; further columns pass.
+
+    Runs of words in a column ``passages`` are counted, not cut.
+    """
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
+    counts = ["n_passages", "n_passage_bytes"]
 
     def cut(batches):
         for batch in batches:
             out: list[list] = [[] for _ in names]
-            for doc, body, runs in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                ranges = unit.ranges(body, [(r["a"], r["b"]) for r in runs or ()])
+            for doc, body, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _pairs(batch.column(2)), strict=True):
+                ranges = unit.ranges(body, runs)
                 kept, removed, spans = remove(body, ranges, align)
                 for values, value in zip(out, (doc, len(body), removed, spans, kept), strict=True):
                     values.append(value)
             kinds = [pa.int64()] * 4 + [pa.binary()]
             arrays = [pa.array(v, k) for v, k in zip(out, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*arrays, *batch.columns[3:]], [*names, *batch.schema.names[3:]])
+            rest = dict(zip(batch.schema.names[3:], batch.columns[3:], strict=True))
+            if "passages" in rest:
+                found = []
+                for body, runs in zip(batch.column(1).to_pylist(), _pairs(rest.pop("passages")), strict=True):
+                    ranges = WORD_UNITS.ranges(body, runs)
+                    found.append((len(ranges), sum(b - a for a, b in ranges)))
+                rest |= {name: pa.array([f[k] for f in found], pa.int64()) for k, name in enumerate(counts)}
+            yield pa.RecordBatch.from_arrays([*arrays, *rest.values()], [*names, *rest])
 
     return cut
 
 
-def without_repeats(
-    docs: DataFrame,
-    scratch: Scratch,
-    length: int = LENGTH,
-    gram: int = GRAM,
-    group_bytes: int = GROUP_BYTES,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    carry: bool = False,
-    unit: ByteUnits | WordUnits = BYTE_UNITS,
-) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary: the remaining bytes) per document.
+def _same_doc():
+    return F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))
 
-    With ``carry`` the other columns of a row follow in the struct ``carried``, and cut characters go as a whole.
-    """
-    body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    other = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("carried")] if carry else []
-    whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("body"), *other).withColumn("mark", F.xxhash64("body"))
-    read = whole.select("doc_id", "body", "mark")
+
+def _repeated_runs(read: DataFrame, scratch: Scratch, length: int, gram: int, group_bytes: int, unit, prefix: str = "") -> DataFrame:
+    """``doc_id, mark, body`` -> ``d, m, r``: a document's id and mark, and units of it (from, to) that repeated strings cover."""
     long = read.filter(F.octet_length("body") >= length)  # a word has a byte or more
     found = long.select("doc_id", "mark", "body").mapInArrow(_anchor_rows(length, gram, unit), "doc_id bigint, mark bigint, key bigint, first bigint, last bigint")
-    found = scratch.table(found, "anchors")
+    found = scratch.table(found, f"{prefix}anchors")
     repeated = found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     of_docs = (
         found.join(repeated, "key", "left_semi")
@@ -503,15 +539,14 @@ def without_repeats(
         .agg(F.collect_set(F.struct("key", "first", "last")).alias("found"))
     )
     named = of_docs.select(F.col("doc_id").alias("d"), F.col("mark").alias("m"), "found")
-    same_doc = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))
-    cut = long.join(named, same_doc).select("doc_id", "mark", "body", "found")
-    segments = scratch.table(cut.mapInArrow(_segment_rows(length, unit), _SEGMENT_DDL), "segments")
-    scratch.drop("anchors")
+    cut = long.join(named, _same_doc()).select("doc_id", "mark", "body", "found")
+    segments = scratch.table(cut.mapInArrow(_segment_rows(length, unit), _SEGMENT_DDL), f"{prefix}segments")
+    scratch.drop(f"{prefix}anchors")
     bodies = segments.filter("body is not null").select("key", "digest", "n", "body")
     places = segments.filter("body is null").select("key", "digest", "doc_id", "mark", "first")
 
     large = bodies.groupBy("key").agg(F.sum(F.octet_length("body")).alias("size")).filter(F.col("size") > group_bytes)
-    large = scratch.table(large.select("key"), "large")
+    large = scratch.table(large.select("key"), f"{prefix}large")
     n_large = large.count()
     sortable = bodies.join(small(large, n_large), "key", "left_anti") if n_large else bodies
     ordered = sortable.repartition("key").sortWithinPartitions("key", "digest")
@@ -522,21 +557,57 @@ def without_repeats(
         twice = prints.groupBy("key", "print").agg(F.sum("n").alias("times")).filter("times > 1").select("key", "print")
         starts = prints.join(twice, ["key", "print"]).select("key", "digest", "a", F.col("a").alias("b")).distinct()
         marks = marks.unionByName(starts)
-    marks = scratch.table(marks, "marks")
-
-    spans = places.join(marks, ["key", "digest"]).select(
+    marks = scratch.table(marks, f"{prefix}marks")
+    return places.join(marks, ["key", "digest"]).select(
         F.col("doc_id").alias("d"), F.col("mark").alias("m"), F.struct((F.col("first") + F.col("a")).alias("a"), (F.col("first") + F.col("b") + length).alias("b")).alias("r")
     )
-    spans = spans.groupBy("d", "m").agg(F.collect_set("r").alias("runs"))
-    carried = ["carried"] if carry else []
-    back = whole.join(spans, same_doc, "left").select("doc_id", "body", "runs", *carried)
-    kinds = "".join(f", carried {whole.schema['carried'].dataType.simpleString()}" for _ in carried)
+
+
+def without_repeats(
+    docs: DataFrame,
+    scratch: Scratch,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    group_bytes: int = GROUP_BYTES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: bool = False,
+    unit: ByteUnits | WordUnits = BYTE_UNITS,
+    passages: tuple[int, int] | None = None,
+) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept`` (binary: the remaining bytes) per document.
+
+    With ``carry`` the other columns of a row follow in the struct ``carried``, and cut characters go as a whole.
+    With ``passages``, words of a passage and of its grams, ``n_passages`` and ``n_passage_bytes`` follow: maximal runs of
+    words in the input that repeated passages cover, and their bytes from first word to last. They are not cut.
+    """
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    other = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("carried")] if carry else []
+    whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("body"), *other).withColumn("mark", F.xxhash64("body"))
+    read = whole.select("doc_id", "body", "mark")
+    spans = _repeated_runs(read, scratch, length, gram, group_bytes, unit)
+    if passages:
+        # What the first sort needed goes before the second one begins.
+        spans = scratch.table(spans, "spans")
+        scratch.drop("segments", "large", "marks")
+        words = _repeated_runs(read, scratch, *passages, group_bytes, WORD_UNITS, "word-")
+        spans = spans.withColumn("word", F.lit(False)).unionByName(words.withColumn("word", F.lit(True)))
+        runs = [F.collect_set(F.when(~F.col("word"), F.col("r"))).alias("runs"), F.collect_set(F.when(F.col("word"), F.col("r"))).alias("passages")]
+    else:
+        runs = [F.collect_set("r").alias("runs")]
+    spans = spans.groupBy("d", "m").agg(*runs)
+    more = (["passages"] if passages else []) + (["carried"] if carry else [])
+    back = whole.join(spans, _same_doc(), "left").select("doc_id", "body", "runs", *more)
+    kinds = f", carried {whole.schema['carried'].dataType.simpleString()}" if carry else ""
+    kinds += ", n_passages bigint, n_passage_bytes bigint" if passages else ""
     return back.mapInArrow(_cut(carry, unit), f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary{kinds}")
 
 
 def removal_digests(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
-    return without_repeats(docs, scratch, **options).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``; with ``passages`` their two counts."""
+    found = without_repeats(docs, scratch, **options)
+    counts = [c for c in found.columns if c.startswith("n_passage")]
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), *counts)
 
 
 def cleaned(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
