@@ -1,7 +1,9 @@
 import random
+from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wardline.llm import catalog, suffixes
@@ -101,3 +103,60 @@ def test_passages_of_over_50_words_are_counted(spark, tmp_path):
     assert sorted(((-1 if r.doc_id is None else r.doc_id), r.n_passage_bytes) for r in found) == sorted(expected)
     counts = {r.doc_id: r.n_passages for r in found if r.doc_id is not None}
     assert counts == {doc: 2 if doc == 103 else int(doc < 40 or doc in (102, 104)) for doc in counts}
+
+
+@pytest.mark.parametrize("unit", [suffixes.BYTE_UNITS, suffixes.WORD_UNITS])
+def test_short_texts_are_scanned_together(unit, monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab é天-'") for _ in range(rng.randrange(90))).encode() for _ in range(100)]
+    texts[7:9] = [b"", b"\xff\xe2 a-b " * 20]  # not UTF-8
+    expected = []
+    for i, text in enumerate(texts):
+        expected += [(i, i + 1000, *x) for x in zip(*(c.tolist() for c in suffixes.anchors(unit.values(text), 9, 3)), strict=True)]
+    calls = []
+    hashes = suffixes.window_hashes
+    monkeypatch.setattr(suffixes, "window_hashes", lambda *args: calls.append(1) or hashes(*args))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(range(1000, 1100)), pa.array(texts)], ["doc_id", "mark", "body"])
+    (found,) = suffixes._anchor_rows(9, 3, unit)(iter([batch]))
+    assert list(zip(*(c.to_pylist() for c in found.columns), strict=True)) == expected
+    assert len(expected) > 100 and len(calls) == 1
+
+
+@pytest.mark.parametrize("unit", [suffixes.BYTE_UNITS, suffixes.WORD_UNITS])
+def test_starts_without_an_equal_context_are_not_sorted(unit, monkeypatch):
+    rng = random.Random(6)
+    space = "" if unit.width == 1 else " "
+
+    def prose(n, letters="abcdefgh"):
+        return "".join(rng.choice(letters) + space for _ in range(n))
+
+    def sorted_of(texts):
+        """The marked and the sorted starts, and those that a plain count marks."""
+        groups: dict[int, dict[bytes, int]] = {}
+        windows: Counter = Counter()
+        for text in texts:
+            whole = unit.sequences([text.encode()])[0]
+            windows.update(whole[p * unit.width : (p + 40) * unit.width] for p in range(len(whole) // unit.width - 39))
+            for key, first, last in zip(*(c.tolist() for c in suffixes.anchors(unit.values(text.encode()), 40, 10)), strict=True):
+                segment = whole[first * unit.width : (last + 40) * unit.width]
+                groups.setdefault(key, {}).setdefault(segment, 0)
+                groups[key][segment] += 1
+        rows = [(s, k, n) for k, found in groups.items() for s, n in found.items()]
+        sizes.clear()
+        runs = suffixes.repeated_starts(*(list(c) for c in zip(*rows, strict=True)), 40, 10, unit)
+        marked, plain = set(), set()
+        for i, ((segment, _, _), found) in enumerate(zip(rows, runs, strict=True)):
+            marked |= {(i, p) for a, b in found for p in range(a, b + 1)}
+            starts = range(len(segment) // unit.width - 39)
+            plain |= {(i, p) for p in starts if windows[segment[p * unit.width : (p + 40) * unit.width]] > 1}
+        assert marked == plain
+        return len(marked), sum(sizes)
+
+    sizes: list[int] = []
+    order = suffixes.suffix_order
+    monkeypatch.setattr(suffixes, "suffix_order", lambda data, depth, wanted: sizes.append(int(wanted.sum())) or order(data, depth, wanted))
+    gram = prose(12)
+    assert sorted_of([prose(60) + gram + prose(60) for _ in range(20)]) == (0, 0)
+    passages = [prose(n) for n in (40, 41, 55, 90)]
+    marked, in_sort = sorted_of([prose(30) + rng.choice(passages) + prose(30) + rng.choice(passages) for _ in range(30)] + [prose(50, "a"), prose(70, "ab")] * 2)
+    assert 0 < marked < 3 * in_sort

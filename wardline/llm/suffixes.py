@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import unicodedata
+from collections import Counter
 from itertools import islice
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.common import Scratch, small
-from wardline.llm.scan import mix, stream
+from wardline.llm.scan import join, mix, slices, stream
 
 LENGTH = 400
 GRAM = 64
@@ -52,10 +53,16 @@ PASSAGE_GRAM = 16
 SORT_BYTES = 1 << 19
 GROUP_BYTES = 2 << 20
 
+#: Ranges of distances between a string's start and its anchor.
+PARTS = 2
+
 #: Texts are scanned in slices of fewer positions than the anchors' place bits can number.
 _PLACE_BITS = 20
 _SLICE = 1 << 19
 
+#: Short texts are scanned end to end, so many bytes at a time.
+_TOGETHER = 1 << 15
+
 _U = np.uint64
 _BYTE = stream(41, 256)
 _BASE = int(stream(42, 1)[0])
@@ -75,6 +82,13 @@ _UP = _powers(_BASE, _SLICE + (1 << 18))
 _DOWN = _powers(pow(_BASE, -1, 1 << 64), _SLICE + (1 << 18))
 
 
+def _scale(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse."""
+    if n > len(_UP):
+        return _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
+    return _UP[:n], _DOWN[:n]
+
+
 def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
     """The hash of each string of ``size`` values, by prefix sums modulo 2**64."""
     n = len(values) - size + 1
@@ -91,20 +105,25 @@ class ByteUnits:
     width = 1
 
     def values(self, body: bytes) -> np.ndarray:
-        return _BYTE[np.frombuffer(body, np.uint8)]
+        return _BYTE.take(np.frombuffer(body, np.uint8))
+
+    def joined(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The values of texts end to end, and where each begins; the last entry is the end."""
+        return self.values(b"".join(bodies)), np.cumsum([0, *map(len, bodies)])
 
-    def sequence(self, body: bytes) -> bytes:
-        return body
+    def sequences(self, bodies: list[bytes]) -> list[bytes]:
+        return bodies
 
     def sortable(self, segments: list[bytes]) -> tuple[list[bytes], int]:
         """Segments as byte strings to sort, and the bytes of one unit in them."""
         return segments, 1
 
-    def prints(self, segment: bytes, length: int) -> np.ndarray:
-        return window_hashes(self.values(segment), length)
+    def stored(self, segment: bytes) -> np.ndarray:
+        """The values of a sequence."""
+        return self.values(segment)
 
-    def ranges(self, body: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        """Ranges of units as ranges of bytes."""
+    def ranges(self, bodies: list[bytes], runs: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+        """Ranges of units as ranges of bytes, for each text."""
         return runs
 
 
@@ -115,41 +134,52 @@ class WordUnits:
 
     def words(self, body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First and end byte of each word, and its hash."""
-        kinds = _kinds()
-        plain = body.isascii()
-        points = np.frombuffer(body, np.uint8) if plain else np.frombuffer(body.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-        n = len(points)
-        kind = np.zeros(n + 2, np.uint8)
-        kind[1:-1] = kinds[points]
+        first, end, hashes, _, at = self.joined_words([body])
+        return first - at[0], end - at[0], hashes
+
+    def joined_words(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First and end byte of each word in the joined texts, its hash; of each text, the words and the bytes before it."""
+        buffer, at = join(bodies)
+        points = data = np.frombuffer(buffer, np.uint8)
+        plain = buffer.isascii()
+        if not plain:
+            try:
+                points = np.frombuffer(buffer.decode("utf-8").encode("utf-32-le"), np.uint32)
+            except UnicodeDecodeError:
+                return self.joined_words([body.decode("utf-8", "replace").encode("utf-8") for body in bodies])
+        kind = _kinds().take(points)
         letter = kind == _LETTER
         # A hyphen or apostrophe between two letters belongs to the word.
-        joins = np.flatnonzero(kind[1:-1] == _JOINER)
-        letter[joins[(kind[joins] == _LETTER) & (kind[joins + 2] == _LETTER)] + 1] = True
+        joins = np.flatnonzero(kind == _JOINER)
+        letter[joins[(kind[joins - 1] == _LETTER) & (kind[joins + 1] == _LETTER)]] = True
         opens, closes = letter[1:] > letter[:-1], letter[1:] < letter[:-1]
         if not plain:  # no script without blanks is ASCII
             single = kind == _SINGLE
             opens, closes = opens | single[1:], closes | single[:-1]
-        first, end = np.flatnonzero(opens), np.flatnonzero(closes)
+        first, end = np.flatnonzero(opens) + 1, np.flatnonzero(closes) + 1
+        if not plain:  # bytes that begin a code point
+            places = np.flatnonzero((data & 0xC0) != 0x80)
+            first, end = places[first], places[end]
+        up, down = _scale(len(data))
         with np.errstate(over="ignore"):
-            start = np.zeros(n, np.int64)
-            start[first] = first
-            place = (np.arange(n) - np.maximum.accumulate(start)).astype(_U)
-            mixed = mix((points.astype(_U) + _U(1)) * _U(0xD6E8FEB86659FD93) + place * _U(0x9E3779B97F4A7C15))
-            sums = np.zeros(n + 1, _U)
-            np.cumsum(mixed, out=sums[1:])
-            hashes = mix(sums[end] - sums[first] + (end - first).astype(_U))
-        if plain:
-            return first, end, hashes
-        # Bytes of a code point, for the places in the body.
-        sizes = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        return at[first], at[end], hashes
+            sums = np.zeros(len(data) + 1, _U)
+            np.cumsum(_BYTE.take(data) * up, out=sums[1:])
+            hashes = mix((sums[end] - sums[first]) * down[first] + (end - first).astype(_U))
+        return first, end, hashes, np.searchsorted(first, at), at
 
     def values(self, body: bytes) -> np.ndarray:
         return self.words(body)[2]
 
-    def sequence(self, body: bytes) -> bytes:
-        return self.values(body).astype("<u8").tobytes()
+    def joined(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return self.joined_words(bodies)[2:4]
+
+    def sequences(self, bodies: list[bytes]) -> list[bytes]:
+        out = []
+        for x, y in slices(bodies, _TOGETHER):
+            values, bounds = self.joined(bodies[x:y])
+            raw, cuts = values.astype("<u8").tobytes(), (bounds * 8).tolist()
+            out += [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return out
 
     def sortable(self, segments: list[bytes]) -> tuple[list[bytes], int]:
         sizes = [len(x) // 8 for x in segments]
@@ -159,17 +189,28 @@ class WordUnits:
         cuts = np.cumsum([0, *sizes]) * wide
         return [raw[x:y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)], wide
 
-    def prints(self, segment: bytes, length: int) -> np.ndarray:
-        return window_hashes(np.frombuffer(segment, "<u8"), length)
+    def stored(self, segment: bytes) -> np.ndarray:
+        return np.frombuffer(segment, "<u8")
 
-    def ranges(self, body: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        if not runs:
-            return []
-        first, end, _ = self.words(body)
-        covered = np.zeros(len(first), bool)
-        for a, b in runs:
-            covered[a:b] = True
-        return [(int(first[a]), int(end[b])) for a, b in _ranges(covered)]
+    def ranges(self, bodies: list[bytes], runs: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+        out: list[list[tuple[int, int]]] = [[] for _ in bodies]
+        some = [i for i, found in enumerate(runs) if found]
+        for x, y in slices([bodies[i] for i in some], _TOGETHER):
+            first, end, _, before, at = self.joined_words([bodies[i] for i in some[x:y]])
+            for i, words, start in zip(some[x:y], before.tolist(), at.tolist(), strict=False):
+                out[i] = [(int(first[words + a]) - start, int(end[words + b - 1]) - start) for a, b in _merged(runs[i])]
+        return out
+
+
+def _merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ranges (from, to) without those that overlap or touch."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
 
 
 BYTE_UNITS, WORD_UNITS = ByteUnits(), WordUnits()
@@ -195,31 +236,52 @@ def _kinds() -> np.ndarray:
 
 def _least_places(hashes: np.ndarray, width: int) -> np.ndarray:
     """The place of the least of each ``width`` hashes in a row, the leftmost of equal ones."""
-    n = len(hashes)
     low = _U((1 << _PLACE_BITS) - 1)
-    blocks = -(-n // width)
-    key = np.full(blocks * width, ~_U(0))
-    key[:n] = (hashes & ~low) | np.arange(n, dtype=_U)
-    key = key.reshape(blocks, width)
-    ahead = np.minimum.accumulate(key, axis=1).reshape(-1)
-    behind = np.minimum.accumulate(key[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    starts = n - width + 1
-    return (np.minimum(behind[:starts], ahead[width - 1 : width - 1 + starts]) & low).astype(np.int64)
+    least = (hashes & ~low) | np.arange(len(hashes), dtype=_U)
+    size = 1
+    while size < width:  # the least of ``size`` in a row, twice as many each time
+        step = min(size, width - size)
+        least = np.minimum(least[:-step], least[step:])
+        size += step
+    return (least & low).astype(np.int64)
+
+
+def _anchor_runs(values: np.ndarray, starts: np.ndarray, length: int, gram: int):
+    """``key, first, last`` of the runs of ``starts`` that have one anchor."""
+    hashes = window_hashes(values, gram)
+    places = _least_places(hashes, length - gram + 1)[starts]
+    change = np.flatnonzero(places[1:] != places[:-1])
+    first = np.concatenate([[0], change + 1])
+    return hashes[places[first]].view(np.int64), starts[first], starts[np.append(change, len(starts) - 1)]
 
 
 def anchors(values: np.ndarray, length: int = LENGTH, gram: int = GRAM):
     """``key, first, last`` arrays: the anchor's hash and the run of starts that have it."""
     found: list[list[np.ndarray]] = [[], [], []]
     for at in range(0, len(values) - length + 1, _SLICE):
-        hashes = window_hashes(values[at : at + _SLICE + length - 1], gram)
-        places = _least_places(hashes, length - gram + 1)
-        first = np.concatenate([[0], np.flatnonzero(places[1:] != places[:-1]) + 1])
-        last = np.concatenate([first[1:] - 1, [len(places) - 1]])
-        for out, some in zip(found, (hashes[places[first]].view(np.int64), first + at, last + at), strict=True):
-            out.append(some)
+        some = values[at : at + _SLICE + length - 1]
+        key, first, last = _anchor_runs(some, np.arange(len(some) - length + 1), length, gram)
+        for out, part in zip(found, (key, first + at, last + at), strict=True):
+            out.append(part)
     return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
 
 
+def joined_anchors(values: np.ndarray, bounds: np.ndarray, length: int = LENGTH, gram: int = GRAM):
+    """``text, key, first, last`` of texts that lie end to end; a string of ``length`` lies in one text."""
+    if len(bounds) == 2:
+        found = anchors(values, length, gram)
+        return np.zeros(len(found[0]), np.int64), *found
+    sizes = np.maximum(np.diff(bounds) - length + 1, 0)
+    total = int(sizes.sum())
+    if not total:
+        return (np.zeros(0, np.int64),) * 4
+    # Starts of two texts never share an anchor's place, so their runs part by themselves.
+    starts = np.arange(total) + np.repeat(bounds[:-1] - (np.cumsum(sizes) - sizes), sizes)
+    key, first, last = _anchor_runs(values, starts, length, gram)
+    text = np.searchsorted(bounds, first, side="right") - 1
+    return text, key, first - bounds[text], last - bounds[text]
+
+
 def suffix_order(data: np.ndarray, depth: int = LENGTH, wanted: np.ndarray | None = None) -> np.ndarray:
     """All places of ``data`` by what follows them, at least ``depth`` bytes deep: two-stage sorting.
 
@@ -279,63 +341,108 @@ def common_prefixes(data: np.ndarray, places: np.ndarray, limit: int = LENGTH) -
     Every place must have ``limit`` bytes; a step that reaches beyond is not counted.
     """
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    words = np.zeros(len(data), _U)
-    for k in range(8):
-        words = (words << _U(8)) | padded[k : k + len(data)].astype(_U)
-    out = np.zeros(max(0, len(places) - 1), np.int64)
-    left = np.arange(len(out))
+    words = np.ndarray(len(data), "<u8", padded, strides=(1,)).astype(_U)  # the 8 bytes from each place
+    out = np.full(max(0, len(places) - 1), limit, np.int64)
+    left, here, there = np.arange(len(out)), places[:-1], places[1:]
     for step in range(0, limit, 8):
-        here, there = places[left] + step, places[left + 1] + step
         if step + 8 > limit:  # the last bytes of a length that is no multiple of 8
             shift = _U(8 * (step + 8 - limit))
-            equal = (words[here] >> shift) == (words[there] >> shift)
+            equal = (words[here] << shift) == (words[there] << shift)
         else:
             equal = words[here] == words[there]
-        left = left[equal]
-        out[left] = min(step + 8, limit)
+        if not equal.all():
+            out[left[~equal]] = step
+            left, here, there = left[equal], here[equal], there[equal]
+        here, there = here + 8, there + 8
+    return out
+
+
+def _anchor_places(segments: list[bytes], keys: list[int], length: int, gram: int, unit) -> list[int]:
+    """Where the anchor lies in each segment: the first of the grams in all its strings that have the key as hash."""
+    cores = [x[len(x) - length * unit.width : length * unit.width] for x in segments]
+    out = []
+    for x, y in slices(cores, _TOGETHER * unit.width):
+        sizes = np.fromiter(map(len, cores[x:y]), np.int64) // unit.width
+        at = np.cumsum(sizes) - sizes
+        hashes = window_hashes(unit.stored(b"".join(cores[x:y])), gram).view(np.int64)
+        met = np.flatnonzero(hashes == np.repeat(np.array(keys[x:y], np.int64), sizes)[: len(hashes)])
+        before = np.array([len(s) // unit.width for s in segments[x:y]]) - length
+        out += (met[np.searchsorted(met, at)] - at + before).tolist()
     return out
 
 
-def _ranges(marked: np.ndarray) -> list[tuple[int, int]]:
-    """First and last place of each run of true values."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[0], marked.astype(np.int8), [0]])))
-    return [(int(a), int(b) - 1) for a, b in zip(edges[::2], edges[1::2], strict=True)]
+def shared_starts(segments: list[bytes], keys: list[int], length: int, gram: int, unit) -> list[list[tuple[int, int]]]:
+    """For each distinct segment, the runs of starts whose string another one under its key may have too.
+
+    Equal strings have their anchor at the same distance from the start. Distances are taken in ``PARTS`` ranges; all strings
+    of a range have the units around the anchor in common that the nearest and the farthest of them both reach.
+    """
+    wide = -(-(length - gram + 1) // PARTS)
+    asked, met = [], Counter()
+    for i, (segment, key, place) in enumerate(zip(segments, keys, _anchor_places(segments, keys, length, gram, unit), strict=True)):
+        last = len(segment) // unit.width - length
+        for part in range((place - last) // wide, place // wide + 1):
+            near = place - part * wide
+            far = near - wide + 1
+            name = key, part, segment[near * unit.width : (far + length) * unit.width]
+            met[name] += 1
+            asked.append((i, max(far, 0), min(near, last), name))
+    out: list[list[tuple[int, int]]] = [[] for _ in segments]
+    for i, first, last, name in asked:
+        if met[name] > 1:
+            out[i].append((first, last))
+    return out
 
 
-def repeated_starts(segments: list[bytes], counts: list[int], length: int = LENGTH, unit=BYTE_UNITS) -> list[list[tuple[int, int]]]:
-    """For each distinct segment, the runs of starts whose string also starts elsewhere in the group."""
-    segments, wide = unit.sortable(segments)
+def repeated_starts(segments: list[bytes], keys: list[int], counts: list[int], length: int = LENGTH, gram: int = GRAM, unit=BYTE_UNITS) -> list[list[tuple[int, int]]]:
+    """For each distinct segment, the runs of starts whose string also starts elsewhere under its key."""
+    out: list[list[tuple[int, int]]] = [[(0, len(x) // unit.width - length)] if n > 1 else [] for x, n in zip(segments, counts, strict=True)]
+    shared = shared_starts(segments, keys, length, gram, unit)
+    some = [i for i, runs in enumerate(shared) if runs]
+    if not some:
+        return out
+    sorted_segments, wide = unit.sortable([segments[i] for i in some])
     depth = length * wide
-    sizes = [len(s) for s in segments]
+    sizes = [len(s) for s in sorted_segments]
     firsts = np.cumsum([0, *(size + 1 for size in sizes)])
-    data = np.frombuffer(b"\0".join(segments) + b"\0", np.uint8)
+    data = np.frombuffer(b"\0".join(sorted_segments) + b"\0", np.uint8)
     valid = np.zeros(len(data), bool)
-    for at, size in zip(firsts.tolist(), sizes, strict=False):
-        valid[at : at + size - depth + 1 : wide] = True
+    for i, at in zip(some, firsts.tolist(), strict=False):
+        for a, b in shared[i]:
+            valid[at + a * wide : at + b * wide + 1 : wide] = True
     order = suffix_order(data, depth, valid)
     order = order[valid[order]]
     equal = common_prefixes(data, order, depth) >= depth
     marked = np.zeros(len(data), bool)
     marked[order[:-1][equal]] = True
     marked[order[1:][equal]] = True
-    out = []
-    for at, size, count in zip(firsts.tolist(), sizes, counts, strict=False):
-        starts = (size - depth) // wide + 1
-        out.append([(0, starts - 1)] if count > 1 else _ranges(marked[at : at + size - depth + 1 : wide]))
+    # The starts of all segments in a row, and an unmarked place before and after each segment's.
+    starts = (np.array(sizes, np.int64) - depth) // wide + 1
+    segment = np.repeat(np.arange(len(sizes)), starts)
+    before = np.cumsum(starts + 1) - starts
+    number = np.arange(len(segment)) + segment + 1
+    row = np.zeros(len(segment) + len(sizes) + 1, np.int8)
+    row[number] = marked[firsts[segment] + (number - before[segment]) * wide]
+    change = np.diff(row)
+    opens, closes = np.flatnonzero(change == 1) + 1, np.flatnonzero(change == -1)
+    of = np.searchsorted(before, opens, side="right") - 1
+    for k, a, b in zip(of.tolist(), (opens - before[of]).tolist(), (closes - before[of]).tolist(), strict=True):
+        if counts[some[k]] == 1:
+            out[some[k]].append((a, b))
     return out
 
 
 def _anchor_rows(length: int, gram: int, unit):
     def rows(batches):
         for batch in batches:
-            columns: list[list] = [[], [], [], [], []]
-            for doc, mark, body in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                key, first, last = anchors(unit.values(body), length, gram)
-                for out, values in zip(columns, ([doc] * len(key), np.full(len(key), mark), key, first, last), strict=True):
+            columns: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
+            bodies = batch.column(2).to_pylist()
+            for x, y in slices(bodies, _TOGETHER):
+                text, *found = joined_anchors(*unit.joined(bodies[x:y]), length, gram)
+                for out, values in zip(columns, (text + x, *found), strict=True):
                     out.append(values)
-            docs = pa.array([d for some in columns[0] for d in some], pa.int64())
-            rest = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in columns[1:]]
-            yield pa.RecordBatch.from_arrays([docs, *rest], ["doc_id", "mark", "key", "first", "last"])
+            row, *rest = (pa.array(np.concatenate(c), pa.int64()) for c in columns)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), *rest], ["doc_id", "mark", "key", "first", "last"])
 
     return rows
 
@@ -353,35 +460,36 @@ def _pairs(column: pa.ListArray):
 
 
 _SEGMENT = pa.schema(
-    [("key", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("body", pa.binary()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("first", pa.int64())]
+    [("key", pa.int64()), ("digest", pa.int64()), ("n", pa.int64()), ("size", pa.int64()), ("body", pa.binary()), ("doc_id", pa.int64()), ("mark", pa.int64()), ("first", pa.int64())]
 )
-_SEGMENT_DDL = "key bigint, digest bigint, n bigint, body binary, doc_id bigint, mark bigint, first bigint"
+_SEGMENT_DDL = "key bigint, digest bigint, n bigint, size bigint, body binary, doc_id bigint, mark bigint, first bigint"
 
 
 def _segment_rows(length: int, unit):
-    """Documents with their anchors -> where each segment lies (no ``body``), and each task's distinct segments."""
+    """Documents with their anchors -> where each segment lies (no ``n``, no ``body``), and each task's distinct segments."""
 
     def rows(batches):
         counts: dict[tuple[int, int], int] = {}
         bodies: dict[tuple[int, int], bytes] = {}
         held = 0
 
-        def table(size, **columns):
-            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in _SEGMENT], schema=_SEGMENT)
+        def table(n_rows, **columns):
+            return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n_rows, f.type)) for f in _SEGMENT], schema=_SEGMENT)
 
         def distinct():
             listed = list(counts)
             for at in range(0, len(listed), 2000):
                 some = listed[at : at + 2000]
                 keys, digests = (pa.array(x, pa.int64()) for x in zip(*some, strict=True))
-                yield table(len(some), key=keys, digest=digests, n=pa.array([counts[s] for s in some], pa.int64()), body=pa.array([bodies[s] for s in some], pa.binary()))
+                whole = [bodies[s] for s in some]
+                n, size = pa.array([counts[s] for s in some], pa.int64()), pa.array([len(b) for b in whole], pa.int64())
+                yield table(len(some), key=keys, digest=digests, n=n, size=size, body=pa.array(whole, pa.binary()))
 
         for batch in batches:
             sizes, (keys, firsts, lasts) = _listed(batch.column(3))
             places = zip(keys.to_pylist(), firsts.to_pylist(), lasts.to_pylist(), strict=True)
             digests = []
-            for body, n_found in zip(batch.column(2).to_pylist(), sizes, strict=True):
-                whole = unit.sequence(body)
+            for whole, n_found in zip(unit.sequences(batch.column(2).to_pylist()), sizes, strict=True):
                 for key, first, last in islice(places, n_found):
                     segment = whole[first * unit.width : (last + length) * unit.width]
                     digest = int.from_bytes(hashlib.blake2b(segment, digest_size=8).digest(), "little", signed=True)
@@ -406,20 +514,25 @@ def _segment_rows(length: int, unit):
 _MARK = pa.schema([("key", pa.int64()), ("digest", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def _sorted_groups(length: int, unit):
+def _sorted_groups(length: int, gram: int, unit):
     """Rows ``key, digest, n, body`` in order of key and digest -> repeated runs of starts per segment."""
 
     def rows(batches):
         group: list[list] = []  # key, digest, n, body; one key
         waiting: list[list] = []  # groups to be sorted together
         size = 0
-        out: list[dict] = []
+        out: list[tuple[int, int, int, int]] = []
+
+        def listed():
+            columns = zip(*out, strict=True) if out else [[]] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=_MARK)
 
         def settle():
             nonlocal size
             if waiting:
-                for (key, digest, *_), runs in zip(waiting, repeated_starts([w[3] for w in waiting], [w[2] for w in waiting], length, unit), strict=True):
-                    out.extend({"key": key, "digest": digest, "a": a, "b": b} for a, b in runs)
+                keys, _, counts, bodies = map(list, zip(*waiting, strict=True))
+                for (key, digest, *_), runs in zip(waiting, repeated_starts(bodies, keys, counts, length, gram, unit), strict=True):
+                    out.extend((key, digest, a, b) for a, b in runs)
                 waiting.clear()
             size = 0
 
@@ -428,7 +541,7 @@ def _sorted_groups(length: int, unit):
             if len(group) == 1:
                 key, digest, n, body = group[0]
                 if n > 1:
-                    out.append({"key": key, "digest": digest, "a": 0, "b": len(body) // unit.width - length})
+                    out.append((key, digest, 0, len(body) // unit.width - length))
             else:
                 waiting.extend(group)
                 size += sum(len(g[3]) for g in group)
@@ -445,12 +558,12 @@ def _sorted_groups(length: int, unit):
                 else:
                     group.append(list(row))
             if out:
-                yield pa.RecordBatch.from_pylist(out, _MARK)
+                yield listed()
                 out.clear()
         if group:
             close()
         settle()
-        yield pa.RecordBatch.from_pylist(out, _MARK)
+        yield listed()
 
     return rows
 
@@ -461,7 +574,7 @@ def _fingerprints(length: int, unit):
     def rows(batches):
         for batch in batches:
             for key, digest, n, body in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                prints = unit.prints(body, length).view(np.int64)
+                prints = window_hashes(unit.stored(body), length).view(np.int64)
                 full = [np.full(len(prints), x) for x in (key, digest, n)]
                 arrays = [pa.array(x) for x in (*full, np.arange(len(prints)), prints)]
                 yield pa.RecordBatch.from_arrays(arrays, ["key", "digest", "n", "a", "print"])
@@ -504,8 +617,8 @@ def _cut(align: bool, unit):
     def cut(batches):
         for batch in batches:
             out: list[list] = [[] for _ in names]
-            for doc, body, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _pairs(batch.column(2)), strict=True):
-                ranges = unit.ranges(body, runs)
+            bodies = batch.column(1).to_pylist()
+            for doc, body, ranges in zip(batch.column(0).to_pylist(), bodies, unit.ranges(bodies, _pairs(batch.column(2))), strict=True):
                 kept, removed, spans = remove(body, ranges, align)
                 for values, value in zip(out, (doc, len(body), removed, spans, kept), strict=True):
                     values.append(value)
@@ -513,10 +626,7 @@ def _cut(align: bool, unit):
             arrays = [pa.array(v, k) for v, k in zip(out, kinds, strict=True)]
             rest = dict(zip(batch.schema.names[3:], batch.columns[3:], strict=True))
             if "passages" in rest:
-                found = []
-                for body, runs in zip(batch.column(1).to_pylist(), _pairs(rest.pop("passages")), strict=True):
-                    ranges = WORD_UNITS.ranges(body, runs)
-                    found.append((len(ranges), sum(b - a for a, b in ranges)))
+                found = [(len(r), sum(b - a for a, b in r)) for r in WORD_UNITS.ranges(bodies, _pairs(rest.pop("passages")))]
                 rest |= {name: pa.array([f[k] for f in found], pa.int64()) for k, name in enumerate(counts)}
             yield pa.RecordBatch.from_arrays([*arrays, *rest.values()], [*names, *rest])
 
@@ -542,15 +652,15 @@ def _repeated_runs(read: DataFrame, scratch: Scratch, length: int, gram: int, gr
     cut = long.join(named, _same_doc()).select("doc_id", "mark", "body", "found")
     segments = scratch.table(cut.mapInArrow(_segment_rows(length, unit), _SEGMENT_DDL), f"{prefix}segments")
     scratch.drop(f"{prefix}anchors")
-    bodies = segments.filter("body is not null").select("key", "digest", "n", "body")
-    places = segments.filter("body is null").select("key", "digest", "doc_id", "mark", "first")
+    bodies = segments.filter("n is not null").select("key", "digest", "n", "body")
+    places = segments.filter("n is null").select("key", "digest", "doc_id", "mark", "first")
 
-    large = bodies.groupBy("key").agg(F.sum(F.octet_length("body")).alias("size")).filter(F.col("size") > group_bytes)
+    large = segments.filter("n is not null").groupBy("key").agg(F.sum("size").alias("size")).filter(F.col("size") > group_bytes)
     large = scratch.table(large.select("key"), f"{prefix}large")
     n_large = large.count()
     sortable = bodies.join(small(large, n_large), "key", "left_anti") if n_large else bodies
     ordered = sortable.repartition("key").sortWithinPartitions("key", "digest")
-    marks = ordered.mapInArrow(_sorted_groups(length, unit), "key bigint, digest bigint, a bigint, b bigint")
+    marks = ordered.mapInArrow(_sorted_groups(length, gram, unit), "key bigint, digest bigint, a bigint, b bigint")
     if n_large:
         prints = bodies.join(small(large, n_large), "key", "left_semi").select("key", "digest", "n", "body")
         prints = prints.mapInArrow(_fingerprints(length, unit), "key bigint, digest bigint, n bigint, a bigint, print bigint")
