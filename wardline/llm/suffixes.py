@@ -8,7 +8,8 @@ anchor's hash, and equal strings always meet under one hash.
 1. One pass finds the anchors; those that occur once in the corpus are dropped.
 2. Documents that have others are cut into segments. Equal segments of a task leave once, with a count.
 3. Segments under one hash that are not all equal are sorted by their suffixes, as far as a string of
-   ``LENGTH`` bytes starts there: those smaller than their successors (type B) directly, all others
+   ``LENGTH`` bytes starts there and another segment has the same bytes around the anchor (equal strings have it at the
+   same distance from their start): those smaller than their successors (type B) directly, all others
    induced from them by scanning the buckets of first bytes; the common prefixes of neighbours then tell which starts are repeated. A segment that
    itself occurs twice is repeated at every start.
 4. The marked ranges go back to the documents and are cut out there.
