@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from wardline.catalog.registry import ENTRIES
-from wardline.operators.joins import interval_join, left_join_many, maybe_within
+from wardline.operators.joins import PIECE_ROWS, WIDE, interval_join, left_join_many, maybe_within
 from wardline.operators.lists import list_ends
 from wardline.plans import cohorts, financial, parts
 from wardline.functions import codes
 from wardline.sources.standins import standin_tables
+from wardline.sources.tables import from_frames
 
 QUERIES = {name: run for name, run in contract.queries().items() if name in ENTRIES}
 
@@ -239,3 +240,90 @@ def test_encounters_and_persons_of_a_number_are_filtered_before_they_are_shuffle
                 filtered |= "BroadcastHashJoin [_word" in lines[j]
         whole += not filtered
     assert seen > 10 and whole == 0
+
+
+def _shuffled(df) -> list[tuple[str, set[str]]]:
+    """The exchanges of the plan before it runs: by what, and the columns they carry."""
+    found = []
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "ShuffleExchangeExec":
+            found.append((node.outputPartitioning().toString(), set(re.findall(r"(\w+)#", node.output().mkString(" ")))))
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan().initialPlan())
+    return found
+
+
+def test_costs_of_charges_and_amounts_of_payments_are_shuffled_once(no_broadcast, sf_dir):
+    moved = _shuffled(QUERIES["report_charges_admission"](no_broadcast, sf_dir))
+    # The account table is small; its join is the one besides the charge's that moves them when nothing may be broadcast.
+    wide = [by for by, columns in moved if "stay_cost" in columns and "charge_account_id" not in by]
+    assert len(wide) == 2 and sum("(charges_id#" in by for by in wide) == 2, wide
+    assert not any("Primary" in columns and "stay_cost" in columns for _, columns in moved)
+
+
+def test_named_members_are_shuffled_once(no_broadcast, sf_dir):
+    t = standin_tables(no_broadcast, sf_dir)
+    moved = _shuffled(parts.diagnosis_ranks(t, t.encounter))
+    assert moved and not any("obs_group_id" in by or "_slot" in by for by, _ in moved)
+
+
+def test_a_hot_encounter_is_split_where_its_members_meet_it(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        n = F.col("id")
+        hot = F.when(n % 3 == 0, 7).otherwise(n % 4000).cast("bigint")
+        members = spark.range(40_000, numPartitions=6).select(
+            n.alias("obs_id"),
+            hot.alias("person_id"),
+            F.lit(1).alias("concept_id"),
+            hot.alias("encounter_id"),
+            (hot * 10_000 + F.when(n % 3 == 0, n % 4000).otherwise(0)).alias("obs_group_id"),
+            F.when(n % 2 == 0, 1).otherwise(n % 40).cast("bigint").alias("value_coded"),
+        )
+        names = spark.range(1, 30).select(
+            n.alias("concept_id"),
+            F.when(n == 1, "Primary").otherwise(F.concat(F.lit("n"), n)).alias("name"),
+            F.lit("FULLY_SPECIFIED").alias("concept_name_type"),
+            F.lit("en").alias("locale"),
+            F.lit(0).alias("voided"),
+        )
+        t = from_frames({"obs": members, "concept_name": names})
+        encounters = spark.range(4000).select(n.alias("encounter_id"))
+        many, few = (parts.diagnosis_ranks(t, encounters, few=few) for few in (False, True))
+        assert "skew=true" in _final(many)
+        assert sorted(map(tuple, many.collect())) == sorted(map(tuple, few.collect()))
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_sides_of_an_interval_join_are_shuffled_once(no_broadcast):
+    moved = "timestamp_ntz'2024-01-05' + make_dt_interval(int(id))"
+    left = no_broadcast.range(5).selectExpr("id AS a", f"{moved} AS t", "id * 2 AS l")
+    right = no_broadcast.range(5).selectExpr("id AS b", f"{moved} AS u", "id * 3 AS r")
+    moved = _shuffled(interval_join(left, right, [("a", "b")], "t", "u", how="left", piece_rows=PIECE_ROWS))
+    assert sorted(c for _, columns in moved for c in columns if c in "lr") == ["l", "r"]
+
+
+def test_a_wide_filter_of_keys_loses_no_row(spark):
+    rows = spark.range(20_000).selectExpr("if(id % 10 = 0, null, id - 5000) AS k", "id AS v")
+    ids = spark.range(0, 20_000, 7).selectExpr("if(id % 3 = 0, null, id - 5000) AS k").union(spark.sql("SELECT 7L"))
+    for filter_ in (WIDE, {"words": 4, "wide": 3}, {"words": 1, "wide": 8}):
+        kept = maybe_within(rows, "k", ids, **filter_)
+        assert kept.columns == ["k", "v"] and kept.count() == kept.distinct().count()
+        assert kept.join(ids.distinct(), "k").count() == rows.join(ids.distinct(), "k").count() > 1500
+    assert maybe_within(rows, "k", ids, **WIDE).count() < 2200
+    assert maybe_within(rows, "k", ids.limit(0), **WIDE).count() == 0

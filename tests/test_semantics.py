@@ -11,7 +11,7 @@ from wardline import without_deleted
 from wardline.functions import codes
 from wardline.functions import columns as C
 from wardline.operators import aggregates as A
-from wardline.operators.joins import interval_join, left_join_many, with_name
+from wardline.operators.joins import interval_join, left_join_many, with_frequent_name, with_name
 from wardline.operators.lists import comma_text, list_ends
 from wardline.plans import cohorts, daily, financial, operative, parts
 
@@ -616,6 +616,39 @@ def test_carried_columns_are_the_same_with_few_rows_and_with_many(clinic):
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) == expected
 
 
+def test_repeated_charges_keep_their_rows_and_their_own_visit(clinic):
+    for patient in (1, 2):
+        clinic.patient(patient)
+        clinic.encounter(patient, patient, ADMISSION, f"2024-01-0{patient} 10:00", visit=patient)
+        clinic.group(patient, patient, patient, 1, 11)
+        clinic.encounter(10 + patient, patient, DISCHARGE, "2024-01-09 10:00", visit=patient)
+    clinic.encounter(21, 1, DISCHARGE, "2024-01-20 10:00", visit=1)
+    # The same charge of two visits, once twice, of nobody, of another's visit and of none.
+    for patient, visit, cost in ((1, 1, 5), (1, 1, 5), (1, 1, 6), (2, 2, 7), (None, 1, 8), (2, 1, 9), (2, None, 10)):
+        clinic.add("charges", charges_id=4, patient_id=patient, visit_id=visit, stay_cost=Decimal(cost))
+    clinic.add("charges", charges_id=None, patient_id=1, visit_id=1, stay_cost=Decimal(11))
+    clinic.add("payment", charges_id=4, charge_account_id=5, mode_of_payment_id=1, amount_paid=Decimal(1))
+    found = [
+        (r["patient_id"], r["visit_id"], r["stay_cost"], r["date_of_discharge"] and r["date_of_discharge"].day, r["DoA"].day)
+        for r in rows(financial.charges_admission(clinic.tables()))
+    ]
+    twice = [(1, 1, cost, day, 1) for cost in (5, 5, 6) for day in (9, 20)]
+    assert sorted(found, key=str) == sorted([*twice, (2, 2, 7, 9, 2), (2, 1, 9, None, 1)], key=str)
+
+
+@pytest.mark.parametrize("frequent", [0, 1, 64])
+def test_frequent_names_are_the_names(spark, monkeypatch, frequent):
+    monkeypatch.setattr("wardline.operators.joins._FREQUENT", frequent)
+    codes_ = "CASE WHEN id % 5 < 3 THEN 7 WHEN id % 5 = 3 THEN id ELSE NULL END"
+    obs = spark.range(300).selectExpr("id", f"CAST({codes_} AS BIGINT) AS value_coded")
+    # Two names of one code, codes without a name, a name of nobody.
+    names = spark.sql("SELECT * FROM VALUES (7L, 'a'), (7L, 'b'), (3L, 'c'), (8L, 'd'), (13L, CAST(NULL AS STRING)), (-5L, 'e') AS v(concept_id, name)")
+    plain, split = (f(obs, F.col("value_coded"), names, spread_by="id") for f in (with_name, with_frequent_name))
+    assert plain.columns == split.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+    assert split.count() == 300 + 180
+
+
 # -- operative report ---------------------------------------------------------
 
 

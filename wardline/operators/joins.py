@@ -1,6 +1,7 @@
 """Join shapes used by the reports.
 
-No join of tables carries a broadcast hint, only a filter of fixed size does (`maybe_within`):
+No join of tables carries a broadcast hint, only a filter of fixed size (`maybe_within`) and the
+list of crowded buckets (`interval_join`), which has a row for some 250,000 of the table, do:
 Spark broadcasts a side only when its size is known to be under
 `spark.sql.autoBroadcastJoinThreshold`, and sorts and merges otherwise, with adaptive
 execution splitting keys that hold too many rows.
@@ -19,6 +20,14 @@ _SCATTER = 4096
 # Words of 64 bits, at most, in a filter of keys; see `maybe_within`.
 FILTER_WORDS = 1 << 20
 
+# A larger filter, for keys by the ten million: rows, and words in each; 16 MB of bits.
+WIDE = {"words": 1 << 18, "wide": 8}
+
+# Cells that codes or buckets are counted in, and how many cells of codes are taken as frequent; see
+# `with_frequent_name` and `interval_join`.
+_CELLS = 1 << 14
+_FREQUENT = 64
+
 # Right rows of one key and bucket that one task of an interval join may hold; some 100 bytes each.
 PIECE_ROWS = 250_000
 
@@ -39,19 +48,28 @@ def within(df: DataFrame, key: str, ids: DataFrame | None) -> DataFrame:
     return df if ids is None else df.join(ids.select(key), key)
 
 
-def maybe_within(df: DataFrame, key: str, ids: DataFrame, words: int = FILTER_WORDS) -> DataFrame:
+def maybe_within(
+    df: DataFrame, key: str, ids: DataFrame, words: int = FILTER_WORDS, wide: int = 1
+) -> DataFrame:
     """Drop rows whose key is surely not among ``ids``, by a filter of bits on a hash of the key.
 
-    The filter has at most ``words`` narrow rows whatever the size of ``ids``, which is why it may be
+    The filter has at most ``words`` rows of ``wide`` words whatever the size of ``ids``, which is why it may be
     broadcast; where it fills up, fewer rows are dropped. An exact join has to follow.
     """
-    place = F.pmod(F.xxhash64(F.col(key)), F.lit(64 * words))
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(64 * words * wide))
     # A long's shift takes its distance modulo 64.
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
-    word = F.shiftright(place, 6)
-    hits = ids.filter(F.col(key).isNotNull()).groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_hits"))
+    word = F.pmod(F.shiftright(place, 6), F.lit(words))
+    part = F.expr("0") if wide == 1 else F.floor(F.shiftright(place, 6) / F.lit(words)).cast("int")
+    names = [f"_hits{i}" for i in range(wide)]
+    hits = ids.filter(F.col(key).isNotNull()).groupBy(word.alias("_word")).agg(
+        *(F.bit_or(F.when(part == i, bit)).alias(name) for i, name in enumerate(names))
+    )
     some = df.withColumn("_word", word).join(F.broadcast(hits), "_word")
-    return some.filter(bit.bitwiseAND(F.col("_hits")) != 0).select(*df.columns)
+    found = F.lit(None).cast("bigint")
+    for i, name in enumerate(names):
+        found = F.when(part == i, F.col(name)).otherwise(found)
+    return some.filter(bit.bitwiseAND(found) != 0).select(*df.columns)
 
 
 def left_join_filtered(
@@ -99,6 +117,35 @@ def with_name(
     return df.withColumn("_code", key).join(dim, "_code", "left").drop("_code")
 
 
+def with_frequent_name(
+    df: DataFrame, code: Column, names: DataFrame, spread_by: str, alias: str = "name"
+) -> DataFrame:
+    """`with_name`, for many rows of which most have one of few codes, or none.
+
+    Codes are counted by cells of a hash. The names in the cells that hold most rows, some 1 in
+    256 of the dictionary, are broadcast; rows of these cells, and rows without a code, are not shuffled
+    for their names. All others are joined as ever, so each row gets what `with_name` gives it. ``df`` is read
+    three times.
+    """
+    cell = F.pmod(F.hash("_code"), F.lit(_CELLS)).alias("_cell")
+    coded = df.withColumn("_code", code.cast("bigint"))
+    dim = names.select(F.col("concept_id").cast("bigint").alias("_code"), F.col("name").alias(alias))
+    most = (
+        coded.filter(F.col("_code").isNotNull())
+        .groupBy(cell)
+        .count()
+        .orderBy(F.desc("count"), "_cell")
+        .limit(_FREQUENT)
+        .select("_cell", F.lit(True).alias("_often"))
+    )
+    marked = coded.select("*", cell).join(F.broadcast(most), "_cell", "left")
+    often = F.col("_often").isNotNull() | F.col("_code").isNull()
+    known = dim.select("*", cell).join(F.broadcast(most), "_cell").select("_code", alias)
+    near = marked.filter(often).join(F.broadcast(known), "_code", "left").select(*df.columns, alias)
+    far = with_name(marked.filter(~often).select(*df.columns, "_code"), F.col("_code"), names, spread_by, alias)
+    return near.union(far.select(*df.columns, alias))
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -163,24 +210,36 @@ def interval_join(
 
     right_keys = [r for _, r in on]
     rows, keys, ts = counted or (right, right_keys, right_ts)
+    dealt = rows.select(
+        *(F.col(k).alias(r) for k, r in zip(keys, right_keys, strict=True)), buckets(ts).alias("_bucket_r")
+    ).withColumn("_cell", F.pmod(F.xxhash64(*right_keys, "_bucket_r"), F.lit(_CELLS)))
+    # Only buckets in cells of more rows than that are counted one by one.
+    full = dealt.groupBy("_cell").count().filter(F.col("count") > piece_rows).select("_cell")
     crowded = (
-        rows.select(*(F.col(k).alias(r) for k, r in zip(keys, right_keys, strict=True)), buckets(ts).alias("_bucket_r"))
+        dealt.join(F.broadcast(full), "_cell")
         .groupBy(*right_keys, "_bucket_r")
         .agg(F.ceil(F.count(F.lit(1)) / F.lit(piece_rows)).cast("int").alias("_pieces"))
         .filter(F.col("_pieces") > 1)
     )
-    build = build.join(crowded, [*right_keys, "_bucket_r"], "left")
+    # Each of these buckets stands for more than piece_rows rows, so their list is short and both sides
+    # need not be shuffled for it.
+    build = build.join(F.broadcast(crowded), [*right_keys, "_bucket_r"], "left")
+    place = F.pmod(F.xxhash64(*right.columns), F.col("_pieces")).cast("int")
+    build = build.withColumn("_piece_r", place)
     # Spans of a bucket's left rows begin in the first half of the days its right rows cover and
     # end in the second. So there is a partner just if the last time of the first half is not
     # before the span, or the first time of the second half not after it.
     second = day(right_ts) - F.col("_bucket_r") * F.lit(width) + F.lit(days_before) >= F.lit(width)
+    # By piece first: that reads the columns the join reads, so that shuffles below the right side are reused.
     times = (
         build.filter(F.col("_pieces").isNotNull())
-        .groupBy(*right_keys, "_bucket_r", "_pieces")
+        .groupBy(*right_keys, "_bucket_r", "_pieces", "_piece_r")
         .agg(
             F.max(F.when(~second, F.col(right_ts))).alias("_before"),
             F.min(F.when(second, F.col(right_ts))).alias("_after"),
         )
+        .groupBy(*right_keys, "_bucket_r", "_pieces")
+        .agg(F.max("_before").alias("_before"), F.min("_after").alias("_after"))
     )
     names = {r: f"_key{i}" for i, r in enumerate(right_keys)}
     split = times.select(
@@ -191,17 +250,16 @@ def interval_join(
         same &= F.col(l_key) == F.col(names[r_key])
     partner = F.coalesce(F.col("_before") >= low, F.lit(False)) | F.coalesce(F.col("_after") <= high, F.lit(False))
     kept = [*left.columns, "_bucket"]
-    probe = probe.join(split, same, "left").select(
+    probe = probe.join(F.broadcast(split), same, "left").select(
         *kept,
         F.col("_pieces").alias("_copies"),
         partner.alias("_partner"),
         F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)).alias("_piece"),
     )
-    place = F.pmod(F.xxhash64(*right.columns), F.col("_pieces")).cast("int")
-    build = build.select(*right.columns, "_bucket_r", F.coalesce(place, F.lit(0)).alias("_piece_r"), F.lit(True).alias("_met"))
+    build = build.select(*right.columns, "_bucket_r", F.coalesce("_piece_r", F.lit(0)).alias("_piece_r"))
     joined = probe.join(build, condition & (F.col("_piece") == F.col("_piece_r")), how)
     if how == "left":
         # A copied row without a partner anywhere stays once, and one with a partner only where it met it.
         once = F.col("_copies").isNull() | (~F.col("_partner") & (F.col("_piece") == 0))
-        joined = joined.filter(F.col("_met") | once)
+        joined = joined.filter(F.col("_bucket_r").isNotNull() | once)
     return joined.select(*left.columns, *right.columns)

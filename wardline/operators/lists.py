@@ -30,7 +30,9 @@ def list_ends(
     come from a row-number filter, which Spark applies on the map side before
     the shuffle as well as after it; the last one and the count from plain
     partial aggregates. Both halves are hashed by the same keys, so putting
-    them together needs no further shuffle; and both read the same rows, nulls
+    them together needs no further shuffle; they are put together as a union, since a join
+    would shuffle them again where rows came hashed by some of the keys only, and
+    with that all steps above. Both read the same rows, nulls
     sorted last instead of filtered, so that shuffles below them are reused.
     Keys must not be null, and `order` must be total, but for ties between equal
     values.
@@ -67,13 +69,19 @@ def list_ends(
         F.count(value).alias("_members"),
         *(F.max(c).alias(c) for c in carry),
     )
-    return back.join(front, list(keys)).select(
-        *keys,
-        # Read from both halves, so that both ask for the same columns below.
-        *(F.coalesce(c, f"_{c}").alias(c) for c in carry),
-        "first",
-        "second",
-        F.when(F.col("_members") >= 3, F.col("_last")).alias("last"),
+    return (
+        back.unionByName(front, allowMissingColumns=True)
+        .groupBy(*keys)
+        # One row of each half, with a null where the other has its value.
+        .agg(*(F.max(c).alias(c) for c in (*carry, *(f"_{c}" for c in carry), "first", "second", "_last", "_members")))
+        .select(
+            *keys,
+            # Read from both halves, so that both ask for the same columns below.
+            *(F.coalesce(c, f"_{c}").alias(c) for c in carry),
+            "first",
+            "second",
+            F.when(F.col("_members") >= 3, F.col("_last")).alias("last"),
+        )
     )
 
 

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from wardline.functions import codes
 from wardline.functions.columns import between_days
-from wardline.operators.joins import PIECE_ROWS, interval_join, left_join_many, within
+from wardline.operators.joins import (
+    PIECE_ROWS,
+    WIDE,
+    interval_join,
+    left_join_many,
+    maybe_within,
+    semi_lookup,
+    within,
+)
 from wardline.plans import parts
 from wardline.sources.schemas import COST_COLUMNS
 from wardline.sources.tables import Tables
@@ -64,12 +72,19 @@ def payment_summary(t: Tables) -> DataFrame:
 _ADMISSION = ("encounter_id", "patient_id", "visit_id", "encounter_datetime", "location_id")
 
 
+def _admitted(t: Tables) -> DataFrame:
+    """Admissions to a visit, by type; deleted ones do not count."""
+    admitted = parts.live(parts.encounters_by_type_key(t, codes.ADMISSION_TYPE_UUID))
+    return admitted.filter(F.col("visit_id").isNotNull()).select(*_ADMISSION)
+
+
 def _ranked_admissions(t: Tables, charged: DataFrame | None) -> DataFrame:
     """Admissions with ranked diagnoses; ``charged`` limits them to its visits."""
-    admitted = parts.live(parts.encounters_by_type_key(t, codes.ADMISSION_TYPE_UUID))
-    admitted = _of_charges(admitted, charged)
+    admitted = _of_charges(_admitted(t), charged)
     carry = [c for c in _ADMISSION if c != "encounter_id"]
-    ranked = parts.diagnosis_ranks(t, admitted, carry=carry, few=charged is not None)
+    # Those at no known place drop out below, whatever their diagnoses.
+    placed = semi_lookup(admitted, "location_id", t.location, "location_id")
+    ranked = parts.diagnosis_ranks(t, admitted, carry=carry, few=charged is not None, asked=placed)
     return _located(t, ranked)
 
 
@@ -97,16 +112,13 @@ def _located(t: Tables, admitted: DataFrame) -> DataFrame:
     )
 
 
-def _with_stay(t: Tables, cost: DataFrame, charged: DataFrame | None = None) -> DataFrame:
-    """Add booking, discharge and patient to charges joined with an admission.
-
-    ``charged`` limits what is read to the patients of its charges.
-    """
-    patients = None if charged is None else parts.patients_of(charged)
-    among = t.charges if charged is None else charged
-    linked = interval_join(
-        cost,
-        parts.booking_side(parts.bookings(t, patients=patients)),
+def _with_booking(
+    t: Tables, df: DataFrame, patients: DataFrame | None = None, filtered: bool = False
+) -> DataFrame:
+    """Add the bookings around an admission."""
+    return interval_join(
+        df,
+        parts.booking_side(parts.bookings(t, patients=patients, filtered=filtered)),
         [("patient_id", "booking_patient")],
         "DoA",
         "Appointment_Date",
@@ -114,13 +126,25 @@ def _with_stay(t: Tables, cost: DataFrame, charged: DataFrame | None = None) ->
         piece_rows=PIECE_ROWS,
         counted=parts.appointments(t),
     )
-    left = left_join_many(
-        linked,
+
+
+def _with_discharge(
+    t: Tables, df: DataFrame, among: DataFrame, patients: DataFrame | None = None
+) -> DataFrame:
+    """Add the discharges of a patient's visit."""
+    return left_join_many(
+        df,
         parts.discharges(t, patients),
         ["patient_id", "visit_id"],
         among=among.filter(F.col("visit_id").isNotNull()),
     )
-    called = left.join(parts.people(t, patients), "patient_id").join(
+
+
+def _with_person(
+    t: Tables, df: DataFrame, among: DataFrame, patients: DataFrame | None = None
+) -> DataFrame:
+    """Add the patient's data, names and hospital numbers."""
+    called = df.join(parts.people(t, patients), "patient_id").join(
         parts.person_names(t, patients), "patient_id"
     )
     return left_join_many(
@@ -129,15 +153,28 @@ def _with_stay(t: Tables, cost: DataFrame, charged: DataFrame | None = None) ->
 
 
 def charges_admission(t: Tables) -> DataFrame:
-    """Paid charges with the admission they belong to, booking and discharge."""
-    # Charges without an admission go first, so that payments are not shuffled on with them.
-    cost = (
-        t.charges.select("charges_id", "patient_id", "visit_id", *COST_COLUMNS)
-        .join(_ranked_admissions(t, None), "visit_id")
-        .join(parts.payment_totals(t), "charges_id")
-        .join(t.charge_account, "charge_account_id")
+    """Paid charges with the admission they belong to, booking and discharge.
+
+    Amounts are wide, and meet the rest once: all that hangs on patient and visit is joined to
+    the keys of the charges, the step that adds least first. A repeated charge has these once.
+    """
+    keys = ["charges_id", "patient_id", "visit_id"]
+    charges = t.charges.select(*keys, *COST_COLUMNS).filter(F.col("patient_id").isNotNull())
+    # Most charges without an admission go first, and their payments.
+    charges = maybe_within(charges, "visit_id", _admitted(t), **WIDE)
+    left = _with_discharge(t, charges.select(*keys).distinct(), charges)
+    stays = _with_booking(t, left.join(_ranked_admissions(t, None), "visit_id"), filtered=True)
+    stays = _with_person(t, stays, t.charges)
+    paid = charges.join(parts.payment_totals(t, maybe=charges), "charges_id").join(
+        t.charge_account, "charge_account_id"
     )
-    return _with_stay(t, cost).select(
+    # Bounds and no equal keys: both sides then meet by the charge, as the payments did.
+    own = [f"_{c}" for c in keys]
+    stays = stays.withColumnsRenamed(dict(zip(keys, own, strict=True)))
+    same = paid["charges_id"] == stays["_charges_id"]
+    for c in ("patient_id", "visit_id"):
+        same &= paid[c].between(stays[f"_{c}"], stays[f"_{c}"])
+    return paid.join(stays, same).select(
         F.col("identifier").alias("KH_Number"),
         F.col("family_name").alias("last_name"),
         F.col("given_name").alias("first_name"),
@@ -184,7 +221,9 @@ def financial_report(
         .join(t.charge_account, "charge_account_id")
         .join(admitted(t, charged), "visit_id")
     )
-    return _with_stay(t, cost, charged).select(
+    patients = parts.patients_of(charged)
+    left = _with_discharge(t, _with_booking(t, cost, patients), charged, patients)
+    return _with_person(t, left, charged, patients).select(
         F.col("identifier").alias("kh_number"),
         F.col("family_name").alias("last_name"),
         F.col("given_name").alias("first_name"),

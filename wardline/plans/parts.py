@@ -15,7 +15,14 @@ from wardline.operators.aggregates import (
     mode_pivot,
     pick_first,
 )
-from wardline.operators.joins import semi_lookup, with_name, within
+from wardline.operators.joins import (
+    WIDE,
+    maybe_within,
+    semi_lookup,
+    with_frequent_name,
+    with_name,
+    within,
+)
 from wardline.operators.lists import comma_text, list_ends
 from wardline.sources.tables import Tables
 
@@ -110,12 +117,16 @@ def notes(t: Tables, encounters: DataFrame | None = None) -> DataFrame:
 
 
 def bookings(
-    t: Tables, booking_encounters: DataFrame | None = None, patients: DataFrame | None = None
+    t: Tables,
+    booking_encounters: DataFrame | None = None,
+    patients: DataFrame | None = None,
+    filtered: bool = False,
 ) -> DataFrame:
     """One row per booking encounter: surgeon, appointment and operation.
 
     Observations are pivoted before they meet the encounters; where only some
-    patients are asked for, just their bookings are read. Of several names of a
+    patients are asked for, just their bookings are read. ``filtered`` drops observations
+    of other encounters by a filter of bits before they are shuffled. Of several names of a
     surgeon the smallest is taken.
     """
     if booking_encounters is None:
@@ -128,8 +139,11 @@ def bookings(
     is_operation = F.col("concept_id") == codes.OPERATION
     asked = t.obs.filter((F.col("concept_id") == codes.APPOINTMENT_DATE) | is_operation)
     asked = within(asked, "encounter_id", booked if patients is not None else None)
+    if filtered:
+        asked = maybe_within(asked, "encounter_id", booked, **WIDE)
     operation_code = F.when(is_operation, F.col("value_coded"))
-    obs = with_name(asked, operation_code, display_names(t), spread_by="encounter_id")
+    name = with_frequent_name if filtered else with_name
+    obs = name(asked, operation_code, display_names(t), spread_by="encounter_id")
     wide = eav_pivot(
         obs,
         ["encounter_id"],
@@ -220,23 +234,33 @@ def diagnosis_ranks(
     parse: str = "list",
     carry: Sequence[str] = (),
     few: bool = False,
+    asked: DataFrame | None = None,
 ) -> DataFrame:
     """Per encounter, the distinct Primary and Secondary diagnoses of its groups.
 
     A group holds a diagnosis and a rank word. ``parse`` reads the rank from the
     group's comma ``list``, as the reports do, or from its ``members``, which
-    also copes with commas and longer groups. Observations are restricted to
-    the encounters first; ``few`` as in `list_ends`. ``carry`` names columns of
+    also copes with commas and longer groups. ``few`` as in `list_ends`: few observations
+    are restricted to the encounters before they are named. Many pass a filter of bits, are
+    named and meet the encounters then, so that the shuffle for that serves all later steps.
+    ``carry`` names columns of
     ``encounters`` to keep (of repeated rows, the largest value). They go along with
     few rows; else they are joined to the result, so that they are not shuffled with
-    every member.
+    every member. ``asked`` has the encounters whose row is wanted, where that are fewer.
     """
     along = [*carry] if few else []
     members = t.obs.filter(
         F.col("obs_group_id").isNotNull() & (F.col("concept_id") != codes.GROUP_EXCLUDED)
     ).select(*_GROUP, "person_id", "obs_id", "value_coded")
-    members = members.join(encounters.select("encounter_id", *along), "encounter_id")
-    named = with_name(members, F.col("value_coded"), display_names(t), spread_by="obs_group_id")
+    met = encounters.select("encounter_id", *along)
+    if few:
+        members = members.join(met, "encounter_id")
+    else:
+        members = maybe_within(members, "encounter_id", encounters if asked is None else asked, **WIDE)
+    name = with_name if few else with_frequent_name
+    named = name(members, F.col("value_coded"), display_names(t), spread_by="obs_group_id")
+    if not few:
+        named = named.join(met, "encounter_id")
     kept = ["person_id", *along]
     ranked = {"list": _rank_groups, "members": _rank_members}[parse](named, kept, few)
     found = distinct_concat(
@@ -292,13 +316,17 @@ def discharges(t: Tables, patients: DataFrame | None = None) -> DataFrame:
     )
 
 
-def payment_totals(t: Tables, charged: DataFrame | None = None) -> DataFrame:
+def payment_totals(
+    t: Tables, charged: DataFrame | None = None, maybe: DataFrame | None = None
+) -> DataFrame:
     """One row per charge: amounts by payment mode, their sum, and the latest day.
 
-    ``charged`` limits the payments that are read to its charges.
+    ``charged`` limits the payments that are read to its charges; ``maybe`` does so by a
+    filter of bits, which leaves some others in.
     """
+    paid = within(t.payment, "charges_id", charged)
     return mode_pivot(
-        within(t.payment, "charges_id", charged),
+        paid if maybe is None else maybe_within(paid, "charges_id", maybe, **WIDE),
         "charges_id",
         "mode_of_payment_id",
         "amount_paid",
