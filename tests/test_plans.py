@@ -321,9 +321,12 @@ def test_sides_of_an_interval_join_are_shuffled_once(no_broadcast):
 def test_a_wide_filter_of_keys_loses_no_row(spark):
     rows = spark.range(20_000).selectExpr("if(id % 10 = 0, null, id - 5000) AS k", "id AS v")
     ids = spark.range(0, 20_000, 7).selectExpr("if(id % 3 = 0, null, id - 5000) AS k").union(spark.sql("SELECT 7L"))
-    for filter_ in (WIDE, {"words": 4, "wide": 3}, {"words": 1, "wide": 8}):
+    for filter_ in (WIDE, {"words": 4, "wide": 3}, {"words": 1, "wide": 8, "marks": 3}):
         kept = maybe_within(rows, "k", ids, **filter_)
         assert kept.columns == ["k", "v"] and kept.count() == kept.distinct().count()
         assert kept.join(ids.distinct(), "k").count() == rows.join(ids.distinct(), "k").count() > 1500
     assert maybe_within(rows, "k", ids, **WIDE).count() < 2200
     assert maybe_within(rows, "k", ids.limit(0), **WIDE).count() == 0
+    # A key with more bits is less often taken for another.
+    few, more = (maybe_within(rows, "k", ids, words=160, wide=1, marks=marks).count() for marks in (3, 1))
+    assert few < more

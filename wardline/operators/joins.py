@@ -20,8 +20,8 @@ _SCATTER = 4096
 # Words of 64 bits, at most, in a filter of keys; see `maybe_within`.
 FILTER_WORDS = 1 << 20
 
-# A larger filter, for keys by the ten million: rows, and words in each; 16 MB of bits.
-WIDE = {"words": 1 << 18, "wide": 8}
+# A larger filter, for keys by the ten million: rows, words in each and bits of a key; 16 MB of bits.
+WIDE = {"words": 1 << 18, "wide": 8, "marks": 3}
 
 # Cells that codes or buckets are counted in, and how many cells of codes are taken as frequent; see
 # `with_frequent_name` and `interval_join`.
@@ -49,16 +49,23 @@ def within(df: DataFrame, key: str, ids: DataFrame | None) -> DataFrame:
 
 
 def maybe_within(
-    df: DataFrame, key: str, ids: DataFrame, words: int = FILTER_WORDS, wide: int = 1
+    df: DataFrame, key: str, ids: DataFrame, words: int = FILTER_WORDS, wide: int = 1, marks: int = 1
 ) -> DataFrame:
     """Drop rows whose key is surely not among ``ids``, by a filter of bits on a hash of the key.
 
     The filter has at most ``words`` rows of ``wide`` words whatever the size of ``ids``, which is why it may be
-    broadcast; where it fills up, fewer rows are dropped. An exact join has to follow.
+    broadcast; where it fills up, fewer rows are dropped. A key has up to ``marks`` bits, all in one word. An exact
+    join has to follow.
     """
     place = F.pmod(F.xxhash64(F.col(key)), F.lit(64 * words * wide))
-    # A long's shift takes its distance modulo 64.
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))
+
+    def one(at: Column) -> Column:
+        # A long's shift takes its distance modulo 64.
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(64)).cast("int"))
+
+    bit = one(place)
+    for i in range(1, marks):
+        bit = bit.bitwiseOR(one(F.xxhash64(F.col(key), F.lit(i))))
     word = F.pmod(F.shiftright(place, 6), F.lit(words))
     part = F.expr("0") if wide == 1 else F.floor(F.shiftright(place, 6) / F.lit(words)).cast("int")
     names = [f"_hits{i}" for i in range(wide)]
@@ -69,7 +76,7 @@ def maybe_within(
     found = F.lit(None).cast("bigint")
     for i, name in enumerate(names):
         found = F.when(part == i, F.col(name)).otherwise(found)
-    return some.filter(bit.bitwiseAND(found) != 0).select(*df.columns)
+    return some.filter(bit.bitwiseAND(found) == bit).select(*df.columns)
 
 
 def left_join_filtered(
